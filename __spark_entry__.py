@@ -123,26 +123,26 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.term_counts(_all_prepared(spark, sf_dir))
 
 
-def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _all_prepared(spark, sf_dir)
-    return rt.idf_weights(rt.term_counts(prepared), prepared.count())
+def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = rt.term_counts(_all_prepared(spark, sf_dir))
+    totals = materialise(rt.document_frequencies(counts).select("term", "total"), "totals")
+    return rt.vocabulary(totals, TOPK)
 
 
-def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frequencies = materialise(_frequencies(spark, sf_dir).select("term", "total"), "frequencies")
-    return rt.vocabulary(frequencies, TOPK)
+def _counts_with_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = rt.term_counts(_all_prepared(spark, sf_dir), with_length=True)
+    return materialise(counts, "counts")
 
 
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _frequencies(spark, sf_dir).select("term", "doc_freq", *_r6("idf"))
+    weights = rt.idf_weights(_counts_with_length(spark, sf_dir))
+    return weights.select("term", "doc_freq", *_r6("idf"))
 
 
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _all_prepared(spark, sf_dir)
-    counts = materialise(rt.term_counts(prepared), "counts")
-    idf = materialise(rt.idf_weights(counts, prepared.count()), "idf")
-    weights = rt.tfidf_terms(counts, idf, prepared.select("review_id", "length"))
-    return weights.select("review_id", "term", *_r6("value"))
+    counts = _counts_with_length(spark, sf_dir)
+    idf = materialise(rt.idf_weights(counts), "idf")
+    return rt.tfidf_terms(counts, idf).select("review_id", "term", *_r6("value"))
 
 
 # Classifier.
@@ -224,7 +224,7 @@ def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = materialise(
         rt.score_messages(model, records).select("msg_id", "sentiment"), "predictions"
     )
-    joined = rt.attach_predictions(records.drop("name"), predictions, row_key="review_text")
+    joined = rt.attach_predictions(records.drop("name", "review_text"), predictions)
     named = rt.attach_products(joined, tables.products(spark, sf_dir), row_key="msg_id")
     return named.select("msg_id", "asin", "name", "review_date", "rating", "sentiment")
 

@@ -24,6 +24,7 @@ _NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
 _ATTRIBUTE = rf"""\s+[^\s=>"'/]+(?:\s*=\s*{_VALUE.replace("(", "(?:", 1)})?"""
 _INSIDE_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_ANY_TAG = rf"<[a-zA-Z/!](?:{_INSIDE_TAG}|[^>]*)>"
 _VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
 
 
@@ -67,7 +68,7 @@ def tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
     pattern = rf"(?is)<{tag}(?=[\s/>]){_INSIDE_TAG}>.*?</{tag}\s*>"
     return F.transform(
         _elements(html, pattern, cls),
-        lambda e: decode_references(F.regexp_replace(e, "<[^>]*>", "")),
+        lambda e: decode_references(F.regexp_replace(e, _ANY_TAG, "")),
     )
 
 

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewtide.functions.fixed_values import NGRAM_SIZE, STOP_WORDS, WHITESPACE
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once and use it several times in ``body``.
+def _let(value: Column, body: str) -> Column:
+    """Bind ``value`` once and use it several times: ``body`` is a SQL lambda.
 
     The lambda variable keeps an expensive array from being evaluated again for every
     reference, whatever the optimizer does with neighbouring projections.
     """
-    return F.transform(F.array(value), body)[0]
+    return F.call_function("transform", F.array(value), F.expr(body))[0]
 
 
 def clean_text(text: Column) -> Column:
@@ -37,50 +35,42 @@ def tokens(text: Column) -> Column:
 
 def without_stop_words(words: Column) -> Column:
     """Drop English stop words; repeated words stay repeated."""
-    return F.filter(words, lambda w: ~F.lower(w).isin(STOP_WORDS))
+    listed = ", ".join("'" + w.replace("'", "\\'") + "'" for w in STOP_WORDS)
+    return F.call_function("filter", words, F.expr(f"w -> lower(w) NOT IN ({listed})"))
 
 
 def ngrams(words: Column, n: int = NGRAM_SIZE) -> Column:
     """Sequences of ``n`` neighbouring words joined by one blank."""
     if n < 1:
         raise ValueError("n must be at least 1")
-
-    def slide(ws: Column) -> Column:
-        last = F.size(ws) - n
-        grams = F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.concat_ws(" ", *[F.get(ws, i + k) for k in range(n)]),
-        )
-        return F.when(last >= 0, grams).otherwise(F.array().cast("array<string>"))
-
-    return let(words, slide)
+    neighbours = ", ".join(f"get(ws, i + {k})" for k in range(n))
+    return _let(
+        words,
+        f"""ws -> CASE WHEN size(ws) >= {n}
+              THEN transform(sequence(0, size(ws) - {n}), i -> concat_ws(' ', {neighbours}))
+              ELSE CAST(array() AS array<string>) END""",
+    )
 
 
 def term_runs(terms: Column) -> Column:
     """Distinct terms of one array with their counts, as ``array<struct<term,n>>``.
 
     Sorting inside the row replaces a shuffle on (row, term): equal terms become
-    neighbours and each run's length is the distance between two run starts.
+    neighbours, and each run's length is the distance between two run starts.
     """
-
-    def runs(s: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1),
-            lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)),
-        )
-        return let(
-            starts,
-            lambda st: F.transform(
-                st,
-                lambda at, k: F.struct(
-                    F.get(s, at).alias("term"),
-                    (F.coalesce(F.get(st, k + 1), F.size(s)) - at).cast("bigint").alias("n"),
-                ),
-            ),
-        )
-
-    empty = F.array().cast("array<struct<term:string,n:bigint>>")
-    return let(F.sort_array(terms), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
+    starts = _let(
+        F.sort_array(terms),
+        """s -> CASE WHEN size(s) > 0
+             THEN named_struct('sorted', s, 'at', filter(sequence(0, size(s) - 1),
+                    i -> i = 0 OR get(s, i) <> get(s, i - 1)))
+             ELSE named_struct('sorted', s, 'at', CAST(array() AS array<int>)) END""",
+    )
+    return _let(
+        starts,
+        """r -> transform(r.at, (at, k) -> named_struct(
+             'term', get(r.sorted, at),
+             'n', CAST(coalesce(get(r.at, k + 1), size(r.sorted)) - at AS bigint)))""",
+    )
 
 
 def content_id(*columns: Column | str) -> Column:

@@ -9,17 +9,18 @@ from reviewtide.plans.joins import lookup_join
 
 
 def attach_predictions(
-    msgs: DataFrame, preds: DataFrame, prediction: str = "sentiment", row_key: str | None = None
+    msgs: DataFrame, preds: DataFrame, prediction: str = "sentiment"
 ) -> DataFrame:
     """Left join of predictions to messages by ``msg_id``.
 
     Equal ids mean equal content and so equal predictions: one prediction per id is enough and
     keeps redelivered copies from multiplying. A message whose text was missing has no
-    prediction and keeps a null. Copies of one message may be a large part of the input:
-    ``row_key`` names a column that tells them apart, which spreads them over several tasks.
+    prediction and keeps a null. Copies of one message may be a large part of the input; no
+    column tells them apart, so a partition they make too large is split by adaptive execution.
+    ``score_messages`` gives the same result without a join where the text is at hand.
     """
     single = preds.groupBy("msg_id").agg(F.max(prediction).alias(prediction))
-    return lookup_join(msgs, single, "msg_id", "left", row_key=row_key)
+    return lookup_join(msgs, single, "msg_id", "left", size_of=preds)
 
 
 def attach_products(df: DataFrame, products: DataFrame, row_key: str | None = None) -> DataFrame:

@@ -73,8 +73,9 @@ def count_terms(
     docs = {s: whole[f"df_{s}"] for s in SENTIMENTS}
     labels = sorted((s for s in SENTIMENTS if docs[s]), key=lambda s: (-docs[s], s))
     terms = vocabulary(stats.filter(F.col("term").isNotNull()), vocab_size)
+    idf = idf_of(F.col("doc_freq"), sum(docs.values()))
     return TermTable(
-        terms=terms.withColumn("idf", idf_of(F.col("doc_freq"), sum(docs.values()))),
+        terms=materialise(terms.withColumn("idf", idf), "vocabulary"),
         labels=labels,
         docs=docs,
         lengths={s: whole[f"tf_{s}"] for s in SENTIMENTS},

@@ -47,16 +47,36 @@ def terms_of(text_col: str = CLEAN_TEXT, n: int = NGRAM_SIZE) -> Column:
     return ngrams(without_stop_words(tokens(F.col(text_col))), n)
 
 
+def _entries(text_col: str, n: int, with_length: bool) -> Column:
+    """Array of (term, n) for one row; with a last entry (null, text length) on request."""
+    terms = term_runs(terms_of(text_col, n))
+    if not with_length:
+        return terms
+    length = F.struct(
+        F.lit(None).cast("string").alias("term"), F.col(LENGTH).cast("bigint").alias("n")
+    )
+    return F.concat(terms, F.array(length))
+
+
 def term_counts(
-    df: DataFrame, key: str = "review_id", text_col: str = CLEAN_TEXT, n: int = NGRAM_SIZE
+    df: DataFrame,
+    key: str = "review_id",
+    text_col: str = CLEAN_TEXT,
+    n: int = NGRAM_SIZE,
+    with_length: bool = False,
 ) -> DataFrame:
-    """(key, term, n): how often each row has each term. No shuffle."""
-    return df.select(key, F.inline(term_runs(terms_of(text_col, n))))
+    """(key, term, n): how often each row has each term. No shuffle.
+
+    ``with_length`` adds one entry with a null term and the text length for every row, so the
+    table also tells how many rows there are, even rows without a term.
+    """
+    return df.select(key, F.inline(_entries(text_col, n, with_length)))
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
     """(term, doc_freq, total) over a ``term_counts`` frame."""
-    return counts.groupBy("term").agg(
+    terms = counts.filter(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(
         F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("total")
     )
 
@@ -66,28 +86,29 @@ def idf_of(doc_freq: Column, documents: int) -> Column:
     return F.log(F.lit(float(documents + 1)) / (doc_freq + 1))
 
 
-def idf_weights(counts: DataFrame, documents: int) -> DataFrame:
-    """(term, doc_freq, total, idf)."""
+def idf_weights(counts: DataFrame, documents: int | None = None) -> DataFrame:
+    """(term, doc_freq, total, idf) from a materialised ``term_counts`` frame.
+
+    Without ``documents`` the frame must have the length entries; they are counted.
+    """
+    if documents is None:
+        documents = counts.filter(F.col("term").isNull()).count()
     frequencies = document_frequencies(counts)
     return frequencies.withColumn("idf", idf_of(F.col("doc_freq"), documents))
 
 
-def tfidf_terms(
-    counts: DataFrame, idf: DataFrame, lengths: DataFrame | None = None, key: str = "review_id"
-) -> DataFrame:
-    """(key, term, value): TF-IDF weights, plus one ``length`` row (null term) per row.
+def tfidf_terms(counts: DataFrame, idf: DataFrame, key: str = "review_id") -> DataFrame:
+    """(key, term, value): TF-IDF weights; length entries keep the length as their value.
 
     ``idf`` is joined by broadcast while it is small. A full vocabulary grows with the data;
     it is then shuffled, with every term spread over several sub-keys by the row's key.
     """
-    weighted = lookup_join(counts, idf.select("term", "idf"), "term", "inner", row_key=key)
-    terms = weighted.select(key, "term", (F.col("n") * F.col("idf")).alias("value"))
-    if lengths is None:
-        return terms
-    extra = lengths.select(
-        key, F.lit(None).cast("string").alias("term"), F.col(LENGTH).cast("double").alias("value")
+    terms = counts.filter(F.col("term").isNotNull())
+    weighted = lookup_join(terms, idf.select("term", "idf"), "term", "inner", row_key=key)
+    lengths = counts.filter(F.col("term").isNull())
+    return weighted.select(key, "term", (F.col("n") * F.col("idf")).alias("value")).unionByName(
+        lengths.select(key, "term", F.col("n").cast("double").alias("value"))
     )
-    return terms.unionByName(extra)
 
 
 def class_term_stats(
@@ -99,17 +120,15 @@ def class_term_stats(
     output row holds the summed length and the number of rows per class, so one pass over the
     text yields all a classifier needs.
     """
-    length = F.struct(
-        F.lit(None).cast("string").alias("term"), F.col(LENGTH).cast("bigint").alias("n")
+    # The class test runs once per row, not once per term.
+    member = [(F.col(label) == s).alias(f"is_{s}") for s in SENTIMENTS]
+    rows = df.filter(has_class(label)).select(*member, F.inline(_entries(text_col, n, True)))
+    sums = [F.sum(F.when(F.col(f"is_{s}"), F.col("n")).otherwise(0)) for s in SENTIMENTS]
+    docs = [F.count_if(F.col(f"is_{s}")) for s in SENTIMENTS]
+    return rows.groupBy("term").agg(
+        *[c.alias(f"tf_{s}") for s, c in zip(SENTIMENTS, sums)],
+        *[c.alias(f"df_{s}") for s, c in zip(SENTIMENTS, docs)],
     )
-    entries = F.concat(term_runs(terms_of(text_col, n)), F.array(length))
-    rows = df.filter(has_class(label)).select(label, F.inline(entries))
-    sums = [
-        F.sum(F.when(F.col(label) == s, F.col("n")).otherwise(0)).alias(f"tf_{s}")
-        for s in SENTIMENTS
-    ]
-    docs = [F.count_if(F.col(label) == s).alias(f"df_{s}") for s in SENTIMENTS]
-    return rows.groupBy("term").agg(*sums, *docs)
 
 
 def total_of(prefix: str) -> Column:

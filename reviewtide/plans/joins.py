@@ -29,6 +29,7 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
     parts: int = 16,
     row_key: str | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` table that has one row per key.
 
@@ -37,8 +38,10 @@ def lookup_join(
     key. Adaptive execution splits a partition that one hot key makes too large; with
     ``row_key`` (a column that differs between rows of one key) the split is made explicit: each
     key is spread over ``parts`` sub-keys and the lookup repeated once per sub-key.
+
+    ``size_of`` is a frame that is never smaller than the lookup and cheaper to measure.
     """
-    if measured_bytes(lookup) <= limit:
+    if measured_bytes(lookup if size_of is None else size_of) <= limit:
         return rows.join(F.broadcast(lookup), on, how)
     if row_key is None:
         return rows.join(lookup.hint("merge"), on, how)

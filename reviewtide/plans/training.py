@@ -8,7 +8,6 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
-    CountVectorizerModel,
     ElementwiseProduct,
     IndexToString,
     NGram,
@@ -18,9 +17,10 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewtide.functions.fixed_values import (
     CLEAN_TEXT,
@@ -88,39 +88,43 @@ def fit_pipeline(
 
     ``Pipeline.fit`` sends one vocabulary-sized heap or dense vector per task to the driver or
     to one reducer per class, which stops working with many thousand tasks. Here the term
-    counts are one ordinary aggregation, and only the bounded vocabulary (at most
-    ``vocab_size`` rows, which every fitted model holds on the driver anyway) is fetched.
-    Naive Bayes then fits on one weighted row per class, its sufficient statistic. Terms that
-    tie at the vocabulary's end are taken in term order, so a fit can be repeated.
+    counts are one ordinary aggregation, and the estimators see its result only: the bounded
+    vocabulary table (at most ``vocab_size`` rows) and, for naive Bayes, one weighted row per
+    class, its sufficient statistic. Terms that tie at the vocabulary's end are taken in term
+    order, so a fit can be repeated.
     """
     table = count_terms(df, vocab_size, ngram)
     labels = table.labels
-    terms = (
-        table.terms.select("term", "total", "idf", *[f"tf_{s}" for s in labels])
-        .toPandas()
-        .sort_values(["total", "term"], ascending=[False, True])
-    )
+    each = table.terms.select(F.array("term").alias(NGRAMS))
+    counter = CountVectorizer(vocabSize=vocab_size, inputCol=NGRAMS, outputCol=COUNTS).fit(each)
+    terms = table.terms.select("term", "idf", *[f"tf_{s}" for s in labels]).toPandas()
+    terms = terms.set_index("term").reindex(counter.vocabulary)
     idf = terms["idf"].to_numpy(dtype=float)
     rows = []
     for index, s in enumerate(labels):
-        sums = terms[f"tf_{s}"].to_numpy(dtype=float) * idf
+        totals = terms[f"tf_{s}"].to_numpy(dtype=float) * idf
         if use_length:
-            sums = np.append(sums, float(table.lengths[s]))
+            totals = np.append(totals, float(table.lengths[s]))
         docs = float(table.docs[s])
-        rows.append((float(index), docs, Vectors.dense(sums / docs)))
-    per_class = df.sparkSession.createDataFrame(rows, [LABEL, "docs", FEATURES])
-    bayes = _bayes(smoothing).setWeightCol("docs").fit(per_class)
-    vocabulary = terms["term"].tolist()
+        rows.append((float(index), docs, Vectors.dense(totals / docs)))
+    schema = T.StructType(
+        [
+            T.StructField(LABEL, T.DoubleType()),
+            T.StructField("docs", T.DoubleType()),
+            T.StructField(FEATURES, VectorUDT()),
+        ]
+    )
+    per_class = df.sparkSession.createDataFrame(rows, schema, verifySchema=False)
     return PipelineModel(
         stages=[
             StringIndexerModel.from_labels(labels, inputCol=SENTIMENT, outputCol=LABEL),
             *_text_stages(ngram),
-            CountVectorizerModel.from_vocabulary(vocabulary, inputCol=NGRAMS, outputCol=COUNTS),
+            counter,
             ElementwiseProduct(
                 scalingVec=Vectors.dense(idf), inputCol=COUNTS, outputCol=TFIDF
             ),
             _assembler(use_length),
-            bayes,
+            _bayes(smoothing).setWeightCol("docs").fit(per_class),
         ]
     )
 

@@ -19,21 +19,38 @@ def read_reviews(
 ) -> DataFrame:
     """Reviews with exactly the schema's fields; a missing key is null.
 
-    Plain and gzip JSON lines work alike. An unreadable line becomes a row of nulls and is
-    dropped, or kept with its text in ``_corrupt_record``. A gzip file cannot be split, so
-    pass ``partitions`` to spread few large gzip files over the cluster.
+    Plain and gzip JSON lines work alike. A value of the wrong type is null. A line that is not
+    a JSON object is dropped, or kept as a row of nulls with its text in ``_corrupt_record``. A
+    gzip file cannot be split, so pass ``partitions`` to spread few large ones over the cluster.
     """
     if fmt != "json":
         df = spark.read.schema(schema).format(fmt).load(path)
     else:
         marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = spark.read.schema(marked).option("mode", "PERMISSIVE")
-        df = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        df = lines.select(F.from_json("value", marked, options).alias("r")).select("r.*")
         if not keep_corrupt:
-            df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            some_value = F.lit(False)
+            for field in schema.fields:
+                some_value = some_value | F.col(field.name).isNotNull()
+            df = df.filter(F.col(CORRUPT).isNull() | some_value).drop(CORRUPT)
     return df if partitions is None else df.repartition(partitions)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input that arrives in fewer pieces than there are cores.
+
+    One gzip file or one parquet row group is a single task however long its text takes. Such
+    an input is small, so it is hashed once over the cores. A large input already has more
+    pieces than cores and is left as it is. Call it on a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def write_reviews(
     df: DataFrame,
     path: str,
@@ -59,7 +76,7 @@ def write_reviews(
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Stored pages: a parquet table, or a folder of HTML files (``fmt='html'``)."""
     if fmt == "html":
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
         name = F.col("_metadata.file_path")
         return files.select(
             F.xxhash64(name).alias("page_id"), name.alias("url"), F.col("value").alias("html")

@@ -14,6 +14,7 @@ from reviewtide.functions.fixed_values import (
 )
 from reviewtide.functions.html import escape_text
 from reviewtide.functions.ratings import parse_price
+from reviewtide.sources.reviews import spread
 
 FIRST_DAY = "2022-11-01"
 
@@ -23,8 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _as_reviews(documents: DataFrame, *more: Column) -> DataFrame:
-    return documents.select(
+def _as_reviews(rated: DataFrame, *more: Column) -> DataFrame:
+    return rated.select(
         F.col("doc_id").alias("review_id"),
         F.col("source").alias("asin"),
         F.col("text").alias("reviewText"),
@@ -42,16 +43,21 @@ def _as_reviews(documents: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over all cores for work on their text."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def reviews_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a review; documents without a label have no rating."""
     labels = table(spark, sf_dir, "labels")
-    return _as_reviews(table(spark, sf_dir, "documents").join(labels, "doc_id", "left"))
+    return _as_reviews(documents(spark, sf_dir).join(labels, "doc_id", "left"))
 
 
 def reviews_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a label as rated reviews."""
     labels = table(spark, sf_dir, "labels")
-    return _as_reviews(table(spark, sf_dir, "documents").join(labels, "doc_id"))
+    return _as_reviews(documents(spark, sf_dir).join(labels, "doc_id"))
 
 
 def ratings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +78,9 @@ def as_ratings(events: DataFrame) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a message record, in the scraper's field names."""
     labels = table(spark, sf_dir, "labels")
-    documents = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    rated = documents(spark, sf_dir).join(labels, "doc_id", "left")
     whole_price = F.concat(F.col("n_chars").cast("string"), F.lit("."))
-    return _as_reviews(documents, parse_price(whole_price).alias("price")).select(
+    return _as_reviews(rated, parse_price(whole_price).alias("price")).select(
         "asin",
         F.concat(F.lit("Product "), F.col("asin")).alias("name"),
         "price",
@@ -88,9 +94,9 @@ def loose_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded messages with the faults of real ones: ids that are too long, days that do not
     exist, missing ratings, prices as page text, no category."""
     labels = table(spark, sf_dir, "labels")
-    documents = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    rated = documents(spark, sf_dir).join(labels, "doc_id", "left")
     day = F.lpad((F.col("doc_id") % 60 + 1).cast("string"), 2, "0")
-    return documents.select(
+    return rated.select(
         F.col("doc_id").alias("review_id"),
         F.concat_ws("-", "source", "lang", "doc_id").alias("asin"),
         F.concat(F.lit("Product "), F.col("source")).alias("name"),

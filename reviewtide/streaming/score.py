@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewtide.operators.quality import check_quality
@@ -30,7 +31,7 @@ def stream_score(
     model: PipelineModel,
     sink: str,
     checkpoint: str,
-    rules=None,
+    rules: dict[str, Column] | None = None,
     rejects: str | None = None,
     dedup_delay: str | None = None,
     max_files: int | None = None,
@@ -45,19 +46,20 @@ def stream_score(
     stream = read_messages(spark, src, max_files=max_files) if isinstance(src, str) else src
     scored = scored_stream(stream, model)
     if dedup_delay is not None:
-        scored = stream_dedup(
-            scored.withColumn("event_time", scored["review_date"].cast("timestamp")), dedup_delay,
-            ts="event_time",
-        ).drop("event_time")
+        # Redelivery is a matter of arrival, and a review's own date may be missing.
+        arrived = scored.withColumn("arrived", F.current_timestamp())
+        scored = stream_dedup(arrived, dedup_delay, ts="arrived").drop("arrived")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if rules is None:
             append_scored(batch, sink, batch_id)
             return
+        batch.persist()
         valid, rejected = check_quality(batch, rules)
         append_scored(valid, sink, batch_id)
         if rejects is not None:
             rejected.write.mode("overwrite").json(f"{rejects}/batch_id={batch_id}")
+        batch.unpersist()
 
     return (
         scored.writeStream.foreachBatch(write)
