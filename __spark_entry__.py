@@ -225,7 +225,7 @@ def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         rt.score_messages(model, records).select("msg_id", "sentiment"), "predictions"
     )
     joined = rt.attach_predictions(records.drop("name", "review_text"), predictions)
-    named = rt.attach_products(joined, tables.products(spark, sf_dir), row_key="msg_id")
+    named = rt.attach_products(joined, tables.products(spark, sf_dir))
     return named.select("msg_id", "asin", "name", "review_date", "rating", "sentiment")
 
 

@@ -15,15 +15,15 @@ def attach_predictions(
 
     Equal ids mean equal content and so equal predictions: one prediction per id is enough and
     keeps redelivered copies from multiplying. A message whose text was missing has no
-    prediction and keeps a null. Copies of one message may be a large part of the input; no
-    column tells them apart, so a partition they make too large is split by adaptive execution.
-    ``score_messages`` gives the same result without a join where the text is at hand.
+    prediction and keeps a null. Copies of one message may be a large part of the input; the
+    lookup join keeps such a message out of the shuffle. ``score_messages`` gives the same
+    result without a join where the text is at hand.
     """
     single = preds.groupBy("msg_id").agg(F.max(prediction).alias(prediction))
     return lookup_join(msgs, single, "msg_id", "left", size_of=preds)
 
 
-def attach_products(df: DataFrame, products: DataFrame, row_key: str | None = None) -> DataFrame:
+def attach_products(df: DataFrame, products: DataFrame) -> DataFrame:
     """Add the product's name. The product table is broadcast only while it is small."""
     named = products.groupBy("asin").agg(F.max("name").alias("name"))
-    return lookup_join(df, named, "asin", "inner", row_key=row_key)
+    return lookup_join(df, named, "asin", "inner", size_of=products)

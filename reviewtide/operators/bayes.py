@@ -142,7 +142,7 @@ def nb_predict(
     rows = df.select(*columns, F.explode_outer(terms_of(n=model.ngram)).alias("term"))
     weights = model.weights.select("term", *[f"w_{s}" for s in model.labels])
     sums = (
-        lookup_join(rows, weights, "term", "left", row_key=key)
+        lookup_join(rows, weights, "term", "left")
         .groupBy(*columns)
         .agg(*[F.coalesce(F.sum(f"w_{s}"), F.lit(0.0)).alias(f"w_{s}") for s in model.labels])
     )

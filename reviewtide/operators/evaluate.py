@@ -12,11 +12,16 @@ def confusion(
     prediction: str = "predicted_sentiment",
     by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(*by, label, prediction, n): one row per combination that occurs."""
-    rated = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    return rated.groupBy(
-        *by, F.col(label).alias("label"), F.col(prediction).alias("prediction")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """(*by, label, prediction, n): one row per combination that occurs, labelled rows only.
+
+    The prediction is not filtered here: the filter would move below the aggregation and
+    evaluate the model a second time for every row.
+    """
+    return (
+        df.filter(F.col(label).isNotNull())
+        .groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -24,24 +29,29 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def class_metrics(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """(*by, class, support, precision, recall, f1) from confusion counts."""
+    """(*by, class, support, hits, precision, recall, f1) from confusion counts.
+
+    Rows without a prediction do not count.
+    """
+    made = F.when(F.col("prediction").isNotNull(), F.col("n")).otherwise(0)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(
             F.col("label").alias("class"),
-            F.col("n").alias("support"),
+            made.alias("support"),
             F.lit(0).cast("bigint").alias("predicted"),
             hit.alias("hits"),
         ),
         F.struct(
             F.col("prediction").alias("class"),
             F.lit(0).cast("bigint").alias("support"),
-            F.col("n").alias("predicted"),
+            made.alias("predicted"),
             F.lit(0).cast("bigint").alias("hits"),
         ),
     )
     sums = (
         counts.select(*by, F.inline(sides))
+        .filter(F.col("class").isNotNull())
         .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     )
@@ -78,7 +88,8 @@ def rmse(counts: DataFrame, labels: list[str], by: tuple[str, ...] = ()) -> Data
     """(*by, n, rmse) of the class index (position in ``labels``), from confusion counts."""
     names = F.array(*[F.lit(s) for s in labels])
     gap = F.array_position(names, F.col("prediction")) - F.array_position(names, F.col("label"))
-    squared = (gap * gap * F.col("n")).cast("double")
+    made = F.when(F.col("prediction").isNotNull(), F.col("n"))
     return counts.groupBy(*by).agg(
-        F.sum("n").alias("n"), F.sqrt(F.sum(squared) / F.sum("n")).alias("rmse")
+        F.sum(made).alias("n"),
+        F.sqrt(F.sum((gap * gap * made).cast("double")) / F.sum(made)).alias("rmse"),
     )

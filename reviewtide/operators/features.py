@@ -100,11 +100,11 @@ def idf_weights(counts: DataFrame, documents: int | None = None) -> DataFrame:
 def tfidf_terms(counts: DataFrame, idf: DataFrame, key: str = "review_id") -> DataFrame:
     """(key, term, value): TF-IDF weights; length entries keep the length as their value.
 
-    ``idf`` is joined by broadcast while it is small. A full vocabulary grows with the data;
-    it is then shuffled, with every term spread over several sub-keys by the row's key.
+    ``counts`` and ``idf`` should be materialised tables. ``idf`` is joined by broadcast while it
+    is small. A full vocabulary grows with the data and is then shuffled, frequent terms apart.
     """
     terms = counts.filter(F.col("term").isNotNull())
-    weighted = lookup_join(terms, idf.select("term", "idf"), "term", "inner", row_key=key)
+    weighted = lookup_join(terms, idf.select("term", "idf"), "term", "inner")
     lengths = counts.filter(F.col("term").isNull())
     return weighted.select(key, "term", (F.col("n") * F.col("idf")).alias("value")).unionByName(
         lengths.select(key, "term", F.col("n").cast("double").alias("value"))

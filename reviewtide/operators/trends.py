@@ -2,7 +2,8 @@
 
 Each trend groups by (product, period) with mergeable sums, so a product with a third of all
 rows is reduced before the shuffle. Change and smoothing then run over the trend itself, which
-has one row per product and period.
+has one row per product and period. Rows without a class are left out of the counts rather than
+filtered, because a filter on a predicted class would evaluate the model twice.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ def sentiment_trend(
         for s in SENTIMENTS
     ]
     return (
-        df.filter(F.col(sentiment).isNotNull())
-        .groupBy("asin", _period(ts, period).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n_reviews"), *counts)
+        df.groupBy("asin", _period(ts, period).alias("w"))
+        .agg(F.count(sentiment).alias("n_reviews"), *counts)
+        .filter(F.col("n_reviews") > 0)
         .select(
             "asin",
             F.col("w.start").alias("period_start"),
@@ -70,12 +71,10 @@ def sentiment_agreement(
 ) -> DataFrame:
     """(asin, n_reviews, n_agree, agreement): predicted class against the star rating."""
     derived = sentiment_of(F.col(rating))
-    rated = df.filter(derived.isNotNull() & F.col(sentiment).isNotNull())
+    agrees = derived == F.col(sentiment)
     return (
-        rated.groupBy("asin")
-        .agg(
-            F.count(F.lit(1)).alias("n_reviews"),
-            F.count_if(derived == F.col(sentiment)).alias("n_agree"),
-        )
+        df.groupBy("asin")
+        .agg(F.count(agrees).alias("n_reviews"), F.count_if(agrees).alias("n_agree"))
+        .filter(F.col("n_reviews") > 0)
         .withColumn("agreement", F.col("n_agree") / F.col("n_reviews"))
     )

@@ -1,4 +1,4 @@
-"""Size-checked lookup join."""
+"""Size-checked lookup join that also stands hot keys."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 256 * 1024 * 1024
+HOT_KEYS = 1000
+TRACKED_KEYS = 100_000
 _ROW_OVERHEAD = 64
 
 
@@ -21,32 +23,42 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The most frequent values of ``key``, at most ``HOT_KEYS`` rows.
+
+    A mergeable sketch finds them in one pass without a shuffle. It cannot miss a key that
+    holds a noticeable share of the rows, and callers get right results with any set of keys.
+    """
+    top = F.expr(f"approx_top_k({key}, {HOT_KEYS}, {TRACKED_KEYS})")
+    items = rows.filter(F.col(key).isNotNull()).agg(top.alias("top")).first()["top"]
+    schema = T.StructType([T.StructField(key, rows.schema[key].dataType)])
+    return rows.sparkSession.createDataFrame([(i["item"],) for i in items], schema)
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: str,
     how: str = "left",
     limit: int = BROADCAST_LIMIT,
-    parts: int = 16,
-    row_key: str | None = None,
     size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` table that has one row per key.
 
     The lookup is broadcast when its measured size is below ``limit``; the rows are then not
-    shuffled at all, so a hot key costs nothing. Above the limit both sides are shuffled on the
-    key. Adaptive execution splits a partition that one hot key makes too large; with
-    ``row_key`` (a column that differs between rows of one key) the split is made explicit: each
-    key is spread over ``parts`` sub-keys and the lookup repeated once per sub-key.
+    shuffled at all, and a hot key costs nothing. Above the limit only the rows of hot keys and
+    those without a key meet their few lookup rows by broadcast; all others are shuffled, and
+    no shuffled key is frequent enough to overload a task. ``rows`` are read twice more in that
+    case, so pass a table rather than a long computation.
 
     ``size_of`` is a frame that is never smaller than the lookup and cheaper to measure.
     """
     if measured_bytes(lookup if size_of is None else size_of) <= limit:
         return rows.join(F.broadcast(lookup), on, how)
-    if row_key is None:
-        return rows.join(lookup.hint("merge"), on, how)
-    salted = rows.withColumn("_part", F.pmod(F.xxhash64(row_key), F.lit(parts)))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-    return salted.join(
-        lookup.withColumn("_part", copies).hint("merge"), [on, "_part"], how
-    ).drop("_part")
+    hot = hot_keys(rows, on)
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
+    apart = F.col("_hot").isNotNull() | F.col(on).isNull()
+    hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
+    few = marked.filter(apart).drop("_hot").join(F.broadcast(hot_lookup), on, how)
+    rest = marked.filter(~apart).drop("_hot").join(lookup.hint("merge"), on, how)
+    return few.unionByName(rest)

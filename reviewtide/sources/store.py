@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from reviewtide.schemas import STORED_REVIEW
 
-DATE_WRITERS = 8
 
-
-def append_scored(
-    df: DataFrame, path: str, batch_id: int | str, writers: int = DATE_WRITERS
-) -> None:
+def append_scored(df: DataFrame, path: str, batch_id: int | str) -> None:
     """Append one batch of scored reviews, partitioned by review date.
 
     Each batch owns the folder ``batch_id=<n>`` and overwrites it, so replaying a batch after
-    a failure adds no rows. Rows are spread by (date, part of the id hash): every date gets at
-    most ``writers`` files, and a hot date is still written by that many tasks.
+    a failure adds no rows. The rebalance step gathers a date's rows into few files, and
+    adaptive execution splits a hot date over several writers by its size.
     """
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_REVIEW.fields]
-    part = F.pmod(F.xxhash64("msg_id"), F.lit(writers))
     (
         df.select(*columns)
-        .repartition("review_date", part)
+        .hint("rebalance", "review_date")
         .write.mode("overwrite")
         .partitionBy("review_date")
         .parquet(f"{path}/batch_id={batch_id}")

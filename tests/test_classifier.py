@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import reviewtide as rt
 from reviewtide.operators import features
-from reviewtide.plans.joins import lookup_join, measured_bytes
+from reviewtide.plans.joins import hot_keys, lookup_join, measured_bytes
 
 
 @pytest.fixture(scope="module")
@@ -150,16 +150,19 @@ def test_lookup_join_is_the_same_in_every_form(spark):
     lookup = spark.range(40).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).union(
         spark.createDataFrame([("hot", 99)], "k string, v bigint")
     )
+    assert [r.k for r in hot_keys(rows, "k").collect()][0] == "hot"
     for how in ("left", "inner"):
         small = lookup_join(rows, lookup, "k", how)
-        merged = lookup_join(rows, lookup, "k", how, limit=0)
-        salted = lookup_join(rows, lookup, "k", how, limit=0, row_key="id")
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
-        expected = sorted(map(tuple, small.select("id", "k", "v").collect()))
-        for other in (merged, salted):
-            assert sorted(map(tuple, other.select("id", "k", "v").collect())) == expected
-        assert len(expected) == (2000 if how == "left" else len([e for e in expected if e[2] is not None]))
+        large = lookup_join(rows, lookup, "k", how, limit=0)
+        assert "SortMergeJoin" not in small._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        expected = sorted(map(str, small.select("id", "k", "v").collect()))
+        assert sorted(map(str, large.select("id", "k", "v").collect())) == expected
+        found = rows.join(lookup, "k").count()
+        assert len(expected) == (2000 if how == "left" else found)
+    numbers = rows.select("id", (F.col("id") % 5).alias("n"))
+    names = spark.range(4).select(F.col("id").alias("n"), F.lit("x").alias("name"))
+    assert lookup_join(numbers, names, "n", limit=0).filter("name IS NULL").count() == 400
     assert measured_bytes(lookup) > 0 and measured_bytes(lookup.limit(0)) == 0
 
 
