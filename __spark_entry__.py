@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import reviewtide as rt  # noqa: E402
+from reviewtide.functions.fixed_values import REVIEW_TEXT_CLASS  # noqa: E402
 from reviewtide.functions.text import content_id  # noqa: E402
 from reviewtide.oracle import TERMS_PER_CLASS, TOPK, statements  # noqa: E402
 from reviewtide.plans.storage import materialise, new_dir  # noqa: E402
 from reviewtide.sources import tables  # noqa: E402
+from reviewtide.streaming.trend import SENTIMENT_TREND  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHOP = "https://shop.example"
@@ -182,6 +184,22 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every estimator fitted on the training rows by ``Pipeline.fit``."""
+    prepared = _prepared(spark, sf_dir)
+    scored = rt.score(rt.fit_stages(prepared.filter("is_train")), prepared)
+    return scored.select("review_id", "sentiment", "predicted_sentiment", "prediction")
+
+
+def reloaded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a model that was saved and loaded again."""
+    prepared = _prepared(spark, sf_dir)
+    path = new_dir(spark, "model")
+    rt.save_model(rt.fit_pipeline(prepared.filter("is_train")), path)
+    scored = rt.score(rt.load_model(path), prepared)
+    return scored.select("review_id", "sentiment", "predicted_sentiment", "prediction")
+
+
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.confusion(_model_predictions(spark, sf_dir), by=("is_train",))
 
@@ -312,6 +330,13 @@ def review_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.reviews_all(spark, sf_dir).select("review_id", parsed.alias("review_date"))
 
 
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bodies = rt.nested_tag_texts(F.col("html"), "span", REVIEW_TEXT_CLASS)
+    pages = tables.review_pages(spark, sf_dir)
+    lines = pages.select("page_id", F.posexplode(rt.review_texts(bodies)).alias("pos", "line"))
+    return lines.select("page_id", "pos", "line")
+
+
 def page_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tables.review_pages(spark, sf_dir)
     priced = pages.withColumn("price", rt.page_price(F.col("html")))
@@ -355,6 +380,15 @@ def sentiment_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement.select("asin", "n_reviews", "n_agree", *_r6("agreement"))
 
 
+def stored_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly trend of the results table, written and read back."""
+    path = new_dir(spark, "stored")
+    rt.append_scored(rt.with_sentiment(_records(spark, sf_dir), "rating"), path, batch_id=0)
+    stored = rt.read_scored(spark, path).withColumn("day", F.col("review_date").cast("timestamp"))
+    rated = stored.filter("rating IS NOT NULL")
+    return _day(rt.rating_trend(rated, "28 days", "day"), "avg_rating")
+
+
 # Streams.
 
 
@@ -389,19 +423,30 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/sink")
 
 
+def _arriving_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = tables.table(spark, sf_dir, "events").schema
+    # The glob matches the table whether it is one file or a folder of files.
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    at = F.col("timestamp").cast("timestamp")
+    return tables.as_ratings(arriving).withColumn("timestamp", at)
+
+
 def stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_dir(spark, "stream-trend")
-    events = tables.table(spark, sf_dir, "events")
-    # The glob matches the table whether it is one file or a folder of files.
-    arriving = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
-    trend = rt.stream_trend(
-        tables.as_ratings(arriving).withColumn("timestamp", F.col("timestamp").cast("timestamp")),
-        delay="31 days",
-    )
+    trend = rt.stream_trend(_arriving_ratings(spark, sf_dir), delay="31 days")
     rt.write_trend(trend, f"{base}/sink", f"{base}/checkpoint").awaitTermination()
     return _day(rt.read_trend(spark, f"{base}/sink"), "avg_rating")
 
 
+def stream_sentiment_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = new_dir(spark, "stream-sentiment")
+    rated = rt.with_sentiment(_arriving_ratings(spark, sf_dir), "rating")
+    trend = rt.stream_trend(rated, delay="31 days", trend=rt.sentiment_trend)
+    rt.write_trend(trend, f"{base}/sink", f"{base}/checkpoint").awaitTermination()
+    newest = rt.read_trend(spark, f"{base}/sink", SENTIMENT_TREND)
+    return _day(newest, "share_positive", "share_neutral", "share_negative")
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     clean_reviews,
     sentiment_label,
@@ -422,6 +467,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     nb_term_logprob,
     nb_predictions,
     model_predictions,
+    staged_predictions,
+    reloaded_predictions,
     confusion,
     class_metrics,
     classifier_metrics,
@@ -437,15 +484,18 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     page_link_positions,
     product_urls,
     review_dates,
+    review_lines,
     page_reviews,
     rating_trend,
     sentiment_trend,
     rating_change,
     rating_smoothed,
     sentiment_agreement,
+    stored_trend,
     stream_scored,
     stream_dedup,
     stream_trend,
+    stream_sentiment_trend,
 )
 
 

@@ -118,7 +118,7 @@ def nb_fit(
         length_lp={
             s: math.log(lengths[s] + smoothing) - bottom[s] if use_length else 0.0 for s in labels
         },
-        weights=materialise(weights, "weights"),
+        weights=weights,
         ngram=ngram,
     )
 

@@ -260,6 +260,8 @@ def statements() -> dict[str, str]:
                CAST(label_index AS DOUBLE) AS prediction FROM predicted"""
     sql["nb_predictions"] = predictions
     sql["model_predictions"] = predictions
+    sql["staged_predictions"] = predictions
+    sql["reloaded_predictions"] = predictions
     confusion = f"WITH {_PREDICT_LABELLED}, {_CONFUSION}"
     sql["confusion"] = f"{confusion} SELECT * FROM conf"
     sql["class_metrics"] = f"""{confusion}, {_METRICS}
@@ -345,6 +347,14 @@ def statements() -> dict[str, str]:
         FROM found"""
     sql["review_dates"] = f"""{_with(_REVIEWS)}
         SELECT review_id, review_date FROM all_reviews"""
+    sql["review_lines"] = f"""{_with(_REVIEWS)},
+        texts AS (
+          SELECT review_id AS page_id, [x FOR x IN string_split(reviewText, chr(10))
+                 || string_split(summary, chr(10)) IF x <> ''] AS lines
+          FROM all_reviews WHERE labelled
+        )
+        SELECT page_id, pos, lines[pos + 1] AS line
+        FROM (SELECT *, unnest(range(len(lines))) AS pos FROM texts)"""
     sql["page_reviews"] = f"""{_with(_REVIEWS)},
         entries AS (
           SELECT review_id AS page_id, asin, 0 AS pos, length(reviewText) AS price, review_date,
@@ -392,9 +402,16 @@ def statements() -> dict[str, str]:
         FROM predicted p JOIN all_reviews r USING (review_id)
         WHERE p.sentiment IS NOT NULL GROUP BY r.asin"""
 
+    sql["stored_trend"] = f"""{_with(_REVIEWS)}
+        SELECT asin, CAST(time_bucket(INTERVAL 28 DAY, CAST(review_date AS TIMESTAMP),
+                                      TIMESTAMP '1970-01-01') AS DATE) AS period_start,
+               count(*) AS n_reviews, round(avg(overall), 6) AS avg_rating
+        FROM all_reviews WHERE overall IS NOT NULL GROUP BY asin, period_start"""
+
     # Streams give what the batch gives.
     sql["stream_scored"] = scored
     sql["stream_dedup"] = f"""{_with(_REVIEWS, _MESSAGES)}
         SELECT DISTINCT {_MSG_ID} AS msg_id, asin, review_date, review_text FROM messages"""
     sql["stream_trend"] = sql["rating_trend"]
+    sql["stream_sentiment_trend"] = sql["sentiment_trend"]
     return sql

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewtide.operators.trends import rating_trend
 
-TREND = T.StructType(
-    [
-        T.StructField("asin", T.StringType()),
-        T.StructField("period_start", T.TimestampType()),
-        T.StructField("n_reviews", T.LongType()),
-        T.StructField("avg_rating", T.DoubleType()),
-    ]
+_KEYS = "asin string, period_start timestamp, n_reviews bigint, "
+RATING_TREND = _KEYS + "avg_rating double"
+SENTIMENT_TREND = (
+    _KEYS + "n_positive bigint, n_neutral bigint, n_negative bigint, "
+    "share_positive double, share_neutral double, share_negative double"
 )
 
 
 def stream_trend(
-    df: DataFrame, period: str = "7 days", delay: str = "7 days", ts: str = "timestamp"
+    df: DataFrame,
+    period: str = "7 days",
+    delay: str = "7 days",
+    ts: str = "timestamp",
+    trend: Callable[[DataFrame, str, str], DataFrame] = rating_trend,
 ) -> DataFrame:
-    """Rating trend of a stream; rows later than ``delay`` behind the newest are ignored.
+    """Rating (or sentiment) trend of a stream; rows more than ``delay`` late are ignored.
 
     Run it in ``append`` mode to get each period once when it is complete, or in ``update``
     mode to get every change of a period.
     """
-    return rating_trend(df.withWatermark(ts, delay), period, ts)
+    return trend(df.withWatermark(ts, delay), period, ts)
 
 
 def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -45,14 +48,12 @@ def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def read_trend(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of every (asin, period)."""
-    schema = T.StructType([*TREND.fields, T.StructField("batch_id", T.LongType())])
-    changes = spark.read.schema(schema).parquet(path)
-    # A period's count only grows, so its newest state is the one of the latest batch.
-    newest = F.max(F.struct("batch_id", "n_reviews", "avg_rating")).alias("newest")
+def read_trend(spark: SparkSession, path: str, schema: str = RATING_TREND) -> DataFrame:
+    """The newest state of every (asin, period), which is the one of its latest batch."""
+    changes = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    keys = ("asin", "period_start")
+    values = [c for c in changes.columns if c not in (*keys, "batch_id")]
+    newest = F.max(F.struct("batch_id", *values)).alias("newest")
     return (
-        changes.groupBy("asin", "period_start")
-        .agg(newest)
-        .select("asin", "period_start", "newest.n_reviews", "newest.avg_rating")
+        changes.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.{c}") for c in values])
     )
