@@ -22,7 +22,7 @@ from reviewtide.functions.fixed_values import (
 
 _NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
-_ATTRIBUTE = rf"""\s+[^\s=>"'/]+(?:\s*=\s*{_VALUE.replace("(", "(?:", 1)})?"""
+_ATTRIBUTE = rf"""\s([^\s=>"'/]+)\s*=\s*{_VALUE}"""
 _INSIDE_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _ANY_TAG = rf"<[a-zA-Z/!](?:{_INSIDE_TAG}|[^>]*)>"
 _VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
@@ -42,12 +42,17 @@ def escape_text(text: Column) -> Column:
     return text
 
 
-def _attribute(opening: Column, name: str) -> Column:
-    """Value of one attribute of a tag string, null when the tag does not have it."""
-    pattern = rf"(?is)^<\w+(?:{_ATTRIBUTE})*?\s+{name}\s*=\s*{_VALUE}"
-    raw = F.regexp_extract(opening, pattern, 1)
-    value = F.regexp_replace(raw, r"""^["']|["']$""", "")
-    return F.when(raw != "", decode_references(value))
+def _attribute(element: Column, name: str) -> Column:
+    """Value of one attribute of an element's opening tag, null when it is not there.
+
+    Attributes are found one after the other, each with its whole value, so neither text inside
+    a value nor a tag with thousands of attributes causes trouble.
+    """
+    opening = F.regexp_extract(element, rf"(?s)^<\w+{_INSIDE_TAG}>", 0)
+    all_attributes = F.regexp_extract_all(opening, F.lit(f"(?s){_ATTRIBUTE}"), F.lit(0))
+    named = F.filter(all_attributes, lambda a: a.rlike(rf"(?is)^\s{name}\s*="))
+    value = F.regexp_extract(F.get(named, F.lit(0)), f"(?s)^{_ATTRIBUTE}$", 2)
+    return decode_references(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
 def _has_class(opening: Column, cls: str) -> Column:

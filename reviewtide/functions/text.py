@@ -22,21 +22,22 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "[^\\x00-\\x7F]+", "")
 
 
-def tokens(text: Column) -> Column:
+def tokens(text: Column, lowered: bool = False) -> Column:
     """Whitespace tokens with the ML tokenizer's rules.
 
     Leading and inner empty tokens stay, trailing ones go. Whitespace-only text has no
-    token, the empty string has one empty token.
+    token, the empty string has one empty token. Pass ``lowered`` for text in lower case.
     """
-    body = F.rtrim(F.lower(text), F.lit(WHITESPACE))
+    body = F.rtrim(text if lowered else F.lower(text), F.lit(WHITESPACE))
     blank = (body == "") & (text != "")
     return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(body, "\\s"))
 
 
-def without_stop_words(words: Column) -> Column:
-    """Drop English stop words; repeated words stay repeated."""
+def without_stop_words(words: Column, lowered: bool = False) -> Column:
+    """Drop English stop words in any case; repeated words stay repeated."""
     listed = ", ".join("'" + w.replace("'", "\\'") + "'" for w in STOP_WORDS)
-    return F.call_function("filter", words, F.expr(f"w -> lower(w) NOT IN ({listed})"))
+    word = "w" if lowered else "lower(w)"
+    return F.call_function("filter", words, F.expr(f"w -> {word} NOT IN ({listed})"))
 
 
 def ngrams(words: Column, n: int = NGRAM_SIZE) -> Column:

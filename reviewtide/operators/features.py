@@ -43,8 +43,8 @@ def with_ngrams(df: DataFrame, n: int = NGRAM_SIZE) -> DataFrame:
 
 
 def terms_of(text_col: str = CLEAN_TEXT, n: int = NGRAM_SIZE) -> Column:
-    """All n-grams of the cleaned text, repeats included."""
-    return ngrams(without_stop_words(tokens(F.col(text_col))), n)
+    """All n-grams of the cleaned (lower-case) text, repeats included."""
+    return ngrams(without_stop_words(tokens(F.col(text_col), True), True), n)
 
 
 def _entries(text_col: str, n: int, with_length: bool) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 256 * 1024 * 1024
 HOT_KEYS = 1000
-TRACKED_KEYS = 100_000
+TRACKED_KEYS = 10_000
+SKETCH_GROUPS = 64
 _ROW_OVERHEAD = 64
 
 
@@ -26,11 +27,17 @@ def measured_bytes(df: DataFrame) -> int:
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """The most frequent values of ``key``, at most ``HOT_KEYS`` rows.
 
-    A mergeable sketch finds them in one pass without a shuffle. It cannot miss a key that
-    holds a noticeable share of the rows, and callers get right results with any set of keys.
+    Mergeable sketches find them in one pass without a shuffle of the rows, merged in groups of
+    tasks first. A key with a noticeable share of the rows is not missed, and callers get right
+    results with any set of keys.
     """
-    top = F.expr(f"approx_top_k({key}, {HOT_KEYS}, {TRACKED_KEYS})")
-    items = rows.filter(F.col(key).isNotNull()).agg(top.alias("top")).first()["top"]
+    sketch = F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("sketch")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
+    keyed = rows.filter(F.col(key).isNotNull())
+    parts = keyed.select(key, group).groupBy("part").agg(sketch)
+    whole = parts.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
+    estimate = F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")
+    items = [] if keyed.isEmpty() else whole.select(estimate).first()[0]
     schema = T.StructType([T.StructField(key, rows.schema[key].dataType)])
     return rows.sparkSession.createDataFrame([(i["item"],) for i in items], schema)
 

@@ -52,6 +52,15 @@ def test_attr_values(spark):
     assert one(spark, html, lambda h: rt.attr_values(h, "a", "title")) == ["t"]
 
 
+def test_odd_attributes(spark):
+    html = (
+        '<a title="see href=/no" disabled href="/1">x</a><a disabled>y</a><a href="">z</a>'
+        "<a hrefx='/no' HREF='/2\n3'>w</a><a " + "k=v " * 20000 + 'href="/4" ' + "d " * 20000 + ">v</a>"
+    )
+    assert one(spark, html, lambda h: rt.attr_values(h, "a", "href")) == ["/1", "", "/2\n3", "/4"]
+    assert one(spark, html, lambda h: rt.tag_texts(h, "a")) == ["x", "y", "z", "w", "v"]
+
+
 def test_nested_tags_keep_their_whole_text(spark):
     html = body("first <span>inner</span> last") + "<span>other</span>"
     assert one(spark, html, lambda h: rt.nested_tag_texts(h, "span", BODY)) == [
