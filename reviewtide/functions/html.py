@@ -85,7 +85,10 @@ def attr_values(html: Column, tag: str, attr: str, cls: str | None = None) -> Co
 
 
 def nested_tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
-    """Like ``tag_texts`` for elements that may contain the same tag again."""
+    """Like ``tag_texts`` for elements that may contain the same tag again.
+
+    Pages that do not mention the tag and class are not sent to Python.
+    """
     wanted = None if cls is None else " ".join(cls.split())
     void = frozenset(_VOID_TAGS)
 
@@ -130,7 +133,11 @@ def nested_tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
 
         return pages.map(one)
 
-    return texts(html)
+    relevant = F.contains(F.lower(html), F.lit(f"<{tag}"))
+    for word in (cls or "").split():
+        relevant = relevant & F.contains(html, F.lit(word))
+    nothing = F.when(html.isNotNull(), F.array().cast("array<string>"))
+    return F.coalesce(texts(F.when(relevant, html)), nothing)
 
 
 def review_dates(texts: Column) -> Column:
