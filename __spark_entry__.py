@@ -384,7 +384,9 @@ def stored_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly trend of the results table, written and read back."""
     path = new_dir(spark, "stored")
     rt.append_scored(rt.with_sentiment(_records(spark, sf_dir), "rating"), path, batch_id=0)
-    stored = rt.read_scored(spark, path).withColumn("day", F.col("review_date").cast("timestamp"))
+    stored = rt.read_scored(spark, path).withColumn(
+        "day", F.col("review_date").cast("timestamp_ntz")
+    )
     rated = stored.filter("rating IS NOT NULL")
     return _day(rt.rating_trend(rated, "28 days", "day"), "avg_rating")
 
@@ -427,6 +429,7 @@ def _arriving_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tables.table(spark, sf_dir, "events").schema
     # The glob matches the table whether it is one file or a folder of files.
     arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    # A watermark needs instants; run the session in UTC so that days are the same.
     at = F.col("timestamp").cast("timestamp")
     return tables.as_ratings(arriving).withColumn("timestamp", at)
 

@@ -1,8 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 import reviewtide as rt
 
 SCHEMA = "asin string, name string, price int, timestamp string, rating string, review_content string"
