@@ -507,11 +507,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return model_predictions(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The queries of the llm subpackage and the pipeline, or None where they are not installed."""
+    try:
+        import corpus_pipeline
+        from reviewtide.llm import queries as llm_queries
+    except ImportError:
+        return None
+    return llm_queries, corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm := _llm():
+        found |= {**llm[0].queries(), "pipeline": llm[1].run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every registered query."""
-    return statements()
+    """DuckDB SQL for the registered queries that SQL can express."""
+    found = statements()
+    if llm := _llm():
+        found |= llm[0].oracle_sql()
+        if llm[1].ORACLE_SQL:
+            found["pipeline"] = llm[1].ORACLE_SQL
+    return found
