@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,29 @@ SPACE = 32
 _CODE_POINTS = 0x110000
 
 
+def share_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    A cluster whose executors have no such folder gets the library by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
+def with_library(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``function`` of a session and more, after the session got to know the library."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        share_library(spark)
+        return function(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

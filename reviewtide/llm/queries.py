@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,31 +18,11 @@ from reviewtide.llm import (
     urls,
     vector_graph,
 )
+from reviewtide.llm.common import with_library
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def share_library(spark: SparkSession) -> None:
-    """Let Python workers import this library from where the driver has it.
-
-    A cluster whose executors have no such folder gets the library by ``--py-files``.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    known = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in known:
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
-
-
-def _registered(query: Query) -> Query:
-    @functools.wraps(query)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        share_library(spark)
-        return query(spark, sf_dir)
-
-    return run
-
-
 _QUERIES: tuple[Query, ...] = (
     substrings.op1_column_suffixes,
     decontamination.op2_qgram_leaks,
@@ -61,7 +38,7 @@ _QUERIES: tuple[Query, ...] = (
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: _registered(query) for query in _QUERIES}
+    return {query.__name__: with_library(query) for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
