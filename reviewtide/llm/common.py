@@ -178,9 +178,9 @@ def bit_set(rows: DataFrame, slot: Column, bits: int) -> np.ndarray:
     ``bits`` whatever the number of rows. Used as a filter that may let other rows pass.
     """
     words = rows.select(slot.cast("long").alias("s")).groupBy(F.expr("s DIV 64").alias("at"))
-    found = words.agg(F.expr("bit_or(shiftleft(1L, CAST(s % 64 AS INT)))").alias("word")).toPandas()
+    found = words.agg(F.expr("bit_or(shiftleft(1L, CAST(s % 64 AS INT)))").alias("word")).toArrow()
     out = np.zeros(max(1, (1 << bits) // 64), np.uint64)
-    out[found["at"].to_numpy(np.int64)] = found["word"].to_numpy(np.int64).view(np.uint64)
+    out[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
     return out
 
 

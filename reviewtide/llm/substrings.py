@@ -64,7 +64,8 @@ def runs(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
 
 
 def _key_slot(keys: np.ndarray) -> np.ndarray:
-    return keys >> np.uint64(64 - KEY_BITS)
+    """The low bits: the high ones of the smallest of many hashes are mostly zero."""
+    return keys & np.uint64((1 << KEY_BITS) - 1)
 
 
 def _place_slot(doc: int, start: np.ndarray) -> np.ndarray:
@@ -101,7 +102,7 @@ def _repeated_keys(docs: DataFrame) -> np.ndarray:
     """The slots of keys that occur at least twice."""
     keys = _scan(docs, lambda doc, data, key, *_: (key,), "key long").select("key")
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return bit_set(often, F.expr(f"shiftrightunsigned(key, {64 - KEY_BITS})"), KEY_BITS)
+    return bit_set(often, F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1)), KEY_BITS)
 
 
 def _occurrences(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
