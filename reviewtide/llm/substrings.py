@@ -33,7 +33,7 @@ ANCHOR = 24
 KEY_BITS = 26
 #: Strings of one collection in a task, and the most of one key that go to one task.
 COLLECTION = 16_384
-HOT_STRINGS = 65_536
+HOT_STRINGS = 4096
 _PLACE = 24  # bits of a place within a piece of a text
 _PIECE = (1 << _PLACE) - (1 << 10)
 
