@@ -33,6 +33,8 @@ PERCENT = 90
 CLASS_LIMITS = (16, 256)
 #: Slots of the table of token classes, of fixed size, that goes to all tasks.
 CLASS_BITS = 22
+#: Bits of a set's parity sketch.
+SKETCH_BITS = 1024
 #: Sets of fewer tokens are indexed by single tokens only.
 SMALL_LEVEL = 3
 
@@ -118,18 +120,27 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """Of each of ``SKETCH_BITS`` groups of tokens whether the set holds an odd number.
+
+    Two sketches differ in no more bits than the sets do in tokens.
+    """
+    odd = np.bincount((tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _profile(text: str, percent: int) -> Column:
-    """struct(n, digest, prefix): set size, digest of the set, its first tokens by hash."""
+    """struct(n, digest, prefix, sketch): set size, digest of the set, its first tokens by hash."""
 
-    @F.pandas_udf("n long, digest binary, prefix array<long>")
+    @F.pandas_udf("n long, digest binary, prefix array<long>, sketch array<long>")
     def apply(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             tokens = shingles(t)
             n = len(tokens)
             prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
-            rows.append((n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), _signed(prefix)))
-        return pd.DataFrame(rows, columns=["n", "digest", "prefix"])
+            rows.append((n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), _signed(prefix), _sketch(tokens)))
+        return pd.DataFrame(rows, columns=["n", "digest", "prefix", "sketch"])
 
     return apply(F.col(text))
 
@@ -174,6 +185,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     return materialise(both.filter(100 * shared >= percent * (sizes - shared)).select("a", "b").distinct(), "links")
 
 
+def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` without those whose sketches differ in more bits than similar sets do in tokens."""
+    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    both = pairs.join(left, "a").join(right, "b")
+    bits = F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    return both.filter((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _close(na: str, nb: str, percent: int) -> Column:
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
@@ -191,7 +212,7 @@ def jaccard_groups(
     Equal sets are one node. Within each index key every set is compared with the smallest node
     first; what that joins needs no further comparison, and only pairs of sets that are still in
     different components are then compared one by one. So a group of n near copies costs about n
-    comparisons, and no link between components is lost.
+    comparisons, and no link between components is lost. Parity sketches first drop pairs that cannot be similar.
     """
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("t"))
     base = materialise(rows.select("node", _profile("t", percent).alias("p")).select("node", "p.*"), "profiles")
@@ -211,7 +232,9 @@ def jaccard_groups(
     centres = materialise(centres.filter("_last > centre").drop("_last"), "centres")
     shared = materialise(index.join(centres, "sig"), "shared")
     first = shared.filter("node <> centre").filter(_close("n", "n_centre", percent))
-    first = materialise(first.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    first = first.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    sketches = materialise(reps.select("node", "n", "sketch"), "sketches")
+    first = materialise(_plausible(first, sketches, percent), "pairs")
     links = _verified(first, docs, key, text, percent)
 
     known = materialise(components(links), "components")
@@ -222,7 +245,8 @@ def jaccard_groups(
     other = mixed.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     pairs = mixed.withColumnsRenamed({"node": "a", "n": "na", "component": "ca"}).join(other, "sig")
     pairs = pairs.filter("a < b AND ca <> cb").filter(_close("na", "nb", percent)).select("a", "b").distinct()
-    pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+    pairs = _plausible(pairs, sketches, percent).join(first, ["a", "b"], "left_anti")
+    pairs = materialise(pairs, "pairs")
     links = links.unionByName(_verified(pairs, docs, key, text, percent))
 
     found = materialise(components(links), "components")
