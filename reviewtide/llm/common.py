@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,9 +191,52 @@ def in_bit_set(words: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def scan_texts(docs: DataFrame, emit: Callable, fields: str) -> DataFrame:
+    """Apply ``emit(doc, bytes) -> columns`` to every whole text of (doc, t); adds column doc.
+
+    ``columns`` hold the rows that a text gives, any number, as arrays or lists in the order of
+    ``fields``. Null texts are empty. Texts are read in place from the Arrow batch, one at a time.
+    """
+    schema = f"doc {docs.schema['doc'].dataType.simpleString()}, {fields}"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = batch.schema.field("doc").type
+            ids, sizes, found = [], [], []
+            texts = batch["t"].cast(pa.large_binary())
+            for doc, text in zip(batch["doc"].to_pylist(), texts, strict=True):
+                data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.empty(0, np.uint8)
+                columns = emit(doc, data)
+                if len(columns[0]):
+                    found.append(columns)
+                    ids.append(doc)
+                    sizes.append(len(columns[0]))
+            if found:
+                joined = [list(itertools.chain(*c)) if isinstance(c[0], list) else np.concatenate(c) for c in zip(*found, strict=True)]
+                owner = pa.array(ids, kind).take(pa.array(np.repeat(np.arange(len(ids)), sizes)))
+                arrays = [pa.array(c.view(np.int64) if getattr(c, "dtype", None) == np.uint64 else c) for c in joined]
+                yield pa.RecordBatch.from_arrays([owner, *arrays], names=["doc", *names])
+
+    return docs.mapInArrow(scan, schema)
+
+
+#: Up to so many keys (and some 16 MB) are broadcast whole.
+FEW_KEYS = 500_000
 ROW_BITS = 24
 
 
+def rows_of(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is among ``keys``, whose texts are long.
+
+    Few keys are counted and broadcast, so no text is shuffled. Beyond that a filter of fixed size
+    keeps most other texts out of the shuffle.
+    """
+    if keys.count() <= FEW_KEYS:
+        return docs.join(F.broadcast(keys), key, "left_semi")
+    return docs.filter(maybe_in(keys, key)(F.col(key))).join(keys, key, "left_semi")
+
+
 def maybe_in(rows: DataFrame, key: str) -> Callable[[Column], Column]:
     """A test whether a key may be among ``rows``; never false for one that is.
 

@@ -20,11 +20,10 @@ import hashlib
 import itertools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import BASE, bit_set, components, in_bit_set, maybe_in, mix, span_hashes, table
+from reviewtide.llm.common import BASE, bit_set, components, in_bit_set, mix, rows_of, scan_texts, span_hashes, table
 from reviewtide.plans.storage import materialise
 
 SHINGLE = 3
@@ -38,13 +37,13 @@ SKETCH_BITS = 1024
 #: Sets of fewer tokens are indexed by single tokens only.
 SMALL_LEVEL = 3
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct word shingles of a whole text.
+def shingles(text: bytes | np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles of a whole text in UTF-8.
 
     A-Z are lower-cased and words are runs of anything but ASCII white space. With fewer than
     ``size`` words the whole sequence is one shingle; without words there is none.
     """
-    data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+    data = np.frombuffer(bytes(text).lower(), np.uint8)
     if not len(data):
         return np.empty(0, np.uint64)
     word = np.ones(len(data) + 2, bool)
@@ -116,10 +115,6 @@ def _combinations(tokens: np.ndarray, kind: np.ndarray, level: int, need: int) -
     return mix(np.array(made, np.uint64))
 
 
-def _signed(values: np.ndarray) -> np.ndarray:
-    return values.view(np.int64)
-
-
 def _sketch(tokens: np.ndarray) -> np.ndarray:
     """Of each of ``SKETCH_BITS`` groups of tokens whether the set holds an odd number.
 
@@ -129,20 +124,17 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _profile(text: str, percent: int) -> Column:
-    """struct(n, digest, prefix, sketch): set size, digest of the set, its first tokens by hash."""
+def _profiles(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc, n, digest, prefix, sketch): set size, digest of the set, its first tokens by hash."""
 
-    @F.pandas_udf("n long, digest binary, prefix array<long>, sketch array<long>")
-    def apply(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            tokens = shingles(t)
-            n = len(tokens)
-            prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
-            rows.append((n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), _signed(prefix), _sketch(tokens)))
-        return pd.DataFrame(rows, columns=["n", "digest", "prefix", "sketch"])
+    def emit(doc, data: np.ndarray) -> tuple:
+        tokens = shingles(data)
+        n = len(tokens)
+        prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
+        digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+        return [n], [digest], [prefix.view(np.int64)], [_sketch(tokens)]
 
-    return apply(F.col(text))
+    return scan_texts(docs, emit, "n long, digest binary, prefix array<long>, sketch array<long>")
 
 
 def _token_classes(reps: DataFrame, limits: tuple[int, int]) -> np.ndarray:
@@ -157,28 +149,14 @@ def _token_classes(reps: DataFrame, limits: tuple[int, int]) -> np.ndarray:
     return classes
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, tokens) of the wanted documents.
-
-    Only the texts of those (and few others) are read by Python and shuffled.
-    """
-    maybe = maybe_in(wanted, "node")
-
-    @F.pandas_udf("array<long>")
-    def tokens(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(shingles(t)) for t in texts], dtype=object)
-
-    near = docs.select(F.col(key).alias("node"), F.col(text).alias("t")).filter("node IS NOT NULL")
-    near = near.filter(maybe(F.col("node"))).select("node", tokens("t").alias("tokens"))
-    return near.join(wanted, "node", "left_semi")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` that are similar, by their whole sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(_sets(docs, materialise(wanted, "wanted"), key, text), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    texts = rows_of(docs, materialise(wanted, "wanted"), "doc")
+    sets = scan_texts(texts, lambda doc, data: ([shingles(data).view(np.int64)],), "tokens array<long>")
+    sets = materialise(sets, "sets")
+    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ta", "tb")).cast("long")
     sizes = F.size("ta") + F.size("tb")
@@ -214,18 +192,18 @@ def jaccard_groups(
     different components are then compared one by one. So a group of n near copies costs about n
     comparisons, and no link between components is lost. Parity sketches first drop pairs that cannot be similar.
     """
-    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("t"))
-    base = materialise(rows.select("node", _profile("t", percent).alias("p")).select("node", "p.*"), "profiles")
+    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t"))
+    base = materialise(_profiles(rows, percent).withColumnRenamed("doc", "node"), "profiles")
+    rows = rows.filter("doc IS NOT NULL")
     filled = base.filter("n > 0 AND node IS NOT NULL")
     classes = materialise(filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("n").alias("n")), "classes")
     reps = base.join(classes.select("node", "digest"), ["node", "digest"], "left_semi")
     table_of = docs.sparkSession.sparkContext.broadcast(_token_classes(reps, CLASS_LIMITS))
 
-    @F.pandas_udf("array<long>")
-    def index_keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(signatures(shingles(t), table_of.value, percent)) for t in texts], dtype=object)
+    def index_keys(doc, data: np.ndarray) -> tuple:
+        return (signatures(shingles(data), table_of.value, percent),)
 
-    keyed = rows.filter("node IS NOT NULL").select("node", F.explode(index_keys("t")).alias("sig"))
+    keyed = scan_texts(rows, index_keys, "sig long").withColumnRenamed("doc", "node")
     nodes = classes.select("node", "n")
     index = materialise(keyed.join(nodes, "node"), "index")
     centres = index.groupBy("sig").agg(F.min("node").alias("centre"), F.min_by("n", "node").alias("n_centre"), F.max("node").alias("_last"))
@@ -235,7 +213,7 @@ def jaccard_groups(
     first = first.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     sketches = materialise(reps.select("node", "n", "sketch"), "sketches")
     first = materialise(_plausible(first, sketches, percent), "pairs")
-    links = _verified(first, docs, key, text, percent)
+    links = _verified(first, rows, percent)
 
     known = materialise(components(links), "components")
     left = shared.select("sig", "node", "n").join(known, "node", "left")
@@ -247,7 +225,7 @@ def jaccard_groups(
     pairs = pairs.filter("a < b AND ca <> cb").filter(_close("na", "nb", percent)).select("a", "b").distinct()
     pairs = _plausible(pairs, sketches, percent).join(first, ["a", "b"], "left_anti")
     pairs = materialise(pairs, "pairs")
-    links = links.unionByName(_verified(pairs, docs, key, text, percent))
+    links = links.unionByName(_verified(pairs, rows, percent))
 
     found = materialise(components(links), "components")
     grouped = classes.select("digest", "node").join(found, "node", "left")

@@ -17,15 +17,14 @@ writes are read once, front to back.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import bit_set, in_bit_set, maybe_in, mix, span_hashes, table
+from reviewtide.llm.common import bit_set, in_bit_set, maybe_in, mix, scan_texts, span_hashes, table
 from reviewtide.plans.storage import materialise
 
 LENGTH = 100
@@ -73,34 +72,9 @@ def _place_slot(doc: int, start: np.ndarray) -> np.ndarray:
     return mix(mix(np.full(1, base) + np.uint64(0x9E3779B97F4A7C15)) ^ start.astype(np.uint64)) >> np.uint64(64 - KEY_BITS)
 
 
-def _scan(docs: DataFrame, emit: Callable, fields: str) -> DataFrame:
-    """Apply ``emit(doc, bytes, runs) -> columns`` to every whole text of (doc, t)."""
-    schema = f"doc {docs.schema['doc'].dataType.simpleString()}, {fields}"
-    names = [f.split()[0] for f in fields.split(", ")]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind = batch.schema.field("doc").type
-            ids, found = [], []
-            texts = batch["t"].cast(pa.large_binary())
-            for doc, text in zip(batch["doc"].to_pylist(), texts, strict=True):
-                data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.empty(0, np.uint8)
-                columns = emit(doc, data, *runs(data))
-                if len(columns[0]):
-                    found.append(columns)
-                    ids.append((doc, len(columns[0])))
-            if found:
-                joined = [sum(c, []) if isinstance(c[0], list) else np.concatenate(c) for c in zip(*found, strict=True)]
-                owner = pa.array([d for d, _ in ids], kind).take(pa.array(np.repeat(np.arange(len(ids)), [n for _, n in ids])))
-                arrays = [pa.array(c.view(np.int64) if getattr(c, "dtype", None) == np.uint64 else c) for c in joined]
-                yield pa.RecordBatch.from_arrays([owner, *arrays], names=["doc", *names])
-
-    return docs.mapInArrow(scan, schema)
-
-
 def _repeated_keys(docs: DataFrame) -> np.ndarray:
     """The slots of keys that occur at least twice."""
-    keys = _scan(docs, lambda doc, data, key, *_: (key,), "key long").select("key")
+    keys = scan_texts(docs, lambda doc, data: (runs(data)[0],), "key long").select("key")
     often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return bit_set(often, F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1)), KEY_BITS)
 
@@ -109,25 +83,27 @@ def _occurrences(docs: DataFrame, repeated: np.ndarray) -> DataFrame:
     """Every run whose key may be repeated: doc, key, digest of its text, start, length, slot."""
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
-    def emit(doc, data, key, start, end, anchor):
+    def emit(doc, data: np.ndarray) -> tuple:
+        key, start, end, _ = runs(data)
         own = in_bit_set(shared.value, _key_slot(key))
         key, start, end = key[own], start[own], end[own]
         digest = span_hashes(data, start, end) if len(key) else key
         return key, digest, start, end - start, _place_slot(doc, start).astype(np.int64)
 
-    return _scan(docs, emit, "key long, digest long, start long, length long, slot long")
+    return scan_texts(docs, emit, "key long, digest long, start long, length long, slot long")
 
 
 def _strings(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The text of the earliest runs (doc, start, key, ...) with the anchor's place in it."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_set(firsts, F.col("slot"), KEY_BITS))
 
-    def emit(doc, data, key, start, end, anchor):
+    def emit(doc, data: np.ndarray) -> tuple:
+        _, start, end, anchor = runs(data)
         own = in_bit_set(shared.value, _place_slot(doc, start))
         text = [data[s:e].tobytes() for s, e in zip(start[own].tolist(), end[own].tolist(), strict=True)]
         return start[own], anchor[own] - start[own], text
 
-    found = _scan(docs, emit, "start long, lead long, text binary")
+    found = scan_texts(docs, emit, "start long, lead long, text binary")
     return found.join(firsts.select("doc", "start", "key", "n_strings"), ["doc", "start"])
 
 
