@@ -29,11 +29,13 @@ from reviewtide.plans.storage import materialise
 SHINGLE = 3
 PERCENT = 90
 #: A token in the hash prefix of more sets than these is of class 2, of class 3.
-CLASS_LIMITS = (16, 256)
+CLASS_LIMITS = (4, 64)
 #: Slots of the table of token classes, of fixed size, that goes to all tasks.
 CLASS_BITS = 22
 #: Bits of a set's parity sketch.
 SKETCH_BITS = 1024
+#: Words of a smaller one that goes along with index keys.
+FOLD_WORDS = 4
 #: Sets of fewer tokens are indexed by single tokens only.
 SMALL_LEVEL = 3
 
@@ -61,9 +63,12 @@ def shingles(text: bytes | np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return np.unique(found)
 
 
-def errors_allowed(n: int, percent: int = PERCENT) -> int:
-    """How many of n tokens a similar set may lack: at least ceil(percent n / 100) are shared."""
-    return n - -(-percent * n // 100)
+def errors_allowed(n: int, percent: int = PERCENT, smaller: bool = False) -> int:
+    """How many of n tokens a similar set may lack: at least ceil(percent n / 100) are shared.
+
+    In a set that is no larger than the other it is fewer: ceil(2 percent n / (100 + percent)) are.
+    """
+    return n - (-(-2 * percent * n // (100 + percent)) if smaller else -(-percent * n // 100))
 
 
 def _levels(n: int, percent: int) -> list[int]:
@@ -75,12 +80,15 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return tokens & np.uint64((1 << CLASS_BITS) - 1)
 
 
-def signatures(tokens: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Index keys of a set, its sorted distinct tokens given; ``classes`` by slot, 1 to 3."""
+def signatures(tokens: np.ndarray, classes: np.ndarray, percent: int = PERCENT, smaller: bool = False) -> np.ndarray:
+    """Index keys of a set, its sorted distinct tokens given; ``classes`` by slot, 1 to 3.
+
+    With ``smaller`` only those that it needs as the smaller set of a pair.
+    """
     n = len(tokens)
     if not n:
         return tokens
-    need = errors_allowed(n, percent) + 1
+    need = errors_allowed(n, percent, smaller) + 1
     kind = classes[_slots(tokens)]
     singles = tokens[kind == 1]
     if len(singles) >= need:
@@ -115,12 +123,12 @@ def _combinations(tokens: np.ndarray, kind: np.ndarray, level: int, need: int) -
     return mix(np.array(made, np.uint64))
 
 
-def _sketch(tokens: np.ndarray) -> np.ndarray:
-    """Of each of ``SKETCH_BITS`` groups of tokens whether the set holds an odd number.
+def _sketch(tokens: np.ndarray, size: int = SKETCH_BITS) -> np.ndarray:
+    """Of each of ``size`` groups of tokens whether the set holds an odd number.
 
     Two sketches differ in no more bits than the sets do in tokens.
     """
-    odd = np.bincount((tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -132,9 +140,10 @@ def _profiles(docs: DataFrame, percent: int) -> DataFrame:
         n = len(tokens)
         prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
         digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-        return [n], [digest], [prefix.view(np.int64)], [_sketch(tokens)]
+        return [n], [digest], [prefix.view(np.int64)], [_sketch(tokens)], [_sketch(tokens, 64 * FOLD_WORDS)]
 
-    return scan_texts(docs, emit, "n long, digest binary, prefix array<long>, sketch array<long>")
+    fields = "n long, digest binary, prefix array<long>, sketch array<long>, fold array<long>"
+    return scan_texts(docs, emit, fields)
 
 
 def _token_classes(reps: DataFrame, limits: tuple[int, int]) -> np.ndarray:
@@ -173,8 +182,11 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return both.filter((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def _close(na: str, nb: str, percent: int) -> Column:
-    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+def _fits(n_a: str, core_a: str, n_b: str, core_b: str, percent: int) -> Column:
+    """Sizes that similar sets may have, and an index key that the smaller set needs."""
+    a, b = F.col(n_a), F.col(n_b)
+    close = 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    return close & (F.col(core_a) | (a > b)) & (F.col(core_b) | (b > a))
 
 
 def jaccard_groups(
@@ -201,28 +213,36 @@ def jaccard_groups(
     table_of = docs.sparkSession.sparkContext.broadcast(_token_classes(reps, CLASS_LIMITS))
 
     def index_keys(doc, data: np.ndarray) -> tuple:
-        return (signatures(shingles(data), table_of.value, percent),)
+        tokens = shingles(data)
+        found = signatures(tokens, table_of.value, percent)
+        return found, np.isin(found, signatures(tokens, table_of.value, percent, smaller=True))
 
-    keyed = scan_texts(rows, index_keys, "sig long").withColumnRenamed("doc", "node")
+    keyed = scan_texts(rows, index_keys, "sig long, core boolean").withColumnRenamed("doc", "node")
     nodes = classes.select("node", "n")
     index = materialise(keyed.join(nodes, "node"), "index")
-    centres = index.groupBy("sig").agg(F.min("node").alias("centre"), F.min_by("n", "node").alias("n_centre"), F.max("node").alias("_last"))
-    centres = materialise(centres.filter("_last > centre").drop("_last"), "centres")
+    lowest = F.min(F.struct("node", "n", "core")).alias("low")
+    centres = index.groupBy("sig").agg(lowest, F.max("node").alias("_last")).filter("_last > low.node")
+    centres = materialise(centres.select("sig", "low"), "centres")
     shared = materialise(index.join(centres, "sig"), "shared")
-    first = shared.filter("node <> centre").filter(_close("n", "n_centre", percent))
-    first = first.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    sketches = materialise(reps.select("node", "n", "sketch"), "sketches")
+    first = shared.filter("node <> low.node").filter(_fits("n", "core", "low.n", "low.core", percent))
+    first = first.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
+    sketches = materialise(reps.select("node", "n", "sketch", "fold"), "sketches")
     first = materialise(_plausible(first, sketches, percent), "pairs")
     links = _verified(first, rows, percent)
 
     known = materialise(components(links), "components")
-    left = shared.select("sig", "node", "n").join(known, "node", "left")
+    words = [F.col("fold")[i].alias(f"w{i}") for i in range(FOLD_WORDS)]
+    left = shared.select("sig", "node", "n", "core").join(known, "node", "left")
     left = left.withColumn("component", F.coalesce("component", "node"))
     spread = left.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = materialise(left.join(spread.filter("low < high").select("sig"), "sig", "left_semi"), "mixed")
-    other = mixed.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = mixed.withColumnsRenamed({"node": "a", "n": "na", "component": "ca"}).join(other, "sig")
-    pairs = pairs.filter("a < b AND ca <> cb").filter(_close("na", "nb", percent)).select("a", "b").distinct()
+    mixed = left.join(spread.filter("low < high").select("sig"), "sig", "left_semi")
+    mixed = materialise(mixed.join(sketches.select("node", *words), "node"), "mixed")
+    one, two = (mixed.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in mixed.columns if c != "sig"]) for i in "ab")
+    differ = sum((F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(FOLD_WORDS)), F.lit(0))
+    alike = (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    pairs = one.join(two, "sig").filter("node_a < node_b AND component_a <> component_b")
+    pairs = pairs.filter(_fits("n_a", "core_a", "n_b", "core_b", percent) & alike)
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     pairs = _plausible(pairs, sketches, percent).join(first, ["a", "b"], "left_anti")
     pairs = materialise(pairs, "pairs")
     links = links.unionByName(_verified(pairs, rows, percent))
