@@ -17,7 +17,8 @@ BITS = 12
 CENTROIDS = 4
 ROUNDS = 8
 FIT_ROWS = 800
-SLACK = 0.4
+SLACK = 0.4  # of the cosine that all but a hundredth of the texts of a length reach
+MIN_ROWS = 20
 _BLOCK = 256
 
 
@@ -104,12 +105,14 @@ def fit_languages(
     language = np.repeat(np.arange(len(languages)), [len(g) for g in groups])
     centres = np.concatenate(groups).astype(np.float32)
     near = (weighed @ centres.T).max(axis=1)
-    floor, lowest = np.zeros(64, np.float32), 0.0
-    for power in range(64):
-        own = near[size == power]
-        if len(own) >= 20:
-            lowest = SLACK * float(np.quantile(own, 0.01))
-        floor[power] = lowest
+    known = {
+        power: SLACK * float(np.quantile(near[size == power], 0.01))
+        for power in range(64)
+        if (size == power).sum() >= MIN_ROWS
+    }
+    # Lengths of which few texts are known take the floor of the next shorter; the shortest half of the first.
+    lowest = next(iter(known.values()), 0.0) / 2
+    floor = np.array([lowest := known.get(power, lowest) for power in range(64)], np.float32)
     return LanguageModel(languages, language, centres, idf, floor)
 
 

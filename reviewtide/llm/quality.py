@@ -24,7 +24,7 @@ EMBED = 4
 FILTERS = 16
 FIT_ROWS = 600
 FIT_CHARS = 16_000
-EPOCHS = 14
+STEPS = 700
 BATCH = 32
 RATE = 0.01
 PENALTY = 1e-4
@@ -111,7 +111,7 @@ def _gradients(model: QualityModel, docs: list[np.ndarray], y: np.ndarray, w: np
     return [d_embed, d_filters, d_pool.sum(axis=0), joined.T @ error, error.sum(keepdims=True)]
 
 
-def fit_quality(sample: DataFrame, epochs: int = EPOCHS) -> QualityModel:
+def fit_quality(sample: DataFrame, steps: int = STEPS) -> QualityModel:
     """Train on the rows of ``labelled_sample``; those over ``FIT_CHARS`` characters are left out.
 
     The rows are bounded in number and length and come to the driver; the seed is fixed and the
@@ -142,13 +142,13 @@ def fit_quality(sample: DataFrame, epochs: int = EPOCHS) -> QualityModel:
     model.bias[:] = np.log(share / (1 - share))
     docs = [chunks(r["text"]) for r in got]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
-    step, steps = 0, epochs * -(-len(docs) // BATCH)
-    for _ in range(epochs):
+    step, per_epoch = 0, -(-len(docs) // BATCH)
+    for _ in range(-(-steps // per_epoch)):
         order = rng.permutation(len(docs))
         for start in range(0, len(docs), BATCH):
             batch = order[start : start + BATCH]
             step += 1
-            rate = RATE * (1 - step / (steps + 1))
+            rate = RATE * (1 - step / (steps + per_epoch))
             found = _gradients(model, [docs[i] for i in batch], y[batch], w[batch] / len(batch))
             for p, g, (m, v) in zip(model.parameters(), found, moments, strict=True):
                 g = g + PENALTY * p

@@ -1,0 +1,49 @@
+import pytest
+from llm.cases import brute_groups, documents, odd_documents, varied_documents
+
+import corpus_pipeline
+from reviewtide.llm import queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_queries_are_registered():
+    names = list(queries.queries())
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert set(queries.oracle_sql()) <= set(names)
+
+
+def test_url_query_equals_sql(spark):
+    from compare import connect, spark_rows, sql_rows
+
+    (name, sql), = queries.oracle_sql().items()
+    names, expected = sql_rows(connect(SMALL), sql)
+    df = queries.queries()[name](spark, SMALL)
+    assert sorted(df.columns) == sorted(names) and spark_rows(df) == expected
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    out = corpus_pipeline.run(spark, SMALL).toPandas()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").toPandas()
+    assert set(out["doc_id"]) <= set(docs["doc_id"])
+    assert set(out.columns) == {*docs.columns, "copy_no"}
+    assert out["copy_no"].between(1, 2).all()
+
+
+def test_stage_of_near_duplicates_equals_brute_force(spark):
+    rows = varied_documents(n=60)
+    groups, _ = brute_groups([r[:2] for r in rows])
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = stage(spark, documents(spark, rows, clashing=True), SMALL)
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, (_, c) in groups.items() if c == d}
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_and_empty_tables(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for rows in (odd_documents(), []):
+        docs = documents(spark, rows, clashing=True)
+        out = stage(spark, docs, SMALL)
+        last = ["copy_no"] if name == "mixing" else []
+        assert out.columns == [*docs.columns, *last]
+        assert len(out.collect()) <= 2 * len(rows)
