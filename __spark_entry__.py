@@ -34,7 +34,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.prepare_text(tables.reviews_all(spark, sf_dir))
+    return rt.prepare_text(tables.reviews_unrated(spark, sf_dir))
 
 
 def _r6(*columns: str) -> list[Column]:
@@ -60,7 +60,7 @@ def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = tables.reviews_all(spark, sf_dir)
+    reviews = tables.reviews_unrated(spark, sf_dir)
     return rt.split_by_key(reviews, "review_id").select("review_id", "is_train")
 
 
@@ -80,6 +80,32 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.read_reviews(spark, path).withColumnRenamed("reviewText", "review_text")
 
 
+def unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON lines, every seventh cut short: what cannot be read, told apart."""
+    path = new_dir(spark, "cut-lines")
+    review = F.to_json(F.struct(F.col("review_id").alias("overall"), F.lit("é").alias("summary")))
+    line = F.when(F.expr("review_id % 7 = 0"), F.expr("left(_line, length(_line) - 3)")).otherwise(F.col("_line"))
+    reviews = tables.reviews_unrated(spark, sf_dir).withColumn("_line", review)
+    reviews.select(line.alias("value")).write.text(path)
+    read = rt.read_reviews(spark, path).select(F.col("overall").cast("long").alias("overall"), F.lit(None).cast("string").alias("line"))
+    lost = rt.unreadable_lines(spark, path).select(F.lit(None).cast("long").alias("overall"), "line")
+    return read.unionByName(lost)
+
+
+def stored_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into one results table, the first replayed: nothing lost, nothing twice."""
+    path = new_dir(spark, "stored")
+    rated = rt.with_sentiment(_records(spark, sf_dir), "rating")
+    even = F.expr("conv(right(msg_id, 1), 16, 10) % 2 = 0")
+    for load, part in (("even", even), ("odd", ~even), ("even", even)):
+        rt.append_scored(rated.filter(part), path, run=load)
+    price = F.col("price").cast("double").alias("price")
+    return rt.read_scored(spark, path).select(
+        "msg_id", "asin", "name", "category", price, "review_date", "rating", "review_text",
+        "sentiment",
+    )
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message, encoded and decoded again, with id and types."""
     encoded = rt.encode_messages(tables.messages(spark, sf_dir))
@@ -250,7 +276,7 @@ def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "stored")
     records = _records(spark, sf_dir)
-    rt.append_scored(rt.with_sentiment(records, "rating"), path, batch_id=0)
+    rt.append_scored(rt.with_sentiment(records, "rating"), path, run="all")
     price = F.col("price").cast("double").alias("price")
     return rt.read_scored(spark, path).select(
         "msg_id", "asin", "name", "category", price, "review_date", "rating", "review_text",
@@ -273,7 +299,7 @@ def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = rt.recent(tables.reviews_all(spark, sf_dir), "review_date", "2022-12-25", 30)
+    reviews = rt.recent(tables.reviews_unrated(spark, sf_dir), "review_date", "2022-12-25", 30)
     before = rt.shift_days(F.col("review_date"), 3).alias("three_days_before")
     return reviews.select("review_id", "review_date", before)
 
@@ -327,7 +353,7 @@ def review_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Reviewed in Canada on "), F.date_format("review_date", "MMMM d, yyyy")
     )
     parsed = F.get(rt.review_dates(F.array(shown)), F.lit(0))
-    return tables.reviews_all(spark, sf_dir).select("review_id", parsed.alias("review_date"))
+    return tables.reviews_unrated(spark, sf_dir).select("review_id", parsed.alias("review_date"))
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,7 +409,7 @@ def sentiment_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly trend of the results table, written and read back."""
     path = new_dir(spark, "stored")
-    rt.append_scored(rt.with_sentiment(_records(spark, sf_dir), "rating"), path, batch_id=0)
+    rt.append_scored(rt.with_sentiment(_records(spark, sf_dir), "rating"), path, run="all")
     stored = rt.read_scored(spark, path).withColumn(
         "day", F.col("review_date").cast("timestamp_ntz")
     )
@@ -458,6 +484,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     label_index,
     review_msg_id,
     json_roundtrip,
+    unreadable_lines,
     message_roundtrip,
     tokens,
     tokens_no_stop,
@@ -479,6 +506,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     top_terms_per_class,
     scored_reviews,
     stored_reviews,
+    stored_twice,
     quality_rejects,
     recent_reviews,
     page_titles,

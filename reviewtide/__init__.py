@@ -65,7 +65,7 @@ from reviewtide.sources.messages import (
     send_messages,
     with_msg_id,
 )
-from reviewtide.sources.reviews import read_pages, read_reviews, spread, write_reviews
+from reviewtide.sources.reviews import read_pages, read_reviews, unreadable_lines, write_reviews
 from reviewtide.sources.store import append_scored, preview, read_scored
 from reviewtide.streaming.dedup import stream_dedup
 from reviewtide.streaming.score import scored_stream, stream_score

@@ -24,6 +24,9 @@ def attach_predictions(
 
 
 def attach_products(df: DataFrame, products: DataFrame) -> DataFrame:
-    """Add the product's name. The product table is broadcast only while it is small."""
+    """Add the product's name, null for a product that is not in the table.
+
+    The product table is broadcast only while it is small.
+    """
     named = products.groupBy("asin").agg(F.max("name").alias("name"))
-    return lookup_join(df, named, "asin", "inner", size_of=products)
+    return lookup_join(df, named, "asin", "left", size_of=products)

@@ -409,7 +409,13 @@ def statements() -> dict[str, str]:
         FROM all_reviews WHERE overall IS NOT NULL GROUP BY asin, period_start"""
 
     # Streams give what the batch gives.
-    sql["stream_scored"] = scored
+    # A stream scores a message once, however often it is delivered.
+    sql["stream_scored"] = f"SELECT DISTINCT * FROM ({scored})"
+    sql["stored_twice"] = sql["stored_reviews"]
+    sql["unreadable_lines"] = """
+        SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS overall,
+               CASE WHEN doc_id % 7 = 0 THEN '{"overall":' || doc_id || ',"summary":"' END AS line
+        FROM documents"""
     sql["stream_dedup"] = f"""{_with(_REVIEWS, _MESSAGES)}
         SELECT DISTINCT {_MSG_ID} AS msg_id, asin, review_date, review_text FROM messages"""
     sql["stream_trend"] = sql["rating_trend"]

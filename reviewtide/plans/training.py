@@ -8,6 +8,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     IndexToString,
     NGram,
@@ -95,10 +96,9 @@ def fit_pipeline(
     """
     table = count_terms(df, vocab_size, ngram)
     labels = table.labels
-    each = table.terms.select(F.array("term").alias(NGRAMS))
-    counter = CountVectorizer(vocabSize=vocab_size, inputCol=NGRAMS, outputCol=COUNTS).fit(each)
     terms = table.terms.select("term", "idf", *[f"tf_{s}" for s in labels]).toPandas()
-    terms = terms.set_index("term").reindex(counter.vocabulary)
+    terms = terms.sort_values("term", ignore_index=True)
+    counter = _counter(terms["term"].tolist())
     idf = terms["idf"].to_numpy(dtype=float)
     rows = []
     for index, s in enumerate(labels):
@@ -129,9 +129,19 @@ def fit_pipeline(
     )
 
 
-def fit_stages(df: DataFrame, **settings: object) -> PipelineModel:
-    """``Pipeline.fit`` on the rows that have a class, for comparison and small data."""
-    return build_pipeline(**settings).fit(df.filter(has_class()))
+def _counter(terms: list[str]) -> CountVectorizerModel:
+    return CountVectorizerModel.from_vocabulary(terms, inputCol=NGRAMS, outputCol=COUNTS)
+
+
+def fit_stages(df: DataFrame, vocab_size: int = VOCABULARY_SIZE, ngram: int = NGRAM_SIZE, **settings: object) -> PipelineModel:
+    """``Pipeline.fit`` on the rows that have a class, for comparison and small data.
+
+    The vocabulary is the exact one, ties at its end in term order; every other stage is fitted.
+    """
+    terms = count_terms(df, vocab_size, ngram).terms.select("term").toPandas()["term"]
+    stages = build_pipeline(vocab_size=vocab_size, ngram=ngram, **settings).getStages()
+    fixed = [_counter(sorted(terms)) if isinstance(s, CountVectorizer) else s for s in stages]
+    return Pipeline(stages=fixed).fit(df.filter(has_class()))
 
 
 def class_names(model: PipelineModel) -> list[str]:

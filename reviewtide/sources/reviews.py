@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewtide.schemas import CORRUPT, STORED_PAGE, TRAINING_REVIEW
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).filter(F.trim("value") != "")
+
+
+def _is_object(line: Column) -> Column:
+    return F.from_json(line, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
+
+
+def unreadable_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The non-blank lines (``line``) of review files that are not JSON objects."""
+    lines = _lines(spark, path)
+    return lines.filter(~_is_object(F.col("value"))).select(F.col("value").alias("line"))
+
+
 def read_reviews(
     spark: SparkSession,
     path: str | list[str],
@@ -20,7 +34,8 @@ def read_reviews(
     """Reviews with exactly the schema's fields; a missing key is null.
 
     Plain and gzip JSON lines work alike. A value of the wrong type is null. A line that is not
-    a JSON object is dropped, or kept as a row of nulls with its text in ``_corrupt_record``. A
+    a JSON object is no review: ``unreadable_lines`` gives those, and with ``keep_corrupt`` they
+    stay as rows of nulls with their text in ``_corrupt_record``. A
     gzip file cannot be split, so pass ``partitions`` to spread few large ones over the cluster.
     """
     if fmt != "json":
@@ -28,29 +43,14 @@ def read_reviews(
     else:
         marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        lines = spark.read.text(path).filter(F.trim("value") != "")
-        df = lines.select(F.from_json("value", marked, options).alias("r")).select("r.*")
+        lines = _lines(spark, path)
         if not keep_corrupt:
-            some_value = F.lit(False)
-            for field in schema.fields:
-                some_value = some_value | F.col(field.name).isNotNull()
-            df = df.filter(F.col(CORRUPT).isNull() | some_value).drop(CORRUPT)
+            lines = lines.filter(_is_object(F.col("value")))
+        df = lines.select(F.from_json("value", marked, options).alias("r")).select("r.*")
+        df = df if keep_corrupt else df.drop(CORRUPT)
     return df if partitions is None else df.repartition(partitions)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that arrives in fewer pieces than there are cores.
-
-    One gzip file or one parquet row group is a single task however long its text takes. Such
-    an input is small, so it is hashed once over the cores. A large input already has more
-    pieces than cores and is left as it is. Call it on a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def write_reviews(
     df: DataFrame,
     path: str,

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from reviewtide.schemas import STORED_REVIEW
 
 
-def append_scored(df: DataFrame, path: str, batch_id: int | str) -> None:
+def batch_folder(path: str, run: int | str, batch_id: int | str) -> str:
+    """The folder that one batch of one run owns. Batch numbers alone repeat in other runs."""
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
+def append_scored(df: DataFrame, path: str, run: int | str, batch_id: int | str = 0) -> None:
     """Append one batch of scored reviews, partitioned by review date.
 
-    Each batch owns the folder ``batch_id=<n>`` and overwrites it, so replaying a batch after
-    a failure adds no rows. The rebalance step gathers a date's rows into few files, and
+    ``run`` names who appends: a stream's query id, or any name that a batch job gives one load.
+    Each batch of a run owns a folder and overwrites it, so replaying a batch after a failure
+    adds no rows, and no other run is touched. The rebalance step gathers a date's rows into few files, and
     adaptive execution splits a hot date over several writers by its size.
     """
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_REVIEW.fields]
@@ -21,7 +27,7 @@ def append_scored(df: DataFrame, path: str, batch_id: int | str) -> None:
         .hint("rebalance", "review_date")
         .write.mode("overwrite")
         .partitionBy("review_date")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .parquet(batch_folder(path, run, batch_id))
     )
 
 

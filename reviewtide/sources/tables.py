@@ -14,7 +14,6 @@ from reviewtide.functions.fixed_values import (
 )
 from reviewtide.functions.html import escape_text
 from reviewtide.functions.ratings import parse_price
-from reviewtide.sources.reviews import spread
 
 FIRST_DAY = "2022-11-01"
 
@@ -44,8 +43,14 @@ def _as_reviews(rated: DataFrame, *more: Column) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over all cores for work on their text."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """The documents."""
+    return table(spark, sf_dir, "documents")
+
+
+def reviews_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a review without a rating, for work that needs none: no join."""
+    none = F.lit(None).cast("int")
+    return _as_reviews(documents(spark, sf_dir).withColumns({"quality": none, "toxic": none}))
 
 
 def reviews_all(spark: SparkSession, sf_dir: str) -> DataFrame:

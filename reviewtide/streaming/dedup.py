@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 16
-
-
 def stream_dedup(
-    df: DataFrame, delay: str, key: str = "msg_id", ts: str = "timestamp", spread: int = SPREAD
+    df: DataFrame, delay: str, key: str = "msg_id", ts: str = "timestamp", spread: int | None = None
 ) -> DataFrame:
     """One row per ``key`` among copies whose event times are at most ``delay`` apart.
 
     Copies of one message may be a third of the stream, and a stateful operator has no partial
     aggregation. So copies are first dropped per (key, part of the input), which spreads a hot
-    key over up to ``spread`` tasks, and the few that remain are dropped per key.
+    key over up to ``spread`` tasks (the session's shuffle partitions, if not given), and the few that remain are dropped per key.
     ``spread=1`` saves the first step and its state where copies are rare.
     """
+    if spread is None:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = df.withWatermark(ts, delay)
     if spread > 1:
         part = F.pmod(F.spark_partition_id(), F.lit(spread))

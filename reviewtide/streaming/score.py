@@ -15,14 +15,24 @@ from reviewtide.sources.messages import (
     read_messages,
     with_msg_id,
 )
-from reviewtide.sources.store import append_scored
+from reviewtide.sources.store import append_scored, batch_folder
 from reviewtide.streaming.dedup import stream_dedup
+from reviewtide.streaming.runs import start_run
+
+
+#: Redelivery that is recognised, and files in one batch, unless the caller says otherwise.
+DEDUP_DELAY = "1 day"
+MAX_FILES = 1000
+
+
+def message_records(messages: DataFrame) -> DataFrame:
+    """Decode, identify and type a batch or stream of raw messages."""
+    return normalise_types(with_msg_id(decode_messages(messages)))
 
 
 def scored_stream(messages: DataFrame, model: PipelineModel) -> DataFrame:
     """Decode, identify, type and score a batch or stream of raw messages. No shuffle."""
-    records = normalise_types(with_msg_id(decode_messages(messages)))
-    return score_messages(model, records)
+    return score_messages(model, message_records(messages))
 
 
 def stream_score(
@@ -33,37 +43,37 @@ def stream_score(
     checkpoint: str,
     rules: dict[str, Column] | None = None,
     rejects: str | None = None,
-    dedup_delay: str | None = None,
-    max_files: int | None = None,
+    dedup_delay: str | None = DEDUP_DELAY,
+    max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """Score all messages that have arrived, append them to ``sink``, then stop.
 
     Input counts as read only when the checkpoint records the batch after its write, and a
     replayed batch overwrites its own folder, so no row is lost or stored twice. With ``rules``
-    the rows that violate one go to ``rejects`` as JSON lines instead. With ``dedup_delay``
-    redelivered messages are dropped while they arrive within that time of each other.
+    the rows that violate one go to ``rejects``, which is then required, as JSON lines instead.
+    Redelivered messages are dropped before they are scored while they arrive within
+    ``dedup_delay`` of each other; None keeps them all. A batch holds ``max_files`` files.
     """
+    if rules is not None and rejects is None:
+        raise ValueError("rules need a place for the rejects")
     stream = read_messages(spark, src, max_files=max_files) if isinstance(src, str) else src
-    scored = scored_stream(stream, model)
+    records = message_records(stream)
     if dedup_delay is not None:
         # Redelivery is a matter of arrival, and a review's own date may be missing.
-        arrived = scored.withColumn("arrived", F.current_timestamp())
-        scored = stream_dedup(arrived, dedup_delay, ts="arrived").drop("arrived")
+        arrived = records.withColumn("arrived", F.current_timestamp())
+        records = stream_dedup(arrived, dedup_delay, ts="arrived").drop("arrived")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, run: str, batch_id: int) -> None:
         if rules is None:
-            append_scored(batch, sink, batch_id)
+            append_scored(batch, sink, run, batch_id)
             return
         batch.persist()
-        valid, rejected = check_quality(batch, rules)
-        append_scored(valid, sink, batch_id)
-        if rejects is not None:
-            rejected.write.mode("overwrite").json(f"{rejects}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            valid, rejected = check_quality(batch, rules)
+            append_scored(valid, sink, run, batch_id)
+            rejected.write.mode("overwrite").json(batch_folder(rejects, run, batch_id))
+        finally:
+            batch.unpersist()
 
-    return (
-        scored.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    scored = score_messages(model, records).writeStream.option("checkpointLocation", checkpoint)
+    return start_run(scored.trigger(availableNow=True), write)

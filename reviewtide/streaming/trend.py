@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewtide.operators.trends import rating_trend
+from reviewtide.sources.store import batch_folder
+from reviewtide.streaming.runs import start_run
 
 _KEYS = "asin string, period_start timestamp, n_reviews bigint, "
 RATING_TREND = _KEYS + "avg_rating double"
@@ -34,26 +36,24 @@ def stream_trend(
 
 
 def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write every change of the trend to ``path``, one folder per batch, then stop."""
+    """Write every change of the trend to ``path``, one folder per run and batch, then stop."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def write(batch: DataFrame, run: str, batch_id: int) -> None:
+        dated = batch.withColumn("written_at", F.current_timestamp())
+        dated.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
 
-    return (
-        trend.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = trend.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return start_run(writer.trigger(availableNow=True), write)
 
 
 def read_trend(spark: SparkSession, path: str, schema: str = RATING_TREND) -> DataFrame:
-    """The newest state of every (asin, period), which is the one of its latest batch."""
-    changes = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    """The newest state of every (asin, period): that written last, by whichever run."""
+    order = ("written_at", "batch_id")
+    fields = f"{schema}, written_at timestamp, run string, batch_id bigint"
+    changes = spark.read.schema(fields).parquet(path)
     keys = ("asin", "period_start")
-    values = [c for c in changes.columns if c not in (*keys, "batch_id")]
-    newest = F.max(F.struct("batch_id", *values)).alias("newest")
+    values = [c for c in changes.columns if c not in (*keys, *order, "run")]
+    newest = F.max(F.struct(*order, *values)).alias("newest")
     return (
         changes.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.{c}") for c in values])
     )

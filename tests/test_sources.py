@@ -4,6 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+
+import __spark_entry__ as registered
 import reviewtide as rt
 from reviewtide.plans import storage
 from reviewtide.schemas import RAW_REVIEW
@@ -36,6 +39,14 @@ def test_read_reviews(spark, tmp_path, zipped):
     assert got == sorted([(5.0, "good", "s"), (4.5, "é\n2", None), (None, None, None), (None, "kept", None)], key=str)
     kept = rt.read_reviews(spark, path, keep_corrupt=True)
     assert kept.filter("_corrupt_record = 'not json'").count() == 1 and kept.count() == 5
+    assert [r.line for r in rt.unreadable_lines(spark, path).collect()] == ["not json"]
+
+
+def test_objects_of_wrong_types_are_kept(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"overall":"five"}\n{"overall":[1]}\n[1]\n{"overall":1\n\n')
+    path = str(tmp_path / "r.json")
+    assert [r.overall for r in rt.read_reviews(spark, path).collect()] == [None, None]
+    assert sorted(r.line for r in rt.unreadable_lines(spark, path).collect()) == ["[1]", '{"overall":1']
 
 
 def test_raw_schema(spark, tmp_path):
@@ -70,10 +81,15 @@ def test_pages_from_files(spark, tmp_path):
     assert row.html == "<p>a\nb</p>" and row.url.endswith("x.html")
 
 
-def test_spread_leaves_large_inputs(spark):
-    assert rt.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 50)
-    assert rt.spread(wide, "id") is wide
+def test_text_frames_read_documents_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("clean_reviews", "tokens", "tokens_no_stop", "bigrams", "recent_reviews", "review_dates", "train_test_split"):
+            plan = registered.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "labels" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_shared_dir_is_the_sessions(spark):

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 import reviewtide as rt
 
 SCHEMA = "asin string, name string, price int, timestamp string, rating string, review_content string"
@@ -39,15 +41,38 @@ def test_scoring_continues_and_equals_batch(spark, model, tmp_path):
 def test_replayed_batch_adds_no_rows(spark, model, tmp_path):
     base = str(tmp_path)
     send(spark, f"{base}/queue", [message(n) for n in range(5)])
-    assert run(spark, model, base).count() == 5
+    assert run(spark, model, base, dedup_delay=None).count() == 5
     # Forget that the batch was finished: the next run repeats it, as after a crash.
     commits = [f for f in os.listdir(f"{base}/checkpoint/commits") if not f.endswith(".crc")]
     for name in os.listdir(f"{base}/checkpoint/commits"):
         os.unlink(f"{base}/checkpoint/commits/{name}")
     assert commits == ["0"]
+    assert run(spark, model, base, dedup_delay=None).count() == 5
+
+
+def test_second_checkpoint_adds_to_the_same_table(spark, model, tmp_path):
+    send(spark, f"{tmp_path}/one", [message(n) for n in range(4)])
+    send(spark, f"{tmp_path}/two", [message(n) for n in range(10, 16)])
+    for name in ("one", "two", "one"):
+        rt.stream_score(
+            spark, f"{tmp_path}/{name}", model, f"{tmp_path}/sink", f"{tmp_path}/check-{name}"
+        ).awaitTermination()
+    stored = rt.read_scored(spark, f"{tmp_path}/sink").collect()
+    assert len(stored) == len({r.msg_id for r in stored}) == 10
+
+
+def test_redelivered_messages_are_stored_once(spark, model, tmp_path):
+    base = str(tmp_path)
+    for _ in range(2):
+        send(spark, f"{base}/queue", [message(n) for n in range(5)])
     assert run(spark, model, base).count() == 5
 
 
+def test_rules_need_a_place_for_rejects(spark, model, tmp_path):
+    with pytest.raises(ValueError):
+        run(spark, model, str(tmp_path), rules={})
+
+
 def test_rejects_go_apart(spark, model, tmp_path):
     base = str(tmp_path)
     send(spark, f"{base}/queue", [message(1), message(2, rating="bad"), message(3, day="2022-13-01")])
