@@ -28,6 +28,9 @@ from reviewtide.plans.storage import materialise
 
 SHINGLE = 3
 PERCENT = 90
+#: What the pipeline stage takes for near copies.
+STAGE_SHINGLE = 5
+STAGE_PERCENT = 80
 #: A token in the hash prefix of more sets than these is of class 2, of class 3.
 CLASS_LIMITS = (4, 64)
 #: Slots of the table of token classes, of fixed size, that goes to all tasks.
@@ -132,11 +135,11 @@ def _sketch(tokens: np.ndarray, size: int = SKETCH_BITS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _profiles(docs: DataFrame, percent: int) -> DataFrame:
+def _profiles(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """(doc, n, digest, prefix, sketch): set size, digest of the set, its first tokens by hash."""
 
     def emit(doc, data: np.ndarray) -> tuple:
-        tokens = shingles(data)
+        tokens = shingles(data, size)
         n = len(tokens)
         prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
         digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
@@ -158,11 +161,11 @@ def _token_classes(reps: DataFrame, limits: tuple[int, int]) -> np.ndarray:
     return classes
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """The (a, b) of ``pairs`` that are similar, by their whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = rows_of(docs, materialise(wanted, "wanted"), "doc")
-    sets = scan_texts(texts, lambda doc, data: ([shingles(data).view(np.int64)],), "tokens array<long>")
+    sets = scan_texts(texts, lambda doc, data: ([shingles(data, size).view(np.int64)],), "tokens array<long>")
     sets = materialise(sets, "sets")
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
@@ -190,12 +193,12 @@ def _fits(n_a: str, core_a: str, n_b: str, core_b: str, percent: int) -> Column:
 
 
 def jaccard_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE
 ) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
-    Rows link when 100 x shared shingles >= percent x shingles of either; component_id is the
-    smallest key reachable. Texts that are null or without words have no shingles and link
+    Rows link when 100 x shared shingles of ``size`` words >= percent x shingles of either;
+    component_id is the smallest key reachable. Texts that are null or without words have no shingles and link
     with nothing. Rows with a null key are in no group and get a null component. Rows that repeat a
     key are one node; equal rows stay equal. Other columns are not read.
 
@@ -205,7 +208,7 @@ def jaccard_groups(
     comparisons, and no link between components is lost. Parity sketches first drop pairs that cannot be similar.
     """
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t"))
-    base = materialise(_profiles(rows, percent).withColumnRenamed("doc", "node"), "profiles")
+    base = materialise(_profiles(rows, percent, size).withColumnRenamed("doc", "node"), "profiles")
     rows = rows.filter("doc IS NOT NULL")
     filled = base.filter("n > 0 AND node IS NOT NULL")
     classes = materialise(filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("n").alias("n")), "classes")
@@ -213,7 +216,7 @@ def jaccard_groups(
     table_of = docs.sparkSession.sparkContext.broadcast(_token_classes(reps, CLASS_LIMITS))
 
     def index_keys(doc, data: np.ndarray) -> tuple:
-        tokens = shingles(data)
+        tokens = shingles(data, size)
         found = signatures(tokens, table_of.value, percent)
         return found, np.isin(found, signatures(tokens, table_of.value, percent, smaller=True))
 
@@ -228,7 +231,7 @@ def jaccard_groups(
     first = first.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
     sketches = materialise(reps.select("node", "n", "sketch", "fold"), "sketches")
     first = materialise(_plausible(first, sketches, percent), "pairs")
-    links = _verified(first, rows, percent)
+    links = _verified(first, rows, percent, size)
 
     known = materialise(components(links), "components")
     words = [F.col("fold")[i].alias(f"w{i}") for i in range(FOLD_WORDS)]
@@ -245,7 +248,7 @@ def jaccard_groups(
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     pairs = _plausible(pairs, sketches, percent).join(first, ["a", "b"], "left_anti")
     pairs = materialise(pairs, "pairs")
-    links = links.unionByName(_verified(pairs, rows, percent))
+    links = links.unionByName(_verified(pairs, rows, percent, size))
 
     found = materialise(components(links), "components")
     grouped = classes.select("digest", "node").join(found, "node", "left")
@@ -263,8 +266,9 @@ def op10_ngram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group the document with the smallest doc_id stays.
 
-    Documents without words and rows with a null doc_id stay.
+    Near copies share four fifths of their shingles of five words. Documents without words and
+    rows with a null doc_id stay.
     """
-    groups = jaccard_groups(docs)
+    groups = jaccard_groups(docs, percent=STAGE_PERCENT, size=STAGE_SHINGLE)
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)

@@ -54,7 +54,8 @@ COMMON_WORDS = (
 
 #: Rows of the keyboards that walks follow.
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
-_LEET = str.maketrans("@4301!$5780", "aaeoiissbto"[:11])
+#: Digits and signs written for letters.
+_LEET = str.maketrans("@48301!$57", "aabeoiisst")
 
 _DATE = re.compile(
     r"(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]|[1-9])"

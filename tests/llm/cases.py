@@ -90,9 +90,9 @@ def shingle_set(text, size=3):
     return set(zip(*(words[i:] for i in range(size))))
 
 
-def brute_groups(rows, percent=90):
+def brute_groups(rows, percent=90, size=3):
     """doc_id -> (n_shingles, component_id), and the number of links."""
-    sets = {d: shingle_set(t) for d, t in rows}
+    sets = {d: shingle_set(t, size) for d, t in rows}
     root = {d: d for d in sets}
 
     def find(x):

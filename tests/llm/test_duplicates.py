@@ -69,13 +69,14 @@ def test_later_windows_equal_comparison(texts, data):
             assert later[i, back] == earlier
 
 
-def test_groups_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("percent", "size"), [(90, 3), (80, 5)])
+def test_groups_equal_brute_force(spark, monkeypatch, percent, size):
     rows = varied_documents(n=120)
-    want, links = brute_groups([r[:2] for r in rows])
+    want, links = brute_groups([r[:2] for r in rows], percent, size)
     assert links > 20
     for limits in (ngram_join.CLASS_LIMITS, (1, 2)):
         monkeypatch.setattr(ngram_join, "CLASS_LIMITS", limits)
-        got = ngram_join.jaccard_groups(documents(spark, rows, clashing=True))
+        got = ngram_join.jaccard_groups(documents(spark, rows, clashing=True), percent=percent, size=size)
         assert _by_id(got, "n_shingles", "component_id") == want
 
 
@@ -92,19 +93,19 @@ def test_groups_of_odd_rows(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32 - 1))
-def test_similar_sets_share_an_index_key(n, gone, more, seed):
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32 - 1), st.sampled_from([80, 90]))
+def test_similar_sets_share_an_index_key(n, gone, more, seed, percent):
     rng = np.random.default_rng(seed)
     pool = ngram_join.mix(rng.integers(0, 2**63, n + more).astype(np.uint64))
     classes = rng.choice([1, 2, 3], 1 << ngram_join.CLASS_BITS, p=rng.dirichlet([0.4] * 3)).astype(np.uint8)
     x, y = np.unique(pool[:n]), np.unique(pool[min(gone, n - 1) :])
     shared = len(np.intersect1d(x, y))
-    if 100 * shared < 90 * (len(x) + len(y) - shared):
+    if 100 * shared < percent * (len(x) + len(y) - shared):
         return
     if len(x) > len(y):
         x, y = y, x
-    own = ngram_join.signatures(x, classes, smaller=True)
-    assert len(np.intersect1d(own, ngram_join.signatures(y, classes)))
+    own = ngram_join.signatures(x, classes, percent, smaller=True)
+    assert len(np.intersect1d(own, ngram_join.signatures(y, classes, percent)))
 
 
 def test_components_of_a_path_and_a_star(spark):

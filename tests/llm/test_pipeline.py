@@ -32,7 +32,8 @@ def test_pipeline_keeps_clean_documents(spark):
 
 def test_stage_of_near_duplicates_equals_brute_force(spark):
     rows = varied_documents(n=60)
-    groups, _ = brute_groups([r[:2] for r in rows])
+    groups, _ = brute_groups([r[:2] for r in rows], percent=80, size=5)
+    assert groups != brute_groups([r[:2] for r in rows])[0]
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     kept = stage(spark, documents(spark, rows, clashing=True), SMALL)
     assert {r["doc_id"] for r in kept.collect()} == {d for d, (_, c) in groups.items() if c == d}

@@ -200,7 +200,7 @@ def test_base_spans_follow_the_patterns():
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
-    weak = ["password123", "qwertyuiop", "19990101", "aaaaaaaaaaaa", "abcabcabcabc", "P@ssw0rd!", "letmein2020"]
+    weak = ["password123", "qwertyuiop", "19990101", "aaaaaaaaaaaa", "abcabcabcabc", "P@ssw0rd!", "letmein2020", "8a5e8all", "wh47ever"]
     assert max(map(cost, weak)) < secrets.MIN_COST < cost("xK9#mP2$vL")
     assert cost("a1" * 4000) > 0
     assert secrets.scan("pwd: xK9#mP2$vL9q.")[3] == 1
