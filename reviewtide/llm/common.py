@@ -90,12 +90,19 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def _table(folded: Callable[[str], str]) -> np.ndarray:
+    """For each code point what it becomes, itself if that is not one character.
+
+    Filled one by one, since a list of a million characters takes a worker some 200 MB.
+    """
+    codes = (ord(f) if len(f := folded(chr(i))) == 1 else i for i in range(_CODE_POINTS))
+    return np.fromiter(codes, np.uint32, _CODE_POINTS)
+
+
 @functools.cache
 def _letter_table() -> np.ndarray:
     """For each code point its lower-case letter, or a space where it is no letter."""
-    chars = [chr(i) for i in range(_CODE_POINTS)]
-    folded = [c.lower() if c.isalpha() else " " for c in chars]
-    return np.array([ord(f) if len(f) == 1 else i for i, f in enumerate(folded)], np.uint32)
+    return _table(lambda c: c.lower() if c.isalpha() else " ")
 
 
 def letters(text: str) -> np.ndarray:
@@ -111,9 +118,7 @@ def letters(text: str) -> np.ndarray:
 @functools.cache
 def _fold_table() -> np.ndarray:
     """For each code point its lower case, or a space for white space."""
-    chars = [chr(i) for i in range(_CODE_POINTS)]
-    folded = [" " if c.isspace() else c.lower() for c in chars]
-    return np.array([ord(f) if len(f) == 1 else i for i, f in enumerate(folded)], np.uint32)
+    return _table(lambda c: " " if c.isspace() else c.lower())
 
 
 def folded(text: str) -> tuple[np.ndarray, np.ndarray]:
