@@ -56,6 +56,11 @@ REVIEW_TEXT_CLASS = "a-size-base review-text review-text-content"
 RATING_LINK_CLASS = "a-link-normal"
 RATING_TITLE_MARK = "out"
 PRICE_CLASS = "a-price-whole"
+PRODUCT_LINK_CLASS = "a-link-normal s-underline-text s-underline-link-text s-link-style a-text-normal"
+REVIEW_LINK_CLASS = "a-link-emphasis a-text-bold"
+SEARCH_PATH = "/s?k="
+SEARCH_ORDER = "&s=review-rank"
+REVIEW_ORDER = "&sortBy=recent&pageNumber=1"
 LEADING_DATES = 2
 
 # Limits of the stored-review table.
@@ -69,6 +74,13 @@ DEFAULT_CATEGORY = "Electronics"
 DAY_FORMAT = "yyyy-MM-dd"
 REVIEW_DATE_FORMAT = "MMMM d, yyyy"
 
+# Tags before which an open paragraph ends, as the HTML standard lists them, and the further end tags.
+PARAGRAPH_ENDS = (
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul"
+).split()
+PARENT_ENDS = "body html button caption dd dt li object td th".split()
+
 # HTML character references decoded on the JVM path; '&amp;' comes last so that
 # an escaped reference such as '&amp;lt;' is decoded once only.
 CHARACTER_REFERENCES = (

@@ -1,14 +1,20 @@
 """Text and attribute extraction from stored HTML.
 
-``tag_texts`` and ``attr_values`` are JVM regular expressions and the default. They take
-each element up to its next closing tag, which is exact for tags that do not contain
-themselves (``a``, ``title``, date and price spans). For self-nesting elements, such as a
-review body that wraps its text in another span, ``nested_tag_texts`` follows the open tags
-in an Arrow-batched Pandas UDF; like the other two it runs inside the scan, without a shuffle.
+Elements are found by JVM regular expressions that pass over a page once: each starts at its
+opening tag and stops at the next tag of its name, so a tag that is never closed costs no
+further scan. That is exact for elements without an element of their own name inside. A page on
+which a wanted element does hold one (a review body that wraps its text in another span, nested
+lists) goes to the standard parser in an Arrow-batched Pandas UDF; so does the decoding of rare
+character references. Everything runs inside the scan, without a shuffle.
+
+Closing tags that HTML lets a page leave out are implied: a paragraph ends before the next
+block, a list item before the next item of its list, a link before the next link.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,25 +22,70 @@ from pyspark.sql import functions as F
 from reviewtide.functions.fixed_values import (
     CHARACTER_REFERENCES,
     LEADING_DATES,
+    PARAGRAPH_ENDS,
+    PARENT_ENDS,
     RATING_TITLE_MARK,
     REVIEW_DATE_FORMAT,
 )
 
-_NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_NOISE = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
 _ATTRIBUTE = rf"""\s([^\s=>"'/]+)\s*=\s*{_VALUE}"""
 _INSIDE_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _ANY_TAG = rf"<[a-zA-Z/!](?:{_INSIDE_TAG}|[^>]*)>"
 _VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
 
+_REFERENCE = r"&(?:#\d+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+_UNLISTED = "&(?!(?:" + "|".join(r[1:-1] for r, _ in CHARACTER_REFERENCES) + ");)"
+_UNLISTED_IN_TEXT = _UNLISTED + "(?:#|[a-zA-Z])"
+_UNLISTED_IN_VALUE = _UNLISTED + _REFERENCE[1:]
+
+#: Elements that cannot hold their own kind, and the tags before which they end.
+_FLAT = {
+    "p": "/?(?:" + "|".join(PARAGRAPH_ENDS) + ")|/(?:" + "|".join(PARENT_ENDS) + ")",
+    "a": "/?a",
+    "title": "/?title",
+}
+#: For an opening tag: the open tags it closes, and those beyond which it does not look.
+_IMPLIED = {
+    **{tag: ({"p"}, set(PARENT_ENDS) | {"table"}) for tag in PARAGRAPH_ENDS},
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select"}),
+}
+
 
 def decode_references(text: Column) -> Column:
-    """Replace the common HTML character references."""
+    """Replace the listed HTML character references."""
     for reference, character in CHARACTER_REFERENCES:
         text = F.replace(text, F.lit(reference), F.lit(character))
     return text
 
 
+def _decoded(raw: Column, html: Column, values: bool) -> Column:
+    """``raw`` texts of a page with all character references decoded.
+
+    Only pages with references beyond the listed ones are sent to Python. In attribute values
+    a reference needs its semicolon, so that the parameters of an address stay as they are.
+    """
+
+    @F.pandas_udf("array<string>")
+    def unescaped(lists: pd.Series) -> pd.Series:
+        from html import unescape
+
+        def one(text: str) -> str:
+            return re.sub(_REFERENCE, lambda m: unescape(m[0]), text) if values else unescape(text)
+
+        return lists.map(lambda texts: None if texts is None else [one(t) for t in texts])
+
+    rare = html.rlike(_UNLISTED_IN_VALUE if values else _UNLISTED_IN_TEXT)
+    return F.coalesce(unescaped(F.when(rare, raw)), F.transform(raw, decode_references))
+
+
 def escape_text(text: Column) -> Column:
     """Escape text for use inside HTML."""
     for character, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
@@ -43,7 +94,7 @@ def escape_text(text: Column) -> Column:
 
 
 def _attribute(element: Column, name: str) -> Column:
-    """Value of one attribute of an element's opening tag, null when it is not there.
+    """Raw value of one attribute of an element's opening tag, null when it is not there.
 
     Attributes are found one after the other, each with its whole value, so neither text inside
     a value nor a tag with thousands of attributes causes trouble.
@@ -52,7 +103,7 @@ def _attribute(element: Column, name: str) -> Column:
     all_attributes = F.regexp_extract_all(opening, F.lit(f"(?s){_ATTRIBUTE}"), F.lit(0))
     named = F.filter(all_attributes, lambda a: a.rlike(rf"(?is)^\s{name}\s*="))
     value = F.regexp_extract(F.get(named, F.lit(0)), f"(?s)^{_ATTRIBUTE}$", 2)
-    return decode_references(F.regexp_replace(value, r"""^["']|["']$""", ""))
+    return F.regexp_replace(value, r"""^["']|["']$""", "")
 
 
 def _has_class(opening: Column, cls: str) -> Column:
@@ -70,41 +121,74 @@ def _elements(html: Column, pattern: str, cls: str | None) -> Column:
 
 def tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
     """Texts of all ``tag`` elements (of class ``cls``) in page order."""
-    pattern = rf"(?is)<{tag}(?=[\s/>]){_INSIDE_TAG}>.*?</{tag}\s*>"
-    return F.transform(
-        _elements(html, pattern, cls),
-        lambda e: decode_references(F.regexp_replace(e, _ANY_TAG, "")),
-    )
+    opening, closing = rf"<{tag}(?=[\s/>]){_INSIDE_TAG}>", rf"</{tag}\s*>"
+    ends = _FLAT.get(tag)
+    if ends is not None:
+        found = _elements(html, rf"(?is){opening}.*?(?=<(?:{ends})(?=[\s/>])|\z)", cls)
+    else:
+        found = _elements(html, rf"(?is){opening}.*?(?:{closing}|(?=<{tag}[\s/>])|\z)", cls)
+    texts = F.transform(found, lambda e: F.regexp_replace(e, _ANY_TAG, ""))
+    texts = _decoded(texts, html, values=False)
+    if ends is not None:
+        return texts
+    whole = F.forall(found, lambda e: e.rlike(rf"(?is){closing}$"))
+    return F.coalesce(_parsed(F.when(~whole, html), tag, cls), texts)
 
 
 def attr_values(html: Column, tag: str, attr: str, cls: str | None = None) -> Column:
     """Values of attribute ``attr`` over all ``tag`` elements that have it."""
     pattern = rf"(?is)<{tag}(?=[\s/>]){_INSIDE_TAG}>"
     values = F.transform(_elements(html, pattern, cls), lambda e: _attribute(e, attr))
-    return F.filter(values, lambda v: v.isNotNull())
+    return _decoded(F.filter(values, lambda v: v.isNotNull()), html, values=True)
 
 
 def nested_tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
-    """Like ``tag_texts`` for elements that may contain the same tag again.
+    """``tag_texts`` for elements that are known to contain their own tag on most pages.
 
     Pages that do not mention the tag and class are not sent to Python.
     """
+    relevant = F.contains(F.lower(html), F.lit(f"<{tag}"))
+    for word in (cls or "").split():
+        relevant = relevant & F.contains(html, F.lit(word))
+    nothing = F.when(html.isNotNull(), F.array().cast("array<string>"))
+    return F.coalesce(_parsed(F.when(relevant, html), tag, cls), nothing)
+
+
+def _parsed(html: Column, tag: str, cls: str | None) -> Column:
+    """Texts of all ``tag`` elements by the standard parser; null for null."""
     wanted = None if cls is None else " ".join(cls.split())
-    void = frozenset(_VOID_TAGS)
+    void, implied = frozenset(_VOID_TAGS), _IMPLIED
 
     @F.pandas_udf("array<string>")
     def texts(pages: pd.Series) -> pd.Series:
+        from collections import Counter
         from html.parser import HTMLParser
 
         class Texts(HTMLParser):
             def __init__(self):
                 super().__init__(convert_charrefs=True)
                 self.open, self.found, self.active = [], [], []
+                self.depth = Counter()
+
+            def leave(self, size):
+                while len(self.open) > size:
+                    self.depth[self.open.pop()] -= 1
+                while self.active and self.active[-1][0] > size:
+                    self.active.pop()
 
             def handle_starttag(self, name, attrs):
+                closes, scope = implied.get(name, ((), ()))
+                if any(self.depth[c] for c in closes):
+                    for i in range(len(self.open) - 1, -1, -1):
+                        if self.open[i] in closes:
+                            self.leave(i)
+                            break
+                        if self.open[i] in scope:
+                            break
                 if name in void:
                     return
                 self.open.append(name)
+                self.depth[name] += 1
                 classes = (dict(attrs).get("class") or "").split()
                 if name == tag and (
                     wanted is None or wanted in classes or wanted == " ".join(classes)
@@ -113,10 +197,11 @@ def nested_tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
                     self.found.append([])
 
             def handle_endtag(self, name):
-                if name in self.open:
-                    while self.open.pop() != name:
-                        pass
-                    self.active = [a for a in self.active if a[0] <= len(self.open)]
+                if self.depth[name]:
+                    size = len(self.open) - 1
+                    while self.open[size] != name:
+                        size -= 1
+                    self.leave(size)
 
             def handle_data(self, data):
                 if not self.open or self.open[-1] not in ("script", "style"):
@@ -133,11 +218,7 @@ def nested_tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
 
         return pages.map(one)
 
-    relevant = F.contains(F.lower(html), F.lit(f"<{tag}"))
-    for word in (cls or "").split():
-        relevant = relevant & F.contains(html, F.lit(word))
-    nothing = F.when(html.isNotNull(), F.array().cast("array<string>"))
-    return F.coalesce(texts(F.when(relevant, html)), nothing)
+    return texts(F.regexp_replace(html, _NOISE, ""))
 
 
 def review_dates(texts: Column) -> Column:

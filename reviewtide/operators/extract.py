@@ -10,7 +10,10 @@ from reviewtide.functions.fixed_values import (
     PRICE_CLASS,
     RATING_LINK_CLASS,
     REVIEW_DATE_CLASS,
+    REVIEW_ORDER,
     REVIEW_TEXT_CLASS,
+    SEARCH_ORDER,
+    SEARCH_PATH,
 )
 from reviewtide.functions.ratings import parse_price
 
@@ -71,18 +74,27 @@ def page_price(html: Column) -> Column:
     return parse_price(F.get(H.tag_texts(html, "span", PRICE_CLASS), F.lit(0)))
 
 
-def product_urls(df: DataFrame, base_url: str, asin: str = "asin", href: str = "href") -> DataFrame:
-    """Add the search, product and review addresses of a product.
+def page_link(html: Column, cls: str) -> Column:
+    """Address of the first link of a class, null without one."""
+    return F.get(H.attr_values(html, "a", "href", cls), F.lit(0))
 
-    The product and review addresses need the first link of the search result in ``href``.
+
+def product_urls(
+    df: DataFrame, base_url: str, asin: str = "asin", product: str = "product_href", review: str = "review_href"
+) -> DataFrame:
+    """Add the search address of a product, and its product and review addresses where the
+    columns with their links are there.
+
+    The search page links the product (``page_link`` with ``PRODUCT_LINK_CLASS``), the product
+    page its reviews (``REVIEW_LINK_CLASS``).
     """
     base = F.lit(base_url.rstrip("/"))
-    df = df.withColumn("search_url", F.concat(base, F.lit("/s?k="), asin, F.lit("&s=review-rank")))
-    if href not in df.columns:
-        return df
-    return df.withColumn("product_url", F.concat(base, href)).withColumn(
-        "review_url", F.concat(base, F.col(href), F.lit("&sortBy=recent&pageNumber=1"))
-    )
+    df = df.withColumn("search_url", F.concat(base, F.lit(SEARCH_PATH), asin, F.lit(SEARCH_ORDER)))
+    if product in df.columns:
+        df = df.withColumn("product_url", F.concat(base, product))
+    if review in df.columns:
+        df = df.withColumn("review_url", F.concat(base, F.col(review), F.lit(REVIEW_ORDER)))
+    return df
 
 
 def review_messages(reviews: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewtide.functions.fixed_values import STOP_WORDS, VOCABULARY_SIZE
+from reviewtide.functions.fixed_values import PARAGRAPH_ENDS, PARENT_ENDS, STOP_WORDS, VOCABULARY_SIZE
 
 TOPK = 10000
 TERMS_PER_CLASS = 20
@@ -178,6 +178,10 @@ plain AS (
 )"""
 
 
+# A paragraph without a closing tag ends where one of these begins.
+_P_ENDS = rf"</?(?:{'|'.join(PARAGRAPH_ENDS)})(?:[\s/][^>]*)?>|</(?:{'|'.join(PARENT_ENDS)})\s*>"
+
+
 def _decoded(text: str) -> str:
     for reference, character in (
         ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
@@ -328,7 +332,8 @@ def statements() -> dict[str, str]:
     sql["page_titles"] = f"""{_with(_PAGES)}
         SELECT page_id, {_decoded(_tag_texts("title") + "[1]")} AS title FROM plain"""
     sql["page_paragraphs"] = f"""{_with(_PAGES)},
-        found AS (SELECT page_id, {_tag_texts("p")} AS ps FROM plain)
+        closed AS (SELECT page_id, regexp_replace(html, '(?i)({_P_ENDS})', '</p>\\1', 'g') AS html FROM plain),
+        found AS (SELECT page_id, {_tag_texts("p")} AS ps FROM closed)
         SELECT page_id, pos, {_decoded("ps[pos + 1]")} AS paragraph
         FROM (SELECT page_id, ps, unnest(range(len(ps))) AS pos FROM found)"""
     links = "regexp_extract_all(html, '(?is)<a\\s[^>]*?href=\"([^\"]*)\"', 1)"

@@ -1,11 +1,11 @@
 import datetime
+import time
 
 from pyspark.sql import functions as F
 
 import reviewtide as rt
-
-DATE = "a-size-base a-color-secondary review-date"
-BODY = "a-size-base review-text review-text-content"
+from reviewtide.functions.fixed_values import REVIEW_DATE_CLASS as DATE
+from reviewtide.functions.fixed_values import REVIEW_TEXT_CLASS as BODY
 
 
 def date(text):
@@ -67,9 +67,51 @@ def test_nested_tags_keep_their_whole_text(spark):
         "\nfirst inner last\n"
     ]
     assert one(spark, "<p>open<p>again</p></p>tail", lambda h: rt.nested_tag_texts(h, "p")) == [
-        "openagain", "again",
+        "open", "again",
     ]
     assert one(spark, None, lambda h: rt.nested_tag_texts(h, "p")) is None
+    assert one(spark, None, lambda h: rt.tag_texts(h, "div")) is None
+
+
+PAGES = [
+    "", "plain", "<div><p>one<p>two</div><p>three</p>", "<p>a<b>b<br><p>c</p>d</b><h1>e</h1>f",
+    "<ul><li>1<li>2<ul><li>x<li>y</ul><li>3</ul><li>4", "<ul><li>1</li><li>2</li></ul>",
+    "<span class=k>out<span class='k j'>in</span></span><span>no</span>", "<span>never closed <b>x",
+    "<span class=o><span class=k>in</span></span>", "<div>a<div>b<div>c</div>d</div></div>",
+    "<table><tr><td>1<td>2<tr><td>3</table>", "<dl><dt>t<dd>d<dt>u</dl>",
+    "<p>it&#8217;s caf&eacute; &#x27;x&#x27; &amp;eacute; &copy 1 &lt;b&gt; a & b</p><span>&hearts;</span>",
+    "<!-- <p>no --><p>yes<!-- never closed <p>no</p>", "<script>'<p>no</p>'</script><p>yes</p><style>p{}",
+]
+
+
+def test_expression_path_equals_the_parser(spark):
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(PAGES)], "i int, html string")
+    for tag in ("p", "li", "span", "div", "td", "dt", "a", "h1"):
+        for cls in (None, "k"):
+            both = df.select(
+                "html", rt.tag_texts(F.col("html"), tag, cls).alias("x"), rt.nested_tag_texts(F.col("html"), tag, cls).alias("y")
+            )
+            for row in both.collect():
+                assert row.x == row.y, (tag, cls, row.html)
+    texts = {r.html: r.x for r in df.select("html", rt.tag_texts(F.col("html"), "p").alias("x")).collect()}
+    assert texts[PAGES[2]] == ["one", "two", "three"]
+    assert texts[PAGES[12]] == ["it\u2019s caf\u00e9 'x' &eacute; \u00a9 1 <b> a & b"]
+    assert one(spark, PAGES[4], lambda h: rt.tag_texts(h, "li")) == ["1", "2xy", "x", "y", "3", "4"]
+    assert one(spark, PAGES[8], lambda h: rt.tag_texts(h, "span", "k")) == ["in"]
+
+
+def test_references_in_addresses(spark):
+    html = '<a href="/caf&eacute;?a=1&copy=2&#38;b=3&amp;lt;">x</a>'
+    assert one(spark, html, lambda h: rt.attr_values(h, "a", "href")) == ["/caf\u00e9?a=1&copy=2&b=3&lt;"]
+
+
+def test_unclosed_tags_take_one_pass(spark):
+    for html, tag in (("<p>some text" * 20_000, "p"), ("<li>some text" * 20_000, "li"), ("<!-- <p>" * 20_000, "p")):
+        one(spark, "<p>warm", lambda h: rt.tag_texts(h, tag))
+        started = time.monotonic()
+        n = one(spark, html, lambda h: F.size(rt.tag_texts(h, tag)))
+        assert n == (0 if html.startswith("<!--") else 20_000)
+        assert time.monotonic() - started < 5
 
 
 def test_review_dates(spark):
@@ -133,12 +175,14 @@ def test_bad_entries_are_rejected_one_by_one(spark):
 
 
 def test_product_urls_and_messages(spark):
-    df = spark.createDataFrame([("B01", "/dp/1?x=1")], "asin string, href string")
+    df = spark.createDataFrame(
+        [("B01", "/dp/1?x=1", "/reviews/1?y=2")], "asin string, product_href string, review_href string"
+    )
     row = rt.product_urls(df, "https://shop.example/").first()
     assert row.search_url == "https://shop.example/s?k=B01&s=review-rank"
     assert row.product_url == "https://shop.example/dp/1?x=1"
-    assert row.review_url == "https://shop.example/dp/1?x=1&sortBy=recent&pageNumber=1"
-    assert rt.product_urls(df.drop("href"), "https://shop.example").columns == ["asin", "search_url"]
+    assert row.review_url == "https://shop.example/reviews/1?y=2&sortBy=recent&pageNumber=1"
+    assert rt.product_urls(df.select("asin"), "https://shop.example").columns == ["asin", "search_url"]
     review = df.select(
         "asin", F.lit("n").alias("name"), F.lit(5).alias("price"),
         F.lit("2022-01-02").cast("date").alias("review_date"), F.lit(4).alias("rating"),
