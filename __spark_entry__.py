@@ -12,15 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import reviewtide as rt  # noqa: E402
-from reviewtide.functions.fixed_values import REVIEW_TEXT_CLASS  # noqa: E402
+from reviewtide.functions.fixed_values import PRODUCT_LINK_CLASS, REVIEW_LINK_CLASS, REVIEW_TEXT_CLASS  # noqa: E402
 from reviewtide.functions.text import content_id  # noqa: E402
 from reviewtide.oracle import TERMS_PER_CLASS, TOPK, statements  # noqa: E402
 from reviewtide.plans.storage import materialise, new_dir  # noqa: E402
+from reviewtide.schemas import RAW_REVIEW  # noqa: E402
 from reviewtide.sources import tables  # noqa: E402
 from reviewtide.streaming.trend import SENTIMENT_TREND  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHOP = "https://shop.example"
+DUMP_LINES = 100
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,24 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.read_reviews(spark, path).withColumnRenamed("reviewText", "review_text")
 
 
+def reduced_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full dump in gzip files, reduced to the training fields in files of few lines, read back."""
+    full, reduced = new_dir(spark, "dump"), new_dir(spark, "reduced")
+    reviews = tables.reviews_all(spark, sf_dir)
+    given = {"overall": F.col("overall").cast("int"), "reviewerID": F.col("review_id").cast("string")}
+    kept = ("asin", "reviewText", "summary")
+    fields = [
+        given[f.name].alias(f.name) if f.name in given
+        else F.col(f.name) if f.name in kept
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in RAW_REVIEW.fields
+    ]
+    reviews.select(*fields).write.option("ignoreNullFields", "false").option("compression", "gzip").json(full)
+    dump = rt.read_reviews(spark, full, schema=RAW_REVIEW)
+    rt.write_reviews(dump.select("overall", "reviewText", "summary"), reduced, max_records=DUMP_LINES)
+    return rt.read_reviews(spark, reduced).withColumnRenamed("reviewText", "review_text")
+
+
 def unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as JSON lines, every seventh cut short: what cannot be read, told apart."""
     path = new_dir(spark, "cut-lines")
@@ -298,6 +318,22 @@ def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw = tables.mixed_messages(spark, sf_dir)
+    return rt.check_quality(rt.normalise_types(raw.withColumn("price", rt.parse_price(F.col("price")))))
+
+
+def quality_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.col("price").cast("int").alias("price")
+    return _checked(spark, sf_dir)[0].select("review_id", "asin", "name", "category", price, "review_date", "rating", "review_text")
+
+
+def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected message with all the rules that it breaks."""
+    reasons = F.array_join(F.array_sort("reasons"), ",").alias("reasons")
+    return _checked(spark, sf_dir)[1].select("review_id", reasons)
+
+
 def recent_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = rt.recent(tables.reviews_unrated(spark, sf_dir), "review_date", "2022-12-25", 30)
     before = rt.shift_days(F.col("review_date"), 3).alias("three_days_before")
@@ -341,10 +377,27 @@ def page_link_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.get(rt.attr_values(F.col("html"), "a", "href"), F.lit(0))
-    found = _pages(spark, sf_dir).select("page_id", F.col("url").alias("asin"), first.alias("href"))
-    return rt.product_urls(found, SHOP).select(
-        "page_id", "search_url", "product_url", "review_url"
+    found = tables.shop_pages(spark, sf_dir).select(
+        "page_id",
+        "asin",
+        rt.page_link(F.col("search_html"), PRODUCT_LINK_CLASS).alias("product_href"),
+        rt.page_link(F.col("product_html"), REVIEW_LINK_CLASS).alias("review_href"),
+    )
+    return rt.product_urls(found, SHOP).select("page_id", "search_url", "product_url", "review_url")
+
+
+def scraped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to reviews to recent ones to messages in a queue, and back."""
+    pages = tables.review_pages(spark, sf_dir).withColumns(
+        {"price": rt.page_price(F.col("html")), "name": F.concat(F.lit("Product "), F.col("asin"))}
+    )
+    reviews = rt.explode_reviews(rt.review_lists(pages))
+    sent = rt.review_messages(rt.recent(reviews, "review_date", "2022-12-25", 30))
+    queue = new_dir(spark, "scraped")
+    rt.send_messages(sent, queue)
+    received = rt.decode_messages(spark.read.text(queue))
+    return rt.normalise_types(received).select(
+        "asin", "name", "category", F.col("price").cast("double").alias("price"), "review_date", "rating", "review_text"
     )
 
 
@@ -484,6 +537,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     label_index,
     review_msg_id,
     json_roundtrip,
+    reduced_dump,
     unreadable_lines,
     message_roundtrip,
     tokens,
@@ -508,6 +562,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     stored_reviews,
     stored_twice,
     quality_rejects,
+    quality_valid,
+    quality_reasons,
     recent_reviews,
     page_titles,
     page_paragraphs,
@@ -517,6 +573,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     review_dates,
     review_lines,
     page_reviews,
+    scraped_messages,
     rating_trend,
     sentiment_trend,
     rating_change,

@@ -15,6 +15,7 @@ from reviewtide.operators.bayes import log_probabilities, nb_fit, nb_predict, pr
 from reviewtide.operators.evaluate import class_metrics, confusion, metrics, rmse
 from reviewtide.operators.extract import (
     explode_reviews,
+    page_link,
     page_price,
     product_urls,
     review_lists,

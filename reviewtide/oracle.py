@@ -227,6 +227,7 @@ def statements() -> dict[str, str]:
         FROM all_reviews"""
     sql["json_roundtrip"] = f"""{_with(_REVIEWS)}
         SELECT overall, reviewText AS review_text, summary FROM all_reviews"""
+    sql["reduced_dump"] = sql["json_roundtrip"]
     sql["message_roundtrip"] = f"""{_with(_REVIEWS, _MESSAGES)}
         SELECT {_MSG_ID} AS msg_id, asin, name, 'Electronics' AS category,
                CAST(price AS DOUBLE) AS price, review_date, rating, review_text FROM messages"""
@@ -324,6 +325,33 @@ def statements() -> dict[str, str]:
         )
         SELECT review_id, asin, price, review_date, rating, reasons FROM checked
         WHERE reasons <> ''"""
+    checked = """
+        WITH raw AS (
+          SELECT doc_id AS review_id, doc_id % 47 = 23 AS cut,
+                 CASE WHEN doc_id % 11 = 5 THEN ' ' WHEN doc_id % 13 = 6
+                      THEN source || '-' || lang || '-' || doc_id || '-long' ELSE source END AS asin,
+                 CASE WHEN doc_id % 17 <> 8 THEN 'Product ' || source END AS name,
+                 CASE WHEN doc_id % 19 = 9 THEN repeat('c', 151) ELSE 'Electronics' END AS category,
+                 CASE WHEN doc_id % 23 = 11 THEN -5 WHEN doc_id % 29 <> 14 THEN CAST(n_chars AS INTEGER) END AS price,
+                 CASE WHEN doc_id % 31 <> 15 THEN DATE '2022-11-01' + CAST(doc_id % 30 AS INTEGER) END AS review_date,
+                 CAST(CASE WHEN doc_id % 37 = 18 THEN 11 WHEN doc_id % 41 <> 20 THEN doc_id % 5 + 1 END AS FLOAT) AS rating,
+                 CASE WHEN doc_id % 43 <> 21 THEN text END AS review_text
+          FROM documents
+        ),
+        checked AS (
+          SELECT *, concat_ws(',', CASE WHEN coalesce(trim(asin), '') = '' THEN 'asin_empty' END,
+            CASE WHEN length(asin) > 10 THEN 'asin_too_long' END,
+            CASE WHEN length(category) > 150 THEN 'category_too_long' END,
+            CASE WHEN review_date IS NULL THEN 'date_missing' END, CASE WHEN name IS NULL THEN 'name_missing' END,
+            CASE WHEN price IS NULL THEN 'price_missing' END, CASE WHEN price < 0 THEN 'price_negative' END,
+            CASE WHEN rating IS NULL THEN 'rating_missing' END,
+            CASE WHEN rating > 9.9 THEN 'rating_out_of_range' END,
+            CASE WHEN review_text IS NULL THEN 'text_missing' END, CASE WHEN cut THEN 'unreadable' END) AS reasons
+          FROM raw
+        )"""
+    sql["quality_valid"] = f"""{checked}
+        SELECT review_id, asin, name, category, price, review_date, rating, review_text FROM checked WHERE reasons = ''"""
+    sql["quality_reasons"] = f"{checked} SELECT review_id, reasons FROM checked WHERE reasons <> ''"
     sql["recent_reviews"] = f"""{_with(_REVIEWS)}
         SELECT review_id, review_date, review_date - 3 AS three_days_before FROM all_reviews
         WHERE CAST(review_date AS TIMESTAMP) > TIMESTAMP '2022-12-25 00:00:00' - INTERVAL 30 DAY"""
@@ -344,12 +372,11 @@ def statements() -> dict[str, str]:
         found AS (SELECT page_id, {links} AS hrefs, {_tag_texts("a")} AS texts FROM plain)
         SELECT page_id, pos, hrefs[pos + 1] AS href, {_decoded("texts[pos + 1]")} AS link_text
         FROM (SELECT *, unnest(range(greatest(len(hrefs), len(texts)))) AS pos FROM found)"""
-    sql["product_urls"] = f"""{_with(_PAGES)},
-        found AS (SELECT page_id, url, {links}[1] AS href FROM plain)
-        SELECT page_id, 'https://shop.example/s?k=' || url || '&s=review-rank' AS search_url,
-               'https://shop.example' || href AS product_url,
-               'https://shop.example' || href || '&sortBy=recent&pageNumber=1' AS review_url
-        FROM found"""
+    sql["product_urls"] = """
+        SELECT doc_id AS page_id, 'https://shop.example/s?k=' || source || '&s=review-rank' AS search_url,
+               'https://shop.example/dp/' || doc_id || '?a=1&b=2' AS product_url,
+               'https://shop.example/reviews/' || doc_id || '?a=1&b=2&sortBy=recent&pageNumber=1' AS review_url
+        FROM documents"""
     sql["review_dates"] = f"""{_with(_REVIEWS)}
         SELECT review_id, review_date FROM all_reviews"""
     sql["review_lines"] = f"""{_with(_REVIEWS)},
@@ -372,6 +399,13 @@ def statements() -> dict[str, str]:
                coalesce({_body("text")}, '') AS review_content
         FROM entries"""
 
+    shown = sql["page_reviews"]
+    sql["scraped_messages"] = f"""
+        SELECT asin, 'Product ' || asin AS name, 'Electronics' AS category, CAST(price AS DOUBLE) AS price,
+               review_date, CAST(rating AS FLOAT) AS rating, review_content AS review_text
+        FROM ({shown})
+        WHERE CAST(review_date AS TIMESTAMP) > TIMESTAMP '2022-12-25 00:00:00' - INTERVAL 30 DAY"""
+
     # Trends.
     trends = _with(_RATINGS)
     sql["rating_trend"] = f"""{trends}

@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.functions.fixed_values import (
+    MAX_CATEGORY_CHARS,
     PRICE_CLASS,
+    PRODUCT_LINK_CLASS,
     RATING_LINK_CLASS,
     REVIEW_DATE_CLASS,
     REVIEW_DATE_FORMAT,
+    REVIEW_LINK_CLASS,
     REVIEW_TEXT_CLASS,
 )
 from reviewtide.functions.html import escape_text
 from reviewtide.functions.ratings import parse_price
+from reviewtide.schemas import CORRUPT
 
 FIRST_DAY = "2022-11-01"
 
@@ -116,6 +120,45 @@ def loose_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a decoded message; most are valid, and each rule is broken by some."""
+
+    def every(n: int, wrong: Column, right: Column) -> Column:
+        return F.when(F.col("doc_id") % n == n // 2, wrong).otherwise(right)
+
+    nothing, source = F.lit(None).cast("string"), F.col("source")
+    long_id = F.concat_ws("-", "source", "lang", "doc_id", F.lit("long"))
+    day = F.concat(F.lit("2022-11-"), F.lpad((F.col("doc_id") % 30 + 1).cast("string"), 2, "0"))
+    stars = (F.col("doc_id") % 5 + 1).cast("string")
+    price = F.concat(F.col("n_chars").cast("string"), F.lit("."))
+    return documents(spark, sf_dir).select(
+        F.col("doc_id").alias("review_id"),
+        every(11, F.lit(" "), every(13, long_id, source)).alias("asin"),
+        every(17, nothing, F.concat(F.lit("Product "), source)).alias("name"),
+        every(19, F.lit("c" * (MAX_CATEGORY_CHARS + 1)), nothing).alias("category"),
+        every(23, F.lit("-5"), every(29, F.lit("free"), price)).alias("price"),
+        every(31, F.lit("2022-11-31"), day).alias("timestamp"),
+        every(37, F.lit("11"), every(41, F.lit("one"), stars)).alias("rating"),
+        every(43, nothing, F.col("text")).alias("review_text"),
+        every(47, F.lit("{"), nothing).alias(CORRUPT),
+    )
+
+
+def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the page of a search that finds its product, and the product's page."""
+
+    def link(cls: str, path: str) -> list[Column]:
+        return [F.lit(f'<a class="{cls}" href="{path}'), F.col("doc_id").cast("string"), F.lit('?a=1&amp;b=2">x</a>')]
+
+    plain = link("nav", "/help/")
+    return documents(spark, sf_dir).select(
+        F.col("doc_id").alias("page_id"),
+        F.col("source").alias("asin"),
+        F.concat(*plain, *link(PRODUCT_LINK_CLASS, "/dp/"), *link(PRODUCT_LINK_CLASS, "/next/")).alias("search_html"),
+        F.concat(*plain, *link(REVIEW_LINK_CLASS, "/reviews/")).alias("product_html"),
+    )
+
+
 def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored review page per rated review, in the layout of a shop's review list.
 
