@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from reviewtide.plans.storage import materialise
 
 SPACE = 32
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 _CODE_POINTS = 0x110000
 
 
@@ -32,12 +34,23 @@ def share_library(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers by size, not by count alone; the session's own limit stays.
+
+    Ten thousand texts at a time can be of any size, and are held by the executor and the worker.
+    A batch has at least one row, so longer texts still go whole.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
+
+
 def with_library(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """``function`` of a session and more, after the session got to know the library."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, *rest) -> DataFrame:
         share_library(spark)
+        bound_batches(spark)
         return function(spark, *rest)
 
     return run

@@ -8,7 +8,7 @@ import pytest
 from llm.cases import documents, odd_documents, targets_of, varied_documents
 
 from reviewtide.llm import decontamination, langid, mixing, quality, secrets, toxicity, urls
-from reviewtide.llm.common import labelled_sample, share_library
+from reviewtide.llm.common import BATCH_BYTES, BATCH_LIMIT, bound_batches, labelled_sample, share_library
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -249,3 +249,22 @@ def test_rates_solve_the_dual(spark):
 
 def test_mix_of_nothing(spark):
     assert mixing.mix_sources(documents(spark, [])).count() == 0
+
+
+def test_batches_are_bounded_unless_the_session_says_so(spark):
+    before = spark.conf.get(BATCH_LIMIT, None)
+    long = [(i, "x" * (3 * BATCH_BYTES) if i == 1 else "password: Zq8#vT2!xLw9") for i in range(4)]
+    try:
+        spark.conf.unset(BATCH_LIMIT)
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_LIMIT) == str(BATCH_BYTES)
+        docs = spark.createDataFrame(long, "doc_id long, text string").coalesce(1)
+        found = docs.select("doc_id", secrets.secret_scan()["n_guess"].alias("n"), "text").collect()
+        assert {r["doc_id"]: (r["n"], len(r["text"])) for r in found} == {i: (int(i != 1), len(t)) for i, t in long}
+        spark.conf.set(BATCH_LIMIT, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+        if before is not None:
+            spark.conf.set(BATCH_LIMIT, before)
