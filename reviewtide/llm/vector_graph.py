@@ -6,6 +6,8 @@ its shards are united. Then each vector is searched for in the shard of its near
 from the shard's medoid, and from where that ends on through all neighbours in range. Found pairs
 are verified by their exact cosine. An audit compares the links of a bounded set of vectors with
 brute force over all rows; if too few were found, the overlap is doubled and the graph built again.
+Where the largest overlap finds too few as well, all pairs in reach of each other are compared, which
+loses none.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ FIT_ROWS = 20_000
 AUDIT_ROWS = 512
 RECALL = 0.95
 MAX_OVERLAP = 24
+#: Rows and components (rows x dimensions) of a block of the exact comparison.
+BLOCK_ROWS = 8192
+BLOCK_CELLS = 1 << 21
 _CELLS = 4_000_000
 _HOPS = 64
 
@@ -286,6 +291,81 @@ def _linked(nodes: DataFrame, threshold: float, overlap: int, shard_rows: int) -
     return materialise(found, "found")
 
 
+def _compared(pair: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Per vector of two blocks the links between them (within, if they are one), and a row it is connected with."""
+    pair = pair.sort_values("node", ignore_index=True)
+    ids, copies = pair["node"].to_numpy(), pair["copies"].to_numpy(np.int64)
+    vectors = _matrix(pair["unit"].tolist())
+    one = bool((pair["p"] == pair["q"]).all())
+    left = np.flatnonzero(pair["block"] == pair["p"])
+    right = left if one else np.flatnonzero(pair["block"] == pair["q"])
+    links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    other = vectors[right]
+    each = max(1, _CELLS // max(1, len(right)))
+    for at in range(0, len(left) if len(right) else 0, each):
+        some = left[at : at + each]
+        near = vectors[some] @ other.T >= threshold
+        if one:
+            near[np.arange(len(some)), np.arange(at, at + len(some))] = False
+        links[some] += near @ copies[right]
+        if not one:
+            links[right] += near.T @ copies[some]
+        a, b = np.nonzero(near & (root[some][:, None] != root[right]))
+        root = _joined(root, some[a], right[b])
+    linked = (links > 0) | one  # every vector has at least the row of its own block
+    return pd.DataFrame({"node": ids[linked], "links": links[linked], "root": ids[root[linked]]})
+
+
+def _compare_all(nodes: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(node, links, root) rows as of ``_linked``, from every pair that can reach the threshold.
+
+    Vectors lie in blocks of their nearest centre, each of about ``block_rows`` rows. Two linked
+    vectors are at most sqrt(2 - 2 threshold) apart, and the bisector of two centres parts their
+    rows, so a vector can link only into the centres whose bisector is no farther from it. It
+    goes to the pairs of its block with all blocks of those centres; both ends of a link meet there.
+    """
+    kind = nodes.schema["node"].dataType.simpleString()
+    first = nodes.select("unit").first()
+    dims = len(first["unit"]) // 8 if first else 1
+    block_rows = min(block_rows, max(256, BLOCK_CELLS // dims))
+    centres = _centres(nodes, block_rows)
+    apart = np.array([np.linalg.norm(centres - c, axis=1) for c in centres])
+    context = nodes.sparkSession.sparkContext
+    shared = context.broadcast((centres, apart))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+
+    @F.pandas_udf("array<int>")
+    def in_reach(units: pd.Series) -> pd.Series:
+        points, between = shared.value
+        out = []
+        for at in range(0, len(units), 1024):
+            cosine = _matrix(units.iloc[at : at + 1024].tolist()) @ points.T
+            home = cosine.argmax(axis=1)
+            near = cosine.max(axis=1)[:, None] - cosine <= radius * between[home] + 1e-9
+            out += [np.append(h, np.flatnonzero(r)).astype(np.int32) for h, r in zip(home, near, strict=True)]
+        return pd.Series(out, dtype=object)
+
+    reached = materialise(nodes.withColumn("reach", in_reach("unit")), "reach")
+    blocks = np.zeros(len(centres), np.int64)
+    for row in reached.groupBy(F.col("reach")[0].alias("home")).agg(F.count(F.lit(1)).alias("n")).collect():
+        blocks[row["home"]] = -(-row["n"] // block_rows)
+    shared_starts = context.broadcast(np.append(0, np.cumsum(blocks)))
+
+    @F.pandas_udf("array<int>")
+    def own_and_others(reach: pd.Series, point: pd.Series) -> pd.Series:
+        start, out = shared_starts.value, []
+        for (home, *near), at in zip(reach, point, strict=True):
+            own = start[home] + at % (start[home + 1] - start[home])
+            out.append(np.concatenate([[own], *[np.arange(start[c], start[c + 1]) for c in near]]).astype(np.int32))
+        return pd.Series(out, dtype=object)
+
+    placed = reached.withColumn("blocks", own_and_others("reach", F.xxhash64(F.lit("block"), "node")))
+    placed = placed.select("node", "unit", "copies", F.col("blocks")[0].alias("block"), F.explode(F.expr("slice(blocks, 2, size(blocks))")).alias("other"))
+    met = placed.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).drop("other").groupBy("p", "q")
+    found = met.applyInPandas(lambda pair: _compared(pair, threshold), f"node {kind}, links long, root {kind}")
+    return materialise(found, "found")
+
+
 def audit_recall(nodes: DataFrame, links: DataFrame, threshold: float, rows: int = AUDIT_ROWS) -> float:
     """Share of the true links, by brute force, of the first ``rows`` nodes in hash order that were found."""
     asked = nodes.select("node", "unit").orderBy(hash_order("node")).limit(rows).collect()
@@ -326,7 +406,9 @@ def near_vectors(
     other. Rows with a null key link with nothing and are kept false. A repeated key counts as
     further copies. Other columns are not read.
 
-    A shard counts its links and keeps a spanning forest, so pairs never leave a task.
+    A shard counts its links and keeps a spanning forest, so pairs never leave a task. If no
+    overlap up to ``MAX_OVERLAP`` passes the audit, every pair in reach is compared; should that fail the
+    audit as well, an error is raised.
     """
     raw = rows.select(F.col(key).alias("vec_id"), F.col(vector).alias("v"))
     prepared = materialise(_prepare(raw), "vectors")
@@ -334,11 +416,14 @@ def near_vectors(
     classes = materialise(classes, "vector-classes")
     first = prepared.join(classes.select(F.col("node").alias("vec_id"), "digest", "copies"), ["vec_id", "digest"])
     nodes = materialise(first.groupBy(F.col("vec_id").alias("node")).agg(F.first("unit").alias("unit"), F.first("copies").alias("copies")), "nodes")
-    while True:
-        found = _linked(nodes, threshold, overlap, shard_rows)
+    recall = 0.0
+    while recall < RECALL:
+        exact = overlap > MAX_OVERLAP
+        found = _compare_all(nodes, threshold) if exact else _linked(nodes, threshold, overlap, shard_rows)
         links = materialise(found.groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
-        if overlap >= MAX_OVERLAP or audit_recall(nodes, links, threshold) >= RECALL:
-            break
+        recall = audit_recall(nodes, links, threshold)
+        if exact and recall < RECALL:
+            raise RuntimeError(f"only {recall:.4f} of the audited links were found")
         overlap *= 2
     edges = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     known = components(edges)

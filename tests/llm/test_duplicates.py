@@ -142,6 +142,38 @@ def test_vectors_against_brute_force(spark, shard_rows):
         assert row["kept"] == (row["vec_id"] is not None and row["vec_id"] == row["component_id"])
 
 
+def test_crowded_vectors_beyond_any_overlap(spark):
+    """A third of the rows lie close together but unequal, in far more clusters than the overlap."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(2400, 32))
+    base[:800] = base[0] + rng.normal(scale=0.15, size=(800, 32))
+    base[900:1200:2] = base[901:1201:2] + rng.normal(scale=0.1, size=(150, 32))
+    base[1300:1304] = base[1299]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    true = near.sum(axis=1) - 1
+    assert true[:800].sum() > 300_000 and true[900:1200].sum() >= 200
+    root = np.arange(len(base))
+    for a, b in zip(*np.nonzero(near), strict=True):
+        root[root == max(root[a], root[b])] = min(root[a], root[b])
+    out = {r["vec_id"]: r for r in vector_graph.near_vectors(df, shard_rows=20).collect()}
+    assert [out[i]["n_links"] for i in range(len(base))] == true.tolist()
+    assert [out[i]["component_id"] for i in range(len(base))] == root.tolist()
+
+
+@pytest.mark.parametrize("block_rows", [8192, 70])
+def test_exact_comparison_in_any_blocks(spark, block_rows):
+    base = _vectors(700)
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [(i, bytearray(u.tobytes()), 1 + i % 3) for i, u in enumerate(unit)]
+    nodes = spark.createDataFrame(rows, "node long, unit binary, copies long")
+    found = vector_graph._compare_all(nodes, 0.95, block_rows).groupBy("node").sum("links").collect()
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert dict(map(tuple, found)) == dict(enumerate((near @ np.array([r[2] for r in rows])).tolist()))
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_graph.near_vectors(empty).count() == 0
