@@ -160,10 +160,12 @@ def mix_sources(
     weights: tuple[float, ...] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
+    every_row: bool = False,
 ) -> DataFrame:
     """How often each document is taken: doc_id, source, size, source_size, target, copies, taken.
 
-    Rows with the same doc_id, source and size (repeats) are one document and give one row. Null
+    Rows with the same doc_id, source and text (repeats) are one document and give one row, but
+    with ``every_row`` each row is a document of its own, as rows without a doc_id always are. Null
     or empty texts have size 0; null is a source of its own, the last. A source without words
     has target 0. A source whose target is ``most`` times its size takes every document so often.
 
@@ -173,8 +175,24 @@ def mix_sources(
     ceil(rate) times. The sum's starting point is the best of ``OFFSETS``. Places among documents of equal size come from counts per hash bucket, the
     square root of the cell's size in number, so no task orders a whole source or cell.
     """
-    sized = docs.select("doc_id", "source", _source_key("source").alias("key"), word_count().alias("size"))
-    sized = materialise(sized.distinct(), "sizes")
+    mixed = _mixed(_counted(docs, F.xxhash64("text"), every_row), weights, share, most)
+    return mixed.drop("digest")
+
+
+def _counted(docs: DataFrame, digest: Column, every_row: bool) -> DataFrame:
+    """(doc_id, source, key, size, digest, repeat), one row per document; ``repeat`` numbers equal ones."""
+    sized = docs.select(
+        "doc_id", "source", _source_key("source").alias("key"), word_count().alias("size"), digest.alias("digest")
+    )
+    times = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    if not every_row:
+        times = times.withColumn("times", F.when(F.col("doc_id").isNull(), F.col("times")).otherwise(1))
+    return times.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("times")
+
+
+def _mixed(sized: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+    """The rows of ``mix_sources`` and ``digest`` for every row of ``sized``."""
+    sized = materialise(sized, "sizes")
     cells = materialise(sized.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = cells.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.sum("n").alias("docs"))
     targets = materialise(source_targets(sources, weights, share, most), "targets")
@@ -187,13 +205,13 @@ def mix_sources(
     placed = materialise(placed.select("key", "size", "n", "rate", "before", "words", "target", shares), "places")
     placed = placed.join(materialise(_offsets(placed), "offsets"), "key").drop("n")
 
-    order = F.xxhash64(F.lit("mix"), "doc_id")
+    order = F.xxhash64(F.lit("mix"), "doc_id", "digest", "repeat")
     marked = sized.join(placed, ["key", "size"]).withColumn("order", order)
     marked = materialise(marked.withColumn("share", F.pmod("order", F.col("shares"))), "marked")
     counts = marked.groupBy("key", "size", "share").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("key", "size").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     skips = counts.select("key", "size", "share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"))
-    within = Window.partitionBy("key", "size", "share").orderBy("order", "doc_id")
+    within = Window.partitionBy("key", "size", "share").orderBy("order", "doc_id", "digest", "repeat")
     rows = marked.withColumn("rank", F.row_number().over(within)).join(skips, ["key", "size", "share"])
     rank = F.col("rank") + F.col("skip")
     start, end = (F.col("before") + i * F.col("rate") for i in (rank - 1, rank))
@@ -201,28 +219,42 @@ def mix_sources(
     copies = F.least(copies, F.lit(int(most))).cast("int")
     return rows.withColumn("copies", copies).select(
         "doc_id", "source", "size", F.col("words").alias("source_size"), "target", "copies",
-        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"), "digest",
     )
 
 
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    mixed = mix_sources(table(spark, sf_dir, "documents"), every_row=True)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as many times as the mix takes it, numbered in ``copy_no``.
 
-    Rows with a null doc_id are kept apart from the join only in that null equals null.
+    Every row is a document. Rows equal in all columns are interchangeable: one of them stands
+    for the copies of all. Nulls are equal in the joins.
     """
-    mixed = mix_sources(docs).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
-    )
-    same = (
-        docs["doc_id"].eqNullSafe(F.col("_id"))
-        & docs["source"].eqNullSafe(F.col("_source"))
-        & (word_count() == F.col("_size"))
-    )
-    taken = docs.join(mixed, same)
-    numbers = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy_no")
-    return taken.select(*[docs[c] for c in docs.columns], numbers)
+    digest = F.xxhash64(*docs.columns)
+    keys = ["_id", "_source", "_size", "_digest"]
+    mixed = _mixed(_counted(docs, digest, every_row=True), WEIGHTS, SHARE, MOST)
+    mixed = mixed.select(*[F.col(c).alias(f"_{c}") for c in ("size", "digest", "source", "copies")], F.col("doc_id").alias("_id"))
+    mixed = mixed.groupBy(*keys).agg(F.collect_list("_copies").alias("_copies"))
+    mixed = materialise(mixed, "copies")
+
+    def same(wanted: DataFrame) -> Column:
+        return (
+            docs["doc_id"].eqNullSafe(wanted["_id"])
+            & docs["source"].eqNullSafe(wanted["_source"])
+            & (word_count() == wanted["_size"])
+            & (digest == wanted["_digest"])
+        )
+
+    alone = mixed.filter("size(_copies) = 1 AND _copies[0] > 0")
+    equal = mixed.filter("size(_copies) > 1").select(*keys)
+    one_of = docs.join(equal, same(equal)).groupBy(*keys).agg(F.first(F.struct(*[docs[c] for c in docs.columns])).alias("_row"))
+    lists = mixed.filter("size(_copies) > 1").select(*[F.col(k).alias(f"{k}_") for k in keys], F.explode("_copies").alias("_n"))
+    fits = [one_of[k].eqNullSafe(lists[f"{k}_"]) for k in keys]
+    several = one_of.join(lists.filter("_n > 0"), fits).select("_row.*", "_n")
+    single = docs.join(alone, same(alone)).select(*[docs[c] for c in docs.columns], F.col("_copies")[0].alias("_n"))
+    numbers = F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy_no")
+    return single.unionByName(several).select(*docs.columns, numbers)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -233,6 +234,40 @@ def test_mix_meets_the_targets(spark, rows):
     assert sorted(map(str, out)) == sorted(map(str, again))
 
 
+def _repeating_documents():
+    """Rows without ids, ids with several texts of one length, and rows that repeat as a whole."""
+    rows = [(None, f"hot {i} a b", "en", "s0", 9) for i in range(40)] + [(None, "same same", "en", "s0", 9)] * 5
+    rows += [(1, f"one {i} of few", "en", "s1", 9) for i in range(7)] + [(2, "equal rows here", "en", "s1", 9)] * 6
+    return rows + [(10 + i, "word " * (1 + i % 9), "de", f"s{i % 3}", 9) for i in range(50)]
+
+
+def test_mix_counts_every_row(spark, tmp_path):
+    rows = _repeating_documents()
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = [r.asDict() for r in mixing.op8_entropy_mix(spark, str(tmp_path)).collect()]
+    key = lambda d, s, n: (str(d), s, n)
+    want = sorted(key(r[0], r[3], len(r[1].split())) for r in rows)
+    assert sorted(key(r["doc_id"], r["source"], r["size"]) for r in out) == want
+    for source, (words, target) in targets_of(rows).items():
+        own = [r for r in out if r["source"] == source]
+        assert {r["source_size"] for r in own} == {words}
+        assert abs(sum(r["taken"] for r in own) - target) <= max(r["size"] for r in own)
+    # Without every_row only rows of one id and text are one document.
+    few = mixing.mix_sources(documents(spark, rows)).groupBy("doc_id").count().filter("doc_id IS NULL OR doc_id < 3").collect()
+    assert {r["doc_id"]: r["count"] for r in few} == {None: 45, 1: 7, 2: 1}
+
+
+def test_stage_takes_every_row_as_counted(spark):
+    rows = _repeating_documents()
+    out = mixing.take_mix(spark, documents(spark, rows, clashing=True), SMALL).collect()
+    for source, (_, target) in targets_of(rows).items():
+        sizes = [len(r["text"].split()) for r in out if r["source"] == source]
+        assert abs(sum(sizes) - target) <= 9
+    times = Counter((r[0], r[1], r[3]) for r in rows)
+    taken = Counter((r["doc_id"], r["text"], r["source"]) for r in out)
+    assert all(n <= 2 * times[k] for k, n in taken.items()) and {r["copy_no"] for r in out} == {1, 2}
+
+
 def test_rates_solve_the_dual(spark):
     """The tilted rates of every source: min(2, exp(dual x size / mean size)) with its target as sum."""
     cells = spark.createDataFrame([("0a", s, 3) for s in (1, 5, 40, 300)] + [("0b", s, 2) for s in (2, 9, 80)], "key string, size long, n long")
