@@ -17,9 +17,8 @@ from reviewtide.llm.common import table
 KINDS = ("assign", "access", "hex", "guess")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
-#: A value found by its context is a secret from this guess cost (log10) and length on.
+#: A value found by its context is a secret from this guess cost (log10) on.
 MIN_COST = 9.0
-MIN_VALUE = 8
 #: Values are searched whole in windows of this length; costs of the windows add up.
 WINDOW = 128
 MAX_PART = 32
@@ -30,10 +29,14 @@ _ASSIGN = re.compile(
 # Runs are taken whole, so a shortest length in the pattern drops the same runs as a later test.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (MIN_ACCESS - 4))
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
+#: A keyword, also at the end of a name, with a value assigned, or the Authorization or Bearer form. The
+#: scheme of a header is never its value.
 _CONTEXT = re.compile(
-    r"(?<![A-Za-z])(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|"
-    r"credentials?|bearer|pin)[\"']?\x20*[:=]\x20*[\"']?([^\s\"'<>,;]+)"
+    r"(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|authorization|"
+    r"credentials?|bearer|pin)[\"']?\x20*[:=]\x20*[\"']?(?:(?:bearer|basic|digest|negotiate|token)\x20+)?+|"
+    r"(?<![a-z])bearer\x20+)[\"']?([^\s\"'<>,;]+)"
 )
+_SCHEMES = ("bearer", "basic", "digest", "negotiate")
 
 #: Frequent passwords and words in them, most frequent first.
 COMMON_WORDS = (
@@ -158,16 +161,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def guessed_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Values in credential contexts that no base span touches and that are dear to guess."""
+    """Values in credential contexts that no base span touches and that are dear to guess, by their cost alone."""
     found = []
     for m in _CONTEXT.finditer(text):
         start, end = m.span(1)
         value = m[1].rstrip(".)]}")
         end = start + len(value)
-        if len(value) < MIN_VALUE or any(s < end and start < e for _, s, e in base):
+        if value.lower() in _SCHEMES or any(s < end and start < e for _, s, e in base):
             continue
-        mixed = sum(map(bool, (re.search(p, value) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))))
-        if mixed >= 2 and guess_cost(value) >= MIN_COST:
+        if guess_cost(value) >= MIN_COST:
             found.append(("guess", start, end))
     return found
 

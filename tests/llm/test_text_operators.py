@@ -208,6 +208,31 @@ def test_guess_cost_orders_values():
     assert secrets.scan("pwd: password123, token: changeme")[3] == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("pwd=xqzkvjwpbfmd", "xqzkvjwpbfmd"),
+        ("private_key: XQZKVJWPBFMD", "XQZKVJWPBFMD"),
+        ("pin: xK9$q!Z", "xK9$q!Z"),
+        ('userPassword = "xK9#mP2$vL"', "xK9#mP2$vL"),
+        ("dbSecret: xK9#mP2$vL", "xK9#mP2$vL"),
+        ("Authorization: Bearer eyJhbGciOi.J9x_Q2", "eyJhbGciOi.J9x_Q2"),
+        ("authorization=eyJhbGciOi.J9x_Q2", "eyJhbGciOi.J9x_Q2"),
+        ("'Authorization': 'Basic dXNlcjpwYXNz'", "dXNlcjpwYXNz"),
+        ("send Bearer eyJhbGciOi.J9x_Q2", "eyJhbGciOi.J9x_Q2"),
+        ("auth: Bearer eyJhbGciOi.J9x_Q2", "eyJhbGciOi.J9x_Q2"),
+    ],
+)
+def test_guess_cost_alone_decides_in_a_context(text, value):
+    at = text.index(value)
+    assert secrets.guessed_spans(text, []) == [("guess", at, at + len(value))]
+
+
+@pytest.mark.parametrize("text", ["pin: 1234", "pwd: qwertyuiop", "Authorization: Bearer <token>", "Authorization: Bearer", "the bearer of it"])
+def test_cheap_values_and_schemes_are_no_secrets(text):
+    assert secrets.guessed_spans(text, []) == []
+
+
 def test_secrets_of_odd_rows(spark):
     docs = documents(spark, odd_documents(), clashing=True)
     out = docs.select("doc_id", secrets.secret_scan().alias("s")).collect()
