@@ -1,6 +1,9 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
-A benchmark item is cut into overlapping fragments. If a document holds a fragment of m
+A benchmark item is cut into overlapping fragments: ``WORDS`` words from every word on, at most
+``FRAGMENT`` characters of them, and further ones where words are long. So any passage of ``WORDS``
+whole words is found wherever it begins in the item, and so is one of ``FRAGMENT`` characters from a
+word's start on. If a document holds a fragment of m
 characters with at most e edits, the two share at least m - q + 1 - q e of the fragment's
 q-grams, all within e + 1 neighbouring diagonals (place in the document less place in the
 fragment). Shared q-grams are counted in overlapping bands of 2 (e + 1) diagonals, so one band
@@ -17,11 +20,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewtide.llm.common import folded, table
+from reviewtide.llm.common import SPACE, folded, table
 
 Q = 8
+#: The shortest passage in words that is found at any place of an item.
+WORDS = 13
 FRAGMENT = 80
 STRIDE = 40
+#: Inside words of more characters fragments start every ``Q`` characters.
+LONG_WORD = 20
 ERROR_RATE = 0.06
 #: Benchmark characters per pass over the documents.
 BLOCK_CHARS = 1_000_000
@@ -65,14 +72,31 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
     return mixed >> np.uint64(64 - _FILTER_BITS)
 
 
+def _fragments(whole: np.ndarray, fragment: int) -> list[tuple[int, int]]:
+    """(start, end) of the fragments of a folded item, in order."""
+    last = max(0, len(whole) - fragment)
+    found = {(start, min(start + fragment, len(whole))) for start in {*range(0, last + 1, STRIDE), last}}
+    inner = np.append(whole != SPACE, False)
+    edge = np.flatnonzero(np.diff(np.append(False, inner).astype(np.int8)))
+    first, after = edge[::2].tolist(), edge[1::2].tolist()
+    for i, start in enumerate(first):
+        end = start + fragment
+        if i + WORDS <= len(first):
+            end = min(end, after[i + WORDS - 1])
+        starts = [(start, end)]
+        if after[i] - start > LONG_WORD:
+            starts += [(at, at + fragment) for at in range(start + Q, after[i], Q)]
+        found.update((a, b) for a, b in starts if b <= len(whole))
+    return sorted(found)
+
+
 def index_items(items: list[tuple], fragment: int = FRAGMENT, rate: float = ERROR_RATE) -> FragmentIndex:
     """Index (key, text) pairs. Items of fewer than ``Q`` folded characters are not searched."""
     codes, item = [], []
     for i, (_, text) in enumerate(items):
         whole = folded((text or "").strip())[0]
-        last = max(0, len(whole) - fragment)
-        for start in sorted({*range(0, last + 1, STRIDE), last}):
-            part = whole[start : start + fragment]
+        for start, end in _fragments(whole, fragment):
+            part = whole[start:end]
             if len(part) >= Q:
                 codes.append(part)
                 item.append(i)

@@ -50,6 +50,22 @@ def test_leaks_equal_alignment_of_every_fragment():
         assert (found[0][1] if found else 0) == len(want)
 
 
+def test_passages_of_the_stated_length_are_found_at_every_offset():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(60)]
+    index = decontamination.index_items([("i", " ".join(words))])
+    around = "unrelated prose before and after the passage, " * 3
+    for size in (decontamination.WORDS, 17):
+        for at in range(len(words) - size + 1):
+            passage = " ".join(words[at : at + size])
+            assert decontamination.find_leaks(index, around + passage + " " + around), (size, at, len(passage))
+    assert not decontamination.find_leaks(index, around + " ".join(words[20:26]) + " " + around)
+    solid = "".join(rng.choice("abcdefghijklmnop") for _ in range(300))
+    index = decontamination.index_items([("i", solid)])
+    for at in range(300 - 88 + 1):
+        assert decontamination.find_leaks(index, around + solid[at : at + 88] + " " + around), at
+
+
 def test_leaks_of_odd_rows(spark):
     docs = documents(spark, [*odd_documents(), (50, "x " + "the quick brown  FOX " * 6, "en", "s0", 1)], clashing=True)
     bench = spark.createDataFrame(
