@@ -142,7 +142,7 @@ def test_vectors_against_brute_force(spark, shard_rows):
         assert row["kept"] == (row["vec_id"] is not None and row["vec_id"] == row["component_id"])
 
 
-def test_crowded_vectors_beyond_any_overlap(spark):
+def test_crowded_vectors_beyond_any_overlap(spark, monkeypatch):
     """A third of the rows lie close together but unequal, in far more clusters than the overlap."""
     rng = np.random.default_rng(11)
     base = rng.normal(size=(2400, 32))
@@ -157,7 +157,8 @@ def test_crowded_vectors_beyond_any_overlap(spark):
     root = np.arange(len(base))
     for a, b in zip(*np.nonzero(near), strict=True):
         root[root == max(root[a], root[b])] = min(root[a], root[b])
-    out = {r["vec_id"]: r for r in vector_graph.near_vectors(df, shard_rows=20).collect()}
+    monkeypatch.setattr(vector_graph, "MAX_OVERLAP", 1)
+    out = {r["vec_id"]: r for r in vector_graph.near_vectors(df, shard_rows=20, overlap=1).collect()}
     assert [out[i]["n_links"] for i in range(len(base))] == true.tolist()
     assert [out[i]["component_id"] for i in range(len(base))] == root.tolist()
 
