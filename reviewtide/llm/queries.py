@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewtide.llm import (
+    alignment,
     decontamination,
     langid,
     mixing,
@@ -34,6 +35,7 @@ _QUERIES: tuple[Query, ...] = (
     mixing.op8_entropy_mix,
     langid.op9_language_centroids,
     ngram_join.op10_ngram_groups,
+    alignment.op13_shared_cuts,
 )
 
 
