@@ -10,6 +10,7 @@ from reviewtide.llm import (
     alignment,
     decontamination,
     langid,
+    manifest,
     mixing,
     ngram_join,
     quality,
@@ -35,6 +36,7 @@ _QUERIES: tuple[Query, ...] = (
     mixing.op8_entropy_mix,
     langid.op9_language_centroids,
     ngram_join.op10_ngram_groups,
+    manifest.op11_octopus_manifest,
     alignment.op13_shared_cuts,
 )
 
@@ -44,4 +46,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {urls.op5_url_rules.__name__: urls.ORACLE_SQL}
+    return {
+        urls.op5_url_rules.__name__: urls.ORACLE_SQL,
+        manifest.op11_octopus_manifest.__name__: manifest.ORACLE_SQL,
+    }

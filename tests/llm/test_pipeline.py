@@ -9,14 +9,15 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 12), 13]
     assert set(queries.oracle_sql()) <= set(names)
 
 
-def test_url_query_equals_sql(spark):
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_queries_equal_sql(spark, name):
     from compare import connect, spark_rows, sql_rows
 
-    (name, sql), = queries.oracle_sql().items()
+    sql = queries.oracle_sql()[name]
     names, expected = sql_rows(connect(SMALL), sql)
     df = queries.queries()[name](spark, SMALL)
     assert sorted(df.columns) == sorted(names) and spark_rows(df) == expected
