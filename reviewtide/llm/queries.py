@@ -10,6 +10,7 @@ from reviewtide.llm import (
     alignment,
     decontamination,
     langid,
+    licenses,
     manifest,
     mixing,
     ngram_join,
@@ -37,6 +38,7 @@ _QUERIES: tuple[Query, ...] = (
     langid.op9_language_centroids,
     ngram_join.op10_ngram_groups,
     manifest.op11_octopus_manifest,
+    licenses.op12_rare_token_licenses,
     alignment.op13_shared_cuts,
 )
 
@@ -49,4 +51,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         urls.op5_url_rules.__name__: urls.ORACLE_SQL,
         manifest.op11_octopus_manifest.__name__: manifest.ORACLE_SQL,
+        licenses.op12_rare_token_licenses.__name__: licenses.ORACLE_SQL,
     }
