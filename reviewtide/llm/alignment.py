@@ -41,11 +41,23 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PIECE_SPACE = "▁"
 
 
-class Encoder(NamedTuple):
-    """Ids of a text, and the bytes of every id."""
+class Encoder:
+    """Ids of texts, and the bytes of every id: ``flat`` holds all, an id's ``length`` from ``start`` on."""
 
-    ids: Callable[[str], np.ndarray]
-    spelled: list[bytes]
+    def __init__(self, ids: Callable[[list[str]], list[np.ndarray]], spelled: list[bytes]):
+        self.ids, self.size = ids, len(spelled)
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
+        self.length = np.array([len(s) for s in spelled], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def spells(self, ids: np.ndarray, data: bytes) -> bool:
+        """Whether the bytes of the ids, joined, are ``data``."""
+        lengths = self.length[ids]
+        ends = np.cumsum(lengths)
+        if not len(ids) or ends[-1] != len(data):
+            return False
+        places = np.repeat(self.start[ids] - (ends - lengths), lengths) + np.arange(len(data))
+        return bool((self.flat[places] == np.frombuffer(data, np.uint8)).all())
 
 
 def _printable_bytes() -> dict[str, int]:
@@ -73,10 +85,10 @@ def byte_level(model: bytes) -> Encoder:
     if ranked and parsed["normalizer"] is None and len(entries) == 256 + len(pairs):
         ranks = {data: vocabulary[name] for name, data in entries.items()}
         fast = tiktoken.Encoding("byte_level", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return Encoder(lambda text: np.array(fast.encode_ordinary(text), np.int64), spelled)
+        return Encoder(lambda texts: [np.array(fast.encode_ordinary(t), np.int64) for t in texts], spelled)
     plain = tokenizers.Tokenizer.from_str(model.decode())
     plain.encode_special_tokens = True
-    return Encoder(lambda text: np.array(plain.encode(text, add_special_tokens=False).ids, np.int64), spelled)
+    return Encoder(lambda texts: [np.array(plain.encode(t, add_special_tokens=False).ids, np.int64) for t in texts], spelled)
 
 
 @functools.cache
@@ -88,9 +100,10 @@ def pieces(model: bytes) -> Encoder:
         piece = loaded.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if loaded.is_byte(i) else piece.replace(PIECE_SPACE, " ").encode()
 
-    return Encoder(
-        lambda text: np.array(loaded.encode(text), np.int64), [spell(i) for i in range(loaded.get_piece_size())]
-    )
+    def ids(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(i, np.int64) for i in loaded.encode(texts, num_threads=1)]
+
+    return Encoder(ids, [spell(i) for i in range(loaded.get_piece_size())])
 
 
 def shared_cuts(a: np.ndarray, b: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -140,32 +153,33 @@ def _notation(size_a: int, size_b: int) -> _Notation:
     return _Notation(table_of, np.array([len(s) for s in signs], np.int64), (0, size_a, 2 * size_a, 2 * size_a + size_b))
 
 
+def _marked(a: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of the chunk, of which ``a`` holds the last, whether one of ``ends`` is there, and
+    how many are before it."""
+    there = np.zeros(a[-1] + 1 if len(a) else 0, bool)
+    there[ends] = True
+    return there, np.cumsum(there) - there
+
+
 def align_chunk(texts: list[bytes | None], one: Encoder, two: Encoder) -> list[pa.Array]:
     """Columns n_a, n_b, groups, links of the texts."""
-    known, ids_a, ids_b = [], [], []
-    for place, data in enumerate(texts):
-        if not data:
-            continue
-        text = data.decode("utf-8", "replace")
-        a, b = one.ids(" " + text), two.ids(text)
-        whole = b" " + data
-        if all(b"".join([e.spelled[i] for i in ids.tolist()]) == whole for e, ids in ((one, a), (two, b))):
-            known.append(place)
-            ids_a.append(a)
-            ids_b.append(b)
+    filled = [(place, data, data.decode("utf-8", "replace")) for place, data in enumerate(texts) if data]
+    encoded = zip(filled, one.ids([" " + t for *_, t in filled]), two.ids([t for *_, t in filled]), strict=True)
+    spelled = [(p, x, y) for (p, data, _), x, y in encoded if all(e.spells(ids, b" " + data) for e, ids in ((one, x), (two, y)))]
+    known = [p for p, *_ in spelled]
     counts = np.zeros((4, len(texts)), np.int64)
-    counts[0, known], counts[1, known] = [len(i) for i in ids_a], [len(i) for i in ids_b]
+    counts[0, known], counts[1, known] = [len(x) for _, x, _ in spelled], [len(y) for *_, y in spelled]
     none = np.empty(0, np.int64)
-    a_id, b_id = np.concatenate([none, *ids_a]), np.concatenate([none, *ids_b])
-    lengths = [np.array([len(s) for s in e.spelled], np.int64) for e in (one, two)]
-    a, b = np.cumsum(lengths[0][a_id]), np.cumsum(lengths[1][b_id])
+    a_id, b_id = np.concatenate([none, *(x for _, x, _ in spelled)]), np.concatenate([none, *(y for *_, y in spelled)])
+    a, b = np.cumsum(one.length[a_id]), np.cumsum(two.length[b_id])
     last = np.cumsum(counts[0, known])
     cuts = shared_cuts(a, b, last - counts[0, known], last)
     bounds = a[last - 1]
 
-    group_a, group_b = np.searchsorted(cuts, np.arange(len(a))), np.searchsorted(a[cuts], b)
-    ends_b = np.searchsorted(group_b, np.arange(len(cuts)), "right") - 1
-    notation = _notation(len(one.spelled), len(two.spelled))
+    cut, groups_before = _marked(a, a[cuts])
+    group_a, group_b = groups_before[a], groups_before[b]
+    ends_b = np.flatnonzero(cut[b])
+    notation = _notation(one.size, two.size)
     written = np.empty(len(a) + len(b), np.int64)
     before = np.append(0, ends_b + 1)[group_a]
     written[np.arange(len(a)) + before] = a_id + notation.shift[0]
@@ -176,16 +190,18 @@ def align_chunk(texts: list[bytes | None], one: Encoder, two: Encoder) -> list[p
     ends = np.append(0, np.cumsum(notation.lengths[written])[place_b[ends_b]]).astype(np.int32)
     joined = b"".join(notation.signs[written].tolist())
     groups = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(ends), pa.py_buffer(joined))
-    counts[2, known] = np.bincount(np.searchsorted(bounds, a[cuts]), minlength=len(known))
+    counts[2, known] = np.diff(np.searchsorted(a[cuts], bounds, "right"), prepend=0)
 
     # Within its group a link is a stretch between neighbouring ends of either side.
-    stretch = np.union1d(a, b)
-    pair = a_id[np.searchsorted(a, stretch)] * len(two.spelled) + b_id[np.searchsorted(b, stretch)]
-    pairs = len(one.spelled) * len(two.spelled)
-    linked, times = np.unique(np.searchsorted(bounds, stretch) * pairs + pair, return_counts=True)
+    (in_a, before_a), (in_b, before_b) = _marked(a, a), _marked(a, b)
+    stretch = np.flatnonzero(in_a | in_b)
+    counts[3, known] = np.diff(np.searchsorted(stretch, bounds, "right"), prepend=0)
+    pair = a_id[before_a[stretch]] * two.size + b_id[before_b[stretch]]
+    pairs = one.size * two.size
+    linked, times = np.unique(np.repeat(np.arange(len(known)), counts[3, known]) * pairs + pair, return_counts=True)
     counts[3, known] = np.bincount(linked // pairs, minlength=len(known))
     linked %= pairs
-    fields = [linked // len(two.spelled), linked % len(two.spelled), times]
+    fields = [linked // two.size, linked % two.size, times]
     links = pa.StructArray.from_arrays([pa.array(f.astype(np.int32)) for f in fields], ["a", "b", "n"])
 
     offsets = [pa.array(np.append(0, np.cumsum(c)).astype(np.int32)) for c in counts[2:]]
