@@ -25,9 +25,16 @@ SHOP = "https://shop.example"
 DUMP_LINES = 100
 
 
+def _dealt(frame: Callable[..., DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame over the documents, with a partition per core of a local session; a cluster's
+    tables come in many files, which are left as they are."""
+    context = spark.sparkContext
+    return frame(spark, sf_dir, partitions=context.defaultParallelism if context.master.startswith("local") else None)
+
+
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rated reviews, cleaned, with class and split."""
-    reviews = rt.prepare_text(tables.reviews_labelled(spark, sf_dir))
+    reviews = rt.prepare_text(_dealt(tables.reviews_labelled, spark, sf_dir))
     return rt.split_by_key(rt.with_sentiment(reviews), "review_id")
 
 
@@ -36,7 +43,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.prepare_text(tables.reviews_unrated(spark, sf_dir))
+    return rt.prepare_text(_dealt(tables.reviews_unrated, spark, sf_dir))
 
 
 def _r6(*columns: str) -> list[Column]:
@@ -53,31 +60,31 @@ def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = rt.with_sentiment(tables.reviews_all(spark, sf_dir))
+    reviews = rt.with_sentiment(_dealt(tables.reviews_all, spark, sf_dir))
     return reviews.select("review_id", "overall", "sentiment")
 
 
 def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.sentiment_counts(rt.with_sentiment(tables.reviews_all(spark, sf_dir)))
+    return rt.sentiment_counts(rt.with_sentiment(_dealt(tables.reviews_all, spark, sf_dir)))
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = tables.reviews_unrated(spark, sf_dir)
+    reviews = _dealt(tables.reviews_unrated, spark, sf_dir)
     return rt.split_by_key(reviews, "review_id").select("review_id", "is_train")
 
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.label_index(rt.with_sentiment(tables.reviews_all(spark, sf_dir)))
+    return rt.label_index(rt.with_sentiment(_dealt(tables.reviews_all, spark, sf_dir)))
 
 
 def review_msg_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = content_id("asin", "overall", "review_date", "reviewText")
-    return tables.reviews_all(spark, sf_dir).select("review_id", parts.alias("msg_id"))
+    return _dealt(tables.reviews_all, spark, sf_dir).select("review_id", parts.alias("msg_id"))
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "reviews")
-    reviews = tables.reviews_all(spark, sf_dir).select("overall", "reviewText", "summary")
+    reviews = _dealt(tables.reviews_all, spark, sf_dir).select("overall", "reviewText", "summary")
     rt.write_reviews(reviews, path, max_records=100_000)
     return rt.read_reviews(spark, path).withColumnRenamed("reviewText", "review_text")
 
@@ -85,7 +92,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reduced_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full dump in gzip files, reduced to the training fields in files of few lines, read back."""
     full, reduced = new_dir(spark, "dump"), new_dir(spark, "reduced")
-    reviews = tables.reviews_all(spark, sf_dir)
+    reviews = _dealt(tables.reviews_all, spark, sf_dir)
     given = {"overall": F.col("overall").cast("int"), "reviewerID": F.col("review_id").cast("string")}
     kept = ("asin", "reviewText", "summary")
     fields = [
@@ -105,7 +112,7 @@ def unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "cut-lines")
     review = F.to_json(F.struct(F.col("review_id").alias("overall"), F.lit("é").alias("summary")))
     line = F.when(F.expr("review_id % 7 = 0"), F.expr("left(_line, length(_line) - 3)")).otherwise(F.col("_line"))
-    reviews = tables.reviews_unrated(spark, sf_dir).withColumn("_line", review)
+    reviews = _dealt(tables.reviews_unrated, spark, sf_dir).withColumn("_line", review)
     reviews.select(line.alias("value")).write.text(path)
     read = rt.read_reviews(spark, path).select(F.col("overall").cast("long").alias("overall"), F.lit(None).cast("string").alias("line"))
     lost = rt.unreadable_lines(spark, path).select(F.lit(None).cast("long").alias("overall"), "line")
@@ -128,7 +135,7 @@ def stored_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message, encoded and decoded again, with id and types."""
-    encoded = rt.encode_messages(tables.messages(spark, sf_dir))
+    encoded = rt.encode_messages(_dealt(tables.messages, spark, sf_dir))
     return rt.normalise_types(rt.with_msg_id(rt.decode_messages(encoded)))
 
 
@@ -305,7 +312,7 @@ def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = tables.loose_messages(spark, sf_dir)
+    raw = _dealt(tables.loose_messages, spark, sf_dir)
     typed = rt.normalise_types(raw.withColumn("price", rt.parse_price(F.col("price"))))
     _, rejected = rt.check_quality(typed)
     return rejected.select(
@@ -319,7 +326,7 @@ def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    raw = tables.mixed_messages(spark, sf_dir)
+    raw = _dealt(tables.mixed_messages, spark, sf_dir)
     return rt.check_quality(rt.normalise_types(raw.withColumn("price", rt.parse_price(F.col("price")))))
 
 
@@ -335,7 +342,7 @@ def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = rt.recent(tables.reviews_unrated(spark, sf_dir), "review_date", "2022-12-25", 30)
+    reviews = rt.recent(_dealt(tables.reviews_unrated, spark, sf_dir), "review_date", "2022-12-25", 30)
     before = rt.shift_days(F.col("review_date"), 3).alias("three_days_before")
     return reviews.select("review_id", "review_date", before)
 
@@ -377,7 +384,7 @@ def page_link_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tables.shop_pages(spark, sf_dir).select(
+    found = _dealt(tables.shop_pages, spark, sf_dir).select(
         "page_id",
         "asin",
         rt.page_link(F.col("search_html"), PRODUCT_LINK_CLASS).alias("product_href"),
@@ -388,7 +395,7 @@ def product_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scraped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to reviews to recent ones to messages in a queue, and back."""
-    pages = tables.review_pages(spark, sf_dir).withColumns(
+    pages = _dealt(tables.review_pages, spark, sf_dir).withColumns(
         {"price": rt.page_price(F.col("html")), "name": F.concat(F.lit("Product "), F.col("asin"))}
     )
     reviews = rt.explode_reviews(rt.review_lists(pages))
@@ -406,18 +413,18 @@ def review_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Reviewed in Canada on "), F.date_format("review_date", "MMMM d, yyyy")
     )
     parsed = F.get(rt.review_dates(F.array(shown)), F.lit(0))
-    return tables.reviews_unrated(spark, sf_dir).select("review_id", parsed.alias("review_date"))
+    return _dealt(tables.reviews_unrated, spark, sf_dir).select("review_id", parsed.alias("review_date"))
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = rt.nested_tag_texts(F.col("html"), "span", REVIEW_TEXT_CLASS)
-    pages = tables.review_pages(spark, sf_dir)
+    pages = _dealt(tables.review_pages, spark, sf_dir)
     lines = pages.select("page_id", F.posexplode(rt.review_texts(bodies)).alias("pos", "line"))
     return lines.select("page_id", "pos", "line")
 
 
 def page_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tables.review_pages(spark, sf_dir)
+    pages = _dealt(tables.review_pages, spark, sf_dir)
     priced = pages.withColumn("price", rt.page_price(F.col("html")))
     return rt.explode_reviews(rt.review_lists(priced)).select(
         "page_id", "asin", "pos", "price", "review_date", "rating", "review_content"
@@ -476,7 +483,7 @@ def stored_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = rt.fit_pipeline(_training(spark, sf_dir))
     base = new_dir(spark, "stream-scored")
-    rt.send_messages(tables.messages(spark, sf_dir), f"{base}/queue")
+    rt.send_messages(_dealt(tables.messages, spark, sf_dir), f"{base}/queue")
     query = rt.stream_score(spark, f"{base}/queue", model, f"{base}/sink", f"{base}/checkpoint")
     query.awaitTermination()
     return rt.read_scored(spark, f"{base}/sink").select(
@@ -484,9 +491,37 @@ def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _delivered_twice(spark: SparkSession, sf_dir: str) -> str:
+    """A queue that holds every message twice, read by two checkpoints, with rules; where it all is."""
+    model = rt.fit_pipeline(_training(spark, sf_dir))
+    base = new_dir(spark, "stream-once")
+    for _ in range(2):
+        rt.send_messages(_dealt(tables.faulty_messages, spark, sf_dir), f"{base}/queue")
+    rules = rt.stored_review_rules(tables.mixed_messages(spark, sf_dir).columns + ["review_date"])
+    for reader in ("one", "two"):
+        rt.stream_score(
+            spark, f"{base}/queue", model, f"{base}/sink", f"{base}/checkpoint-{reader}", rules, f"{base}/rejects"
+        ).awaitTermination()
+    return base
+
+
+def stored_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid messages of a queue that was delivered twice and read by two checkpoints."""
+    stored = rt.read_scored(spark, f"{_delivered_twice(spark, sf_dir)}/sink")
+    return stored.withColumn("price", F.col("price").cast("double")).drop("msg_id")
+
+
+def rejected_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages of the same queue, with all the rules that each breaks."""
+    fields = "asin string, name string, category string, price double, review_text string, reasons array<string>"
+    rejected = spark.read.schema(fields).json(f"{_delivered_twice(spark, sf_dir)}/rejects")
+    reasons = F.array_join(F.array_sort("reasons"), ",").alias("reasons")
+    return rejected.select("asin", "name", "category", "price", "review_text", reasons)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_dir(spark, "stream-dedup")
-    sent = tables.messages(spark, sf_dir)
+    sent = _dealt(tables.messages, spark, sf_dir)
     rt.send_messages(sent, f"{base}/queue")
     rt.send_messages(sent, f"{base}/queue")
     records = rt.normalise_types(
@@ -581,6 +616,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     sentiment_agreement,
     stored_trend,
     stream_scored,
+    stored_once,
+    rejected_once,
     stream_dedup,
     stream_trend,
     stream_sentiment_trend,

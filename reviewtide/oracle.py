@@ -451,6 +451,17 @@ def statements() -> dict[str, str]:
     # A stream scores a message once, however often it is delivered.
     sql["stream_scored"] = f"SELECT DISTINCT * FROM ({scored})"
     sql["stored_twice"] = sql["stored_reviews"]
+    # A message is its raw fields; equal ones are one message, and a cut line is none of them.
+    wire = checked.replace("CASE WHEN cut THEN 'unreadable' END", "NULL")
+    sql["stored_once"] = f"""{wire}, {_PREDICT_ALL}
+        SELECT DISTINCT c.asin, c.name, c.category, CAST(c.price AS DOUBLE) AS price, c.review_date, c.rating,
+               c.review_text, p.predicted_sentiment AS sentiment
+        FROM checked c LEFT JOIN predicted p USING (review_id) WHERE c.reasons = ''"""
+    sql["rejected_once"] = f"""{wire}, kinds AS (
+          SELECT DISTINCT asin, name, category, price, review_date, rating, review_text, reasons,
+                 CASE WHEN doc_id % 41 = 20 AND doc_id % 37 <> 18 THEN 'one' END AS raw_rating
+          FROM checked JOIN documents ON review_id = doc_id WHERE reasons <> '')
+        SELECT asin, name, category, CAST(price AS DOUBLE) AS price, review_text, reasons FROM kinds"""
     sql["unreadable_lines"] = """
         SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS overall,
                CASE WHEN doc_id % 7 = 0 THEN '{"overall":' || doc_id || ',"summary":"' END AS line

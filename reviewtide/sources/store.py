@@ -5,14 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewtide.plans.joins import BROADCAST_LIMIT, measured_bytes
+from reviewtide.plans.storage import path_exists, scratch
 from reviewtide.schemas import STORED_REVIEW
 
+#: A batch with more review dates than these is compared with the ids of all dates.
+PRUNED_DATES = 1000
+_BATCHES = "run string, batch_id string"
+
 
 def batch_folder(path: str, run: int | str, batch_id: int | str) -> str:
     """The folder that one batch of one run owns. Batch numbers alone repeat in other runs."""
     return f"{path}/run={run}/batch_id={batch_id}"
 
 
+def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of ``batch`` whose ``msg_id`` is not in ``stored``, one of each id; rows without an id stay.
+
+    ``batch`` should be a materialised table, ``stored`` a scan of (msg_id). The ids of a batch
+    of bounded size go to the stored ids, which are then not shuffled whatever their number;
+    the few that are found go back to the batch. Larger batches meet the ids in a shuffle.
+    """
+    ids = batch.select("msg_id").filter("msg_id IS NOT NULL").distinct()
+    if measured_bytes(ids) <= BROADCAST_LIMIT:
+        ids = F.broadcast(ids)
+    found = stored.join(ids, "msg_id", "left_semi").distinct()
+    named = batch.filter("msg_id IS NOT NULL").join(found, "msg_id", "left_anti")
+    return named.dropDuplicates(["msg_id"]).select(*batch.columns).unionByName(batch.filter("msg_id IS NULL"))
+
+
+def other_batches(stored: DataFrame, run: int | str, batch_id: int | str) -> DataFrame:
+    """The rows of a table of batches without those of one, which is what a replay compares with."""
+    own = (F.col("run") == str(run)) & (F.col("batch_id") == str(batch_id))
+    return stored.filter(~own)
+
+
+def not_yet_stored(batch: DataFrame, path: str, run: int | str, batch_id: int | str) -> DataFrame:
+    """The rows of a materialised batch that no other batch has stored in the results table.
+
+    Only the ids of the batch's own review dates are read, since a message's date is part of
+    what its id is made of. A replayed batch does not see its own rows, so it writes them again.
+    """
+    spark = batch.sparkSession
+    if not path_exists(spark, path):
+        return unseen(batch, spark.createDataFrame([], "msg_id string"))
+    stored = spark.read.schema(f"msg_id string, review_date date, {_BATCHES}").parquet(path)
+    dates = [r[0] for r in batch.select("review_date").distinct().limit(PRUNED_DATES + 1).collect()]
+    if len(dates) <= PRUNED_DATES:
+        wanted = F.col("review_date").isin([d for d in dates if d is not None])
+        stored = stored.filter(wanted | F.col("review_date").isNull() if None in dates else wanted)
+    return unseen(batch, other_batches(stored, run, batch_id).select("msg_id"))
+
+
+def append_once(df: DataFrame, path: str, run: int | str, batch_id: int | str = 0) -> None:
+    """``append_scored`` for the messages of a batch that are not stored yet, one row of each ``msg_id``.
+
+    So a message that two checkpoints or loads deliver is in the table once. Loads into one table
+    must follow each other: two at the same time do not see each other's rows.
+    """
+    with scratch(df.sparkSession, "batch") as keep:
+        append_scored(not_yet_stored(keep(df), path, run, batch_id), path, run, batch_id)
+
+
 def append_scored(df: DataFrame, path: str, run: int | str, batch_id: int | str = 0) -> None:
     """Append one batch of scored reviews, partitioned by review date.
 
@@ -37,6 +91,19 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(*[f.name for f in STORED_REVIEW.fields])
 
 
+def append_rejects(rejected: DataFrame, path: str, run: int | str, batch_id: int | str = 0, once: bool = True) -> None:
+    """Append one batch of rejected rows as JSON lines, in a folder of its own like ``append_scored``.
+
+    With ``once`` a message that another batch has rejected is left out; ``rejected`` should then
+    be a materialised table.
+    """
+    spark = rejected.sparkSession
+    if once and path_exists(spark, path):
+        seen = spark.read.schema(f"msg_id string, {_BATCHES}").json(path)
+        rejected = unseen(rejected, other_batches(seen, run, batch_id).select("msg_id"))
+    rejected.write.mode("overwrite").json(batch_folder(path, run, batch_id))
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows, for a look at the data."""
     return df.limit(n)

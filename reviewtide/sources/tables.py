@@ -46,27 +46,32 @@ def _as_reviews(rated: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents."""
-    return table(spark, sf_dir, "documents")
+def documents(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The documents, dealt over ``partitions`` if given.
+
+    A file of one row group is read by one task, and so is all work on its texts up to the next
+    shuffle. Tables of many files need no number.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return docs.repartition(partitions) if partitions else docs
 
 
-def reviews_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_unrated(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every document as a review without a rating, for work that needs none: no join."""
     none = F.lit(None).cast("int")
-    return _as_reviews(documents(spark, sf_dir).withColumns({"quality": none, "toxic": none}))
+    return _as_reviews(documents(spark, sf_dir, partitions).withColumns({"quality": none, "toxic": none}))
 
 
-def reviews_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_all(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every document as a review; documents without a label have no rating."""
     labels = table(spark, sf_dir, "labels")
-    return _as_reviews(documents(spark, sf_dir).join(labels, "doc_id", "left"))
+    return _as_reviews(documents(spark, sf_dir, partitions).join(labels, "doc_id", "left"))
 
 
-def reviews_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_labelled(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Documents with a label as rated reviews."""
     labels = table(spark, sf_dir, "labels")
-    return _as_reviews(documents(spark, sf_dir).join(labels, "doc_id"))
+    return _as_reviews(documents(spark, sf_dir, partitions).join(labels, "doc_id"))
 
 
 def ratings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,10 +89,10 @@ def as_ratings(events: DataFrame) -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every document as a message record, in the scraper's field names."""
     labels = table(spark, sf_dir, "labels")
-    rated = documents(spark, sf_dir).join(labels, "doc_id", "left")
+    rated = documents(spark, sf_dir, partitions).join(labels, "doc_id", "left")
     whole_price = F.concat(F.col("n_chars").cast("string"), F.lit("."))
     return _as_reviews(rated, parse_price(whole_price).alias("price")).select(
         "asin",
@@ -99,11 +104,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def loose_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loose_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Decoded messages with the faults of real ones: ids that are too long, days that do not
     exist, missing ratings, prices as page text, no category."""
     labels = table(spark, sf_dir, "labels")
-    rated = documents(spark, sf_dir).join(labels, "doc_id", "left")
+    rated = documents(spark, sf_dir, partitions).join(labels, "doc_id", "left")
     day = F.lpad((F.col("doc_id") % 60 + 1).cast("string"), 2, "0")
     return rated.select(
         F.col("doc_id").alias("review_id"),
@@ -120,7 +125,7 @@ def loose_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every document as a decoded message; most are valid, and each rule is broken by some."""
 
     def every(n: int, wrong: Column, right: Column) -> Column:
@@ -131,7 +136,7 @@ def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.concat(F.lit("2022-11-"), F.lpad((F.col("doc_id") % 30 + 1).cast("string"), 2, "0"))
     stars = (F.col("doc_id") % 5 + 1).cast("string")
     price = F.concat(F.col("n_chars").cast("string"), F.lit("."))
-    return documents(spark, sf_dir).select(
+    return documents(spark, sf_dir, partitions).select(
         F.col("doc_id").alias("review_id"),
         every(11, F.lit(" "), every(13, long_id, source)).alias("asin"),
         every(17, nothing, F.concat(F.lit("Product "), source)).alias("name"),
@@ -144,14 +149,20 @@ def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """``mixed_messages`` as records on the wire, in the scraper's field names."""
+    mixed = mixed_messages(spark, sf_dir, partitions)
+    return mixed.drop("review_id", CORRUPT).withColumnRenamed("review_text", "review_content")
+
+
+def shop_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Per document the page of a search that finds its product, and the product's page."""
 
     def link(cls: str, path: str) -> list[Column]:
         return [F.lit(f'<a class="{cls}" href="{path}'), F.col("doc_id").cast("string"), F.lit('?a=1&amp;b=2">x</a>')]
 
     plain = link("nav", "/help/")
-    return documents(spark, sf_dir).select(
+    return documents(spark, sf_dir, partitions).select(
         F.col("doc_id").alias("page_id"),
         F.col("source").alias("asin"),
         F.concat(*plain, *link(PRODUCT_LINK_CLASS, "/dp/"), *link(PRODUCT_LINK_CLASS, "/next/")).alias("search_html"),
@@ -159,13 +170,13 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One stored review page per rated review, in the layout of a shop's review list.
 
     A page shows a price, two highlighted dates and two reviews: the whole text, and a day
     later its first line.
     """
-    reviews = reviews_labelled(spark, sf_dir)
+    reviews = reviews_labelled(spark, sf_dir, partitions)
 
     def dated(days: int) -> Column:
         day = F.date_format(F.date_add("review_date", days), REVIEW_DATE_FORMAT)

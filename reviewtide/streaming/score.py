@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewtide.operators.quality import check_quality
+from reviewtide.plans.storage import scratch
 from reviewtide.plans.training import score_messages
 from reviewtide.sources.messages import (
     decode_messages,
@@ -15,7 +16,7 @@ from reviewtide.sources.messages import (
     read_messages,
     with_msg_id,
 )
-from reviewtide.sources.store import append_scored, batch_folder
+from reviewtide.sources.store import append_rejects, append_scored, not_yet_stored
 from reviewtide.streaming.dedup import stream_dedup
 from reviewtide.streaming.runs import start_run
 
@@ -45,14 +46,17 @@ def stream_score(
     rejects: str | None = None,
     dedup_delay: str | None = DEDUP_DELAY,
     max_files: int | None = MAX_FILES,
+    once: bool = True,
 ) -> StreamingQuery:
     """Score all messages that have arrived, append them to ``sink``, then stop.
 
     Input counts as read only when the checkpoint records the batch after its write, and a
     replayed batch overwrites its own folder, so no row is lost or stored twice. With ``rules``
     the rows that violate one go to ``rejects``, which is then required, as JSON lines instead.
-    Redelivered messages are dropped before they are scored while they arrive within
-    ``dedup_delay`` of each other; None keeps them all. A batch holds ``max_files`` files.
+    Redelivered messages are dropped before they are scored: in the stream while they arrive within
+    ``dedup_delay`` of each other (None keeps them), and, with ``once``, whenever ``sink`` (or
+    ``rejects``) has their ``msg_id`` already, whichever checkpoint stored it. Streams into
+    one sink must then follow each other. A batch holds ``max_files`` files.
     """
     if rules is not None and rejects is None:
         raise ValueError("rules need a place for the rejects")
@@ -64,16 +68,16 @@ def stream_score(
         records = stream_dedup(arrived, dedup_delay, ts="arrived").drop("arrived")
 
     def write(batch: DataFrame, run: str, batch_id: int) -> None:
-        if rules is None:
-            append_scored(batch, sink, run, batch_id)
-            return
-        batch.persist()
-        try:
-            valid, rejected = check_quality(batch, rules)
+        with scratch(spark, "batch") as keep:
+            if once:
+                batch = not_yet_stored(keep(batch), sink, run, batch_id)
+            scored = score_messages(model, batch)
+            if rules is None:
+                append_scored(scored, sink, run, batch_id)
+                return
+            valid, rejected = check_quality(keep(scored), rules)
             append_scored(valid, sink, run, batch_id)
-            rejected.write.mode("overwrite").json(batch_folder(rejects, run, batch_id))
-        finally:
-            batch.unpersist()
+            append_rejects(rejected, rejects, run, batch_id, once)
 
-    scored = score_messages(model, records).writeStream.option("checkpointLocation", checkpoint)
-    return start_run(scored.trigger(availableNow=True), write)
+    writer = records.writeStream.option("checkpointLocation", checkpoint)
+    return start_run(writer.trigger(availableNow=True), write)
