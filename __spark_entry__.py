@@ -460,6 +460,22 @@ def rating_smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day(smoothed.drop("n_reviews"), "avg_rating", "smoothed_rating")
 
 
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.rating_trend(tables.ratings_events(spark, sf_dir), "1 day")
+
+
+def rating_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of a product's life, also those without reviews."""
+    return _day(rt.every_period(_daily(spark, sf_dir), "1 day"), "avg_rating")
+
+
+def daily_rating_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change and smoothing over days, many of which have no review of a product."""
+    changed = rt.rating_change(_daily(spark, sf_dir), "1 day")
+    smoothed = rt.rating_smoothed(changed, 3, "1 day").drop("n_reviews")
+    return _day(smoothed, "avg_rating", "previous_rating", "rating_change", "smoothed_rating")
+
+
 def sentiment_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     predicted = _model_predictions(spark, sf_dir)
     agreement = rt.sentiment_agreement(predicted, "overall", "predicted_sentiment")
@@ -613,6 +629,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     sentiment_trend,
     rating_change,
     rating_smoothed,
+    rating_periods,
+    daily_rating_change,
     sentiment_agreement,
     stored_trend,
     stream_scored,

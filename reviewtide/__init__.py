@@ -42,6 +42,7 @@ from reviewtide.operators.prepare import (
 )
 from reviewtide.operators.quality import check_quality, stored_review_rules, tag_quality
 from reviewtide.operators.trends import (
+    every_period,
     rating_change,
     rating_smoothed,
     rating_trend,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewtide.functions.fixed_values import SENTIMENTS
 from reviewtide.functions.ratings import sentiment_of
@@ -51,19 +52,58 @@ def sentiment_trend(
     )
 
 
-def rating_change(trend: DataFrame) -> DataFrame:
-    """Add the previous period's rating and the change against it."""
-    order = Window.partitionBy("asin").orderBy("period_start")
-    before = F.lag("avg_rating").over(order)
-    return trend.withColumn("previous_rating", before).withColumn(
-        "rating_change", F.col("avg_rating") - F.col("previous_rating")
-    )
+def _period_number(trend: DataFrame, period: str) -> Column:
+    """Number of a row's period, so that neighbouring periods differ by one whatever the time zone."""
+    if isinstance(trend.schema["period_start"].dataType, T.TimestampNTZType):
+        since = "period_start - TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+        seconds = F.expr(f"CAST(CAST({since} AS INTERVAL SECOND) AS DECIMAL(20, 6))")
+    else:
+        seconds = F.unix_micros("period_start").cast("decimal(20, 0)") / 1_000_000
+    length = F.expr(f"CAST(CAST(INTERVAL {period} AS INTERVAL SECOND) AS DECIMAL(20, 6))")
+    return F.floor(seconds / length).cast("bigint")
+
+
+def rating_change(trend: DataFrame, period: str = "7 days") -> DataFrame:
+    """Add the previous period's rating and the change against it.
+
+    ``period`` is the trend's own. Where the product has no reviews in the period before, both are null.
+    """
+    order = Window.partitionBy("asin").orderBy("_period")
+    numbered = trend.withColumn("_period", _period_number(trend, period))
+    next_to = F.lag("_period").over(order) == F.col("_period") - 1
+    before = F.when(next_to, F.lag("avg_rating").over(order))
+    changed = numbered.withColumn("previous_rating", before).drop("_period")
+    return changed.withColumn("rating_change", F.col("avg_rating") - F.col("previous_rating"))
 
 
-def rating_smoothed(trend: DataFrame, k: int = 3) -> DataFrame:
-    """Add the mean of the last ``k`` periods' ratings."""
-    last = Window.partitionBy("asin").orderBy("period_start").rowsBetween(-(k - 1), 0)
-    return trend.withColumn("smoothed_rating", F.avg("avg_rating").over(last))
+def rating_smoothed(trend: DataFrame, k: int = 3, period: str = "7 days") -> DataFrame:
+    """Add the mean rating of the last ``k`` periods, which are those of the calendar.
+
+    ``period`` is the trend's own. Periods without reviews have no rating and do not count.
+    """
+    last = Window.partitionBy("asin").orderBy("_period").rangeBetween(-(k - 1), 0)
+    numbered = trend.withColumn("_period", _period_number(trend, period))
+    return numbered.withColumn("smoothed_rating", F.avg("avg_rating").over(last)).drop("_period")
+
+
+def every_period(trend: DataFrame, period: str = "7 days") -> DataFrame:
+    """``trend`` with a row for every period from a product's first to its last; those without
+    reviews count 0 and have no rating, as a plotted line needs them."""
+    numbered = trend.withColumn("_period", _period_number(trend, period))
+    ends = numbered.groupBy("asin").agg(
+        F.min("_period").alias("from"), F.max("_period").alias("to"), F.min("period_start").alias("_first")
+    )
+    spine = ends.select("asin", "_first", "from", F.explode(F.sequence("from", "to")).alias("_period"))
+    steps = F.col("_period") - F.col("from")
+    if isinstance(trend.schema["period_start"].dataType, T.TimestampNTZType):
+        start = F.col("_first") + F.expr(f"INTERVAL {period}") * steps
+    else:
+        # Periods have one length in seconds, which days of a time zone do not.
+        length = F.expr(f"CAST(CAST(INTERVAL {period} AS INTERVAL SECOND) AS DECIMAL(20, 6))") * 1_000_000
+        start = F.timestamp_micros(F.unix_micros("_first") + (length * steps).cast("bigint"))
+    spine = spine.select("asin", "_period", start.alias("period_start"))
+    filled = spine.join(numbered.drop("period_start"), ["asin", "_period"], "left").drop("_period")
+    return filled.fillna(0, ["n_reviews"]).select(*trend.columns)
 
 
 def sentiment_agreement(

@@ -422,17 +422,36 @@ def statements() -> dict[str, str]:
                {", ".join(f"count(*) FILTER (sentiment = '{c}') AS n_{c.lower()}" for c in _CLASSES)},
                {", ".join(f"round(count(*) FILTER (sentiment = '{c}') / CAST(count(*) AS DOUBLE), 6) AS share_{c.lower()}" for c in _CLASSES)}
         FROM classed WHERE sentiment IS NOT NULL GROUP BY asin, period_start"""
+    # Every period of the calendar between a product's first and last, so that neighbours are neighbours in time.
+    def spine_of(days: int) -> str:
+        start = f"CAST(time_bucket(INTERVAL {days} DAY, ts, TIMESTAMP '1970-01-01') AS DATE)"
+        return f"""{trends}, periods AS (SELECT asin, {start} AS period_start, count(*) AS n_reviews, avg(rating) AS avg_rating
+          FROM ratings GROUP BY ALL),
+        ends AS (SELECT asin, min(period_start) AS f, max(period_start) AS l FROM periods GROUP BY asin),
+        days AS (SELECT asin, unnest(generate_series(f, l, INTERVAL {days} DAY)) AS day FROM ends),
+        spine AS (SELECT days.asin, CAST(day AS DATE) AS period_start, n_reviews, avg_rating
+          FROM days LEFT JOIN periods p ON p.asin = days.asin AND p.period_start = CAST(day AS DATE))"""
+
+    spine = spine_of(7)
     order = "OVER (PARTITION BY asin ORDER BY period_start"
-    sql["rating_change"] = f"""{trends}
-        SELECT asin, period_start, round(avg_rating, 6) AS avg_rating,
-               round(lag(avg_rating) {order}), 6) AS previous_rating,
-               round(avg_rating - lag(avg_rating) {order}), 6) AS rating_change
-        FROM trend"""
-    sql["rating_smoothed"] = f"""{trends}
-        SELECT asin, period_start, round(avg_rating, 6) AS avg_rating,
-               round(avg(avg_rating) {order} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6)
-                 AS smoothed_rating
-        FROM trend"""
+    sql["rating_change"] = f"""{spine},
+        changed AS (SELECT asin, period_start, avg_rating, n_reviews, lag(avg_rating) {order}) AS before FROM spine)
+        SELECT asin, period_start, round(avg_rating, 6) AS avg_rating, round(before, 6) AS previous_rating,
+               round(avg_rating - before, 6) AS rating_change
+        FROM changed WHERE n_reviews IS NOT NULL"""
+    sql["rating_smoothed"] = f"""{spine},
+        smoothed AS (SELECT asin, period_start, avg_rating, n_reviews,
+               avg(avg_rating) {order} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS smooth FROM spine)
+        SELECT asin, period_start, round(avg_rating, 6) AS avg_rating, round(smooth, 6) AS smoothed_rating
+        FROM smoothed WHERE n_reviews IS NOT NULL"""
+    sql["rating_periods"] = f"""{spine_of(1)}
+        SELECT asin, period_start, coalesce(n_reviews, 0) AS n_reviews, round(avg_rating, 6) AS avg_rating FROM spine"""
+    sql["daily_rating_change"] = f"""{spine_of(1)},
+        changed AS (SELECT *, lag(avg_rating) {order}) AS before,
+               avg(avg_rating) {order} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS smooth FROM spine)
+        SELECT asin, period_start, round(avg_rating, 6) AS avg_rating, round(before, 6) AS previous_rating,
+               round(avg_rating - before, 6) AS rating_change, round(smooth, 6) AS smoothed_rating
+        FROM changed WHERE n_reviews IS NOT NULL"""
     sql["sentiment_agreement"] = f"""WITH {_PREDICT_LABELLED}
         SELECT r.asin, count(*) AS n_reviews,
                count(*) FILTER (p.predicted_sentiment = p.sentiment) AS n_agree,
