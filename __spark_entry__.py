@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import reviewtide as rt  # noqa: E402
-from reviewtide.functions.fixed_values import PRODUCT_LINK_CLASS, REVIEW_LINK_CLASS, REVIEW_TEXT_CLASS  # noqa: E402
+from reviewtide.functions.fixed_values import PRODUCT_LINK_CLASS, REVIEW_LINK_CLASS  # noqa: E402
 from reviewtide.functions.text import content_id  # noqa: E402
 from reviewtide.oracle import TERMS_PER_CLASS, TOPK, statements  # noqa: E402
 from reviewtide.plans.storage import materialise, new_dir  # noqa: E402
@@ -417,9 +417,8 @@ def review_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = rt.nested_tag_texts(F.col("html"), "span", REVIEW_TEXT_CLASS)
     pages = _dealt(tables.review_pages, spark, sf_dir)
-    lines = pages.select("page_id", F.posexplode(rt.review_texts(bodies)).alias("pos", "line"))
+    lines = pages.select("page_id", F.posexplode(rt.review_lines(F.col("html"))).alias("pos", "line"))
     return lines.select("page_id", "pos", "line")
 
 

@@ -18,6 +18,7 @@ from reviewtide.operators.extract import (
     page_link,
     page_price,
     product_urls,
+    review_lines,
     review_lists,
     review_messages,
 )

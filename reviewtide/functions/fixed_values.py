@@ -55,6 +55,7 @@ REVIEW_DATE_CLASS = "a-size-base a-color-secondary review-date"
 REVIEW_TEXT_CLASS = "a-size-base review-text review-text-content"
 RATING_LINK_CLASS = "a-link-normal"
 RATING_TITLE_MARK = "out"
+REVIEW_BLOCK_CLASS = "review"
 PRICE_CLASS = "a-price-whole"
 PRODUCT_LINK_CLASS = "a-link-normal s-underline-text s-underline-link-text s-link-style a-text-normal"
 REVIEW_LINK_CLASS = "a-link-emphasis a-text-bold"
@@ -80,26 +81,3 @@ PARAGRAPH_ENDS = (
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul"
 ).split()
 PARENT_ENDS = "body html button caption dd dt li object td th".split()
-
-# HTML character references decoded on the JVM path; '&amp;' comes last so that
-# an escaped reference such as '&amp;lt;' is decoded once only.
-CHARACTER_REFERENCES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-)

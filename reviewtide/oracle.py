@@ -383,20 +383,20 @@ def statements() -> dict[str, str]:
         texts AS (
           SELECT review_id AS page_id, [x FOR x IN string_split(reviewText, chr(10))
                  || string_split(summary, chr(10)) IF x <> ''] AS lines
-          FROM all_reviews WHERE labelled
+          FROM all_reviews
         )
         SELECT page_id, pos, lines[pos + 1] AS line
         FROM (SELECT *, unnest(range(len(lines))) AS pos FROM texts)"""
+    # The third review of a page has no text, some pages no dates, and documents without a label no rating.
     sql["page_reviews"] = f"""{_with(_REVIEWS)},
         entries AS (
-          SELECT review_id AS page_id, asin, 0 AS pos, length(reviewText) AS price, review_date,
-                 overall, reviewText AS text FROM all_reviews WHERE labelled
-          UNION ALL
-          SELECT review_id, asin, 1, length(reviewText), review_date + 1, overall, summary
-          FROM all_reviews WHERE labelled
+          SELECT review_id AS page_id, asin, pos, length(reviewText) AS price,
+                 CASE WHEN review_id % 11 <> 5 THEN review_date + CAST(pos AS INTEGER) END AS review_date, overall,
+                 CASE WHEN pos = 0 THEN reviewText WHEN pos = 1 THEN summary END AS text
+          FROM all_reviews, range(3) positions(pos)
         )
         SELECT page_id, asin, pos, price, review_date, CAST(overall AS INTEGER) AS rating,
-               coalesce({_body("text")}, '') AS review_content
+               CASE WHEN pos < 2 THEN coalesce({_body("text")}, '') END AS review_content
         FROM entries"""
 
     shown = sql["page_reviews"]

@@ -10,6 +10,7 @@ from reviewtide.functions.fixed_values import (
     PRICE_CLASS,
     PRODUCT_LINK_CLASS,
     RATING_LINK_CLASS,
+    REVIEW_BLOCK_CLASS,
     REVIEW_DATE_CLASS,
     REVIEW_DATE_FORMAT,
     REVIEW_LINK_CLASS,
@@ -171,12 +172,13 @@ def shop_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None)
 
 
 def review_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """One stored review page per rated review, in the layout of a shop's review list.
+    """One stored review page per document, in the layout of a shop's review list.
 
-    A page shows a price, two highlighted dates and two reviews: the whole text, and a day
-    later its first line.
+    A page shows a price, two highlighted dates and three reviews: the whole text, a day later
+    its first line, and a day later one without text. Reviews of documents without a label have no
+    rating, and some pages show no dates in their reviews.
     """
-    reviews = reviews_labelled(spark, sf_dir, partitions)
+    reviews = reviews_all(spark, sf_dir, partitions)
 
     def dated(days: int) -> Column:
         day = F.date_format(F.date_add("review_date", days), REVIEW_DATE_FORMAT)
@@ -186,10 +188,10 @@ def review_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None
 
     def review(text: str, days: int) -> list[Column]:
         return [
-            F.lit(f'<div><a class="{RATING_LINK_CLASS}" href="/r" title="'),
-            F.col("overall").cast("string"),
-            F.lit(' out of 5 stars"><i>stars</i></a>'),
-            dated(days),
+            F.lit(f'<div class="a-section {REVIEW_BLOCK_CLASS}">'),
+            F.coalesce(F.concat(F.lit(f'<a class="{RATING_LINK_CLASS}" href="/r" title="'), F.col("overall").cast("string"),
+                                F.lit(' out of 5 stars"><i>stars</i></a>')), F.lit("")),
+            F.when(F.col("review_id") % 11 == 5, "").otherwise(dated(days)),
             F.lit(f'<span class="{REVIEW_TEXT_CLASS}">\n<span>'),
             escape_text(F.col(text)),
             F.lit("</span>\n</span></div>"),
@@ -203,6 +205,8 @@ def review_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None
         dated(-800),
         *review("reviewText", 0),
         *review("summary", 1),
+        *review("summary", 2)[:3],
+        F.lit("</div>"),
         F.lit("</body></html>"),
     )
     return reviews.select(F.col("review_id").alias("page_id"), "asin", html.alias("html"))
