@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,10 @@ CLASS_LIMITS = (4, 64)
 CLASS_BITS = 22
 #: Bits of a set's parity sketch.
 SKETCH_BITS = 1024
-#: Words of a smaller one that goes along with index keys.
-FOLD_WORDS = 4
+#: Sets of one key whose sketches are compared in one task; more are dealt over several.
+KEY_SETS = 1024
+#: Pairs of sketches in memory at once.
+PAIR_CHUNK = 1 << 17
 #: Sets of fewer tokens are indexed by single tokens only.
 SMALL_LEVEL = 3
 
@@ -143,9 +147,9 @@ def _profiles(docs: DataFrame, percent: int, size: int) -> DataFrame:
         n = len(tokens)
         prefix = tokens[: errors_allowed(n, percent) + 1] if n else tokens
         digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-        return [n], [digest], [prefix.view(np.int64)], [_sketch(tokens)], [_sketch(tokens, 64 * FOLD_WORDS)]
+        return [n], [digest], [prefix.view(np.int64)], [_sketch(tokens)]
 
-    fields = "n long, digest binary, prefix array<long>, sketch array<long>, fold array<long>"
+    fields = "n long, digest binary, prefix array<long>, sketch array<long>"
     return scan_texts(docs, emit, fields)
 
 
@@ -175,6 +179,67 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     return materialise(both.filter(100 * shared >= percent * (sizes - shared)).select("a", "b").distinct(), "links")
 
 
+def _within_keys(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes of one key in different components that may be similar.
+
+    Similar sets differ in no more tokens, and so in no more sketch bits, than their sizes
+    allow. The sketches of a key are compared in one task, those of a key with many sets in
+    blocks of ``KEY_SETS``, one pair of blocks a task. Only pairs that pass become rows.
+    """
+    many = F.greatest(F.ceil(F.col("sets") / KEY_SETS), F.lit(1)).cast("int")
+    dealt = mixed.withColumn("many", many).withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    sets = dealt.select("sig", "low", "high", "block", "node", "component", "n", "core", "sketch")
+    sets = sets.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
+    kind = mixed.schema["node"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            whole = pa.Table.from_batches(held).combine_chunks()
+            starts = _group_starts(whole)
+            # The last group may go on in the next batch.
+            if starts[-1]:
+                yield from _alike(whole.slice(0, starts[-1]), percent)
+                held = whole.slice(starts[-1]).combine_chunks().to_batches()
+        if held:
+            yield from _alike(pa.Table.from_batches(held).combine_chunks(), percent)
+
+    found = sets.mapInArrow(compare, f"a {kind}, b {kind}")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _group_starts(rows: pa.Table) -> np.ndarray:
+    keys = np.stack([rows[c].to_numpy().astype(np.int64) for c in ("sig", "low", "high")])
+    return np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+
+
+def _alike(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes of one group in different components whose sizes and sketches allow a link."""
+    starts = _group_starts(rows)
+    stop = np.repeat(np.append(starts[1:], rows.num_rows), np.diff(np.append(starts, rows.num_rows)))
+    low, high, block, n, core, component = (
+        rows[c].to_numpy() for c in ("low", "high", "block", "n", "core", "component")
+    )
+    sketch = rows["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
+    partners = stop - np.arange(rows.num_rows) - 1
+    ends = np.cumsum(partners)
+    for start in range(0, int(ends[-1]), PAIR_CHUNK):
+        pair = np.arange(start, min(start + PAIR_CHUNK, int(ends[-1])))
+        a = np.searchsorted(ends, pair, "right")
+        b = a + 1 + pair - (ends[a] - partners[a])
+        keep = (component[a] != component[b]) & ((low[a] == high[a]) | (block[a] != block[b]))
+        keep &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+        keep &= (core[a] | (n[a] > n[b])) & (core[b] | (n[b] > n[a]))
+        a, b = a[keep], b[keep]
+        differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        near = (100 + percent) * differ <= (100 - percent) * (n[a] + n[b])
+        nodes = rows["node"].combine_chunks()
+        yield pa.RecordBatch.from_arrays([nodes.take(pa.array(side[near])) for side in (a, b)], names=["a", "b"])
+
+
 def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """``pairs`` without those whose sketches differ in more bits than similar sets do in tokens."""
     left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -203,9 +268,10 @@ def jaccard_groups(
     key are one node; equal rows stay equal. Other columns are not read.
 
     Equal sets are one node. Within each index key every set is compared with the smallest node
-    first; what that joins needs no further comparison, and only pairs of sets that are still in
-    different components are then compared one by one. So a group of n near copies costs about n
-    comparisons, and no link between components is lost. Parity sketches first drop pairs that cannot be similar.
+    first; what that joins needs no further comparison, and only sets that are still in
+    different components are then compared by their parity sketches, block by block within the
+    key. So a group of n near copies costs about n comparisons, no link between components is
+    lost, and only pairs whose sketches allow a link become rows.
     """
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t"))
     base = materialise(_profiles(rows, percent, size).withColumnRenamed("doc", "node"), "profiles")
@@ -229,25 +295,18 @@ def jaccard_groups(
     shared = materialise(index.join(centres, "sig"), "shared")
     first = shared.filter("node <> low.node").filter(_fits("n", "core", "low.n", "low.core", percent))
     first = first.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
-    sketches = materialise(reps.select("node", "n", "sketch", "fold"), "sketches")
+    sketches = materialise(reps.select("node", "n", "sketch"), "sketches")
     first = materialise(_plausible(first, sketches, percent), "pairs")
     links = _verified(first, rows, percent, size)
 
     known = materialise(components(links), "components")
-    words = [F.col("fold")[i].alias(f"w{i}") for i in range(FOLD_WORDS)]
     left = shared.select("sig", "node", "n", "core").join(known, "node", "left")
     left = left.withColumn("component", F.coalesce("component", "node"))
-    spread = left.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = left.join(spread.filter("low < high").select("sig"), "sig", "left_semi")
-    mixed = materialise(mixed.join(sketches.select("node", *words), "node"), "mixed")
-    one, two = (mixed.select("sig", *[F.col(c).alias(f"{c}_{i}") for c in mixed.columns if c != "sig"]) for i in "ab")
-    differ = sum((F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(FOLD_WORDS)), F.lit(0))
-    alike = (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    pairs = one.join(two, "sig").filter("node_a < node_b AND component_a <> component_b")
-    pairs = pairs.filter(_fits("n_a", "core_a", "n_b", "core_b", percent) & alike)
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    pairs = _plausible(pairs, sketches, percent).join(first, ["a", "b"], "left_anti")
-    pairs = materialise(pairs, "pairs")
+    spread = left.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
+    mixed = left.join(spread.filter("low < high").select("sig", "sets"), "sig")
+    mixed = mixed.join(sketches.select("node", "sketch"), "node")
+    pairs = _within_keys(mixed, percent).distinct()
+    pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(_verified(pairs, rows, percent, size))
 
     found = materialise(components(links), "components")
@@ -264,11 +323,24 @@ def op10_ngram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest doc_id stays.
+    """Pipeline stage: of each group of near copies one row stays, that with the smallest doc_id, null last.
 
-    Near copies share four fifths of their shingles of five words. Documents without words and
-    rows with a null doc_id stay.
+    Near copies share four fifths of their shingles of five words. Rows are told apart by doc_id
+    and text, so a repeated or missing doc_id neither saves copies nor costs a text that only
+    one row has. Of rows equal in both one stays; rows without words all stay.
     """
-    groups = jaccard_groups(docs, percent=STAGE_PERCENT, size=STAGE_SHINGLE)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    key = F.xxhash64(F.lit("row"), "doc_id", "text").alias("_near")
+    keyed = docs.select(key, "doc_id", "text")
+    groups = jaccard_groups(keyed, "_near", percent=STAGE_PERCENT, size=STAGE_SHINGLE).filter("n_shingles > 0")
+    members = groups.groupBy("_near").agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("times"))
+    ids = keyed.groupBy("_near").agg(F.min("doc_id").alias("doc_id"))
+    members = materialise(members.join(ids, "_near"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_near")
+    first = members.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first._near").alias("_near"))
+    gone = members.join(first, "_near", "left_anti").select("_near")
+    repeated = materialise(members.join(first, "_near").filter("times > 1").select("_near"), "repeated")
+    other = materialise(gone.unionByName(repeated), "gone")
+    marked = docs.withColumn("_near", key)
+    alone = marked.join(other, "_near", "left_anti")
+    one_of = marked.join(repeated, "_near", "left_semi").dropDuplicates(["_near"])
+    return alone.select(*docs.columns).unionByName(one_of.select(*docs.columns))

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from llm.cases import brute_groups, documents, odd_documents, varied_documents
 
 import corpus_pipeline
-from reviewtide.llm import queries
+from reviewtide.llm import ngram_join, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -40,6 +42,34 @@ def test_stage_of_near_duplicates_equals_brute_force(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, (_, c) in groups.items() if c == d}
 
 
+def test_near_duplicates_with_repeated_and_missing_ids(spark):
+    """Every text stays once, whichever rows share its doc_id, and no copy of it stays."""
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(60)) for name in "abcd")
+    rows = [(3, b), (7, a), (7, b), (9, c), (9, c), (None, d), (None, d), (None, b + " more"), (9, ""), (9, ""), (None, None)]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = stage(spark, documents(spark, [(i, t, "en", "s", 1) for i, t in rows]), SMALL)
+    want = [(3, b), (7, a), (9, c), (None, d), (9, ""), (9, ""), (None, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("key_sets", [5, 1024])
+def test_unlinked_texts_that_share_much_equal_brute_force(spark, monkeypatch, key_sets):
+    """A family of texts with a common base that are pairwise just above or below the bound, in every key together."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(2, 6)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "s", 1))
+    monkeypatch.setattr(ngram_join, "KEY_SETS", key_sets)
+    want, links = brute_groups([r[:2] for r in rows], percent=80, size=5)
+    assert links and len({c for _, c in want.values()}) > 5
+    got = ngram_join.jaccard_groups(documents(spark, rows), percent=80, size=5).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_on_odd_and_empty_tables(spark, name):
     stage = dict(corpus_pipeline.STAGES)[name]
