@@ -38,19 +38,32 @@ _REGIONS = 4096
 
 @dataclass
 class FragmentIndex:
-    """The q-grams of a block of items. ``grams`` are sorted and distinct; the occurrences of
-    gram i are ``fragment``/``offset`` at ``first[i]`` up to ``first[i + 1]``."""
+    """The q-grams of a block of items, each indexed once. ``grams`` are sorted and distinct; the
+    occurrences of gram i are ``owner``/``place`` (item and offset in it) at ``first[i]`` up to
+    ``first[i + 1]``. Fragments are stretches ``start`` to ``end`` of their ``item``, in that order;
+    ``least`` is the smallest ``bound`` of an item's fragments."""
 
     items: list
-    codes: list[np.ndarray]
+    wholes: list[np.ndarray]
     item: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
     edits: np.ndarray
     bound: np.ndarray
     grams: np.ndarray
     first: np.ndarray
-    fragment: np.ndarray
-    offset: np.ndarray
+    owner: np.ndarray
+    place: np.ndarray
     maybe: np.ndarray
+    least: np.ndarray
+
+    def part(self, fragment: int) -> np.ndarray:
+        return self.wholes[self.item[fragment]][self.start[fragment] : self.end[fragment]]
+
+    @property
+    def codes(self) -> list[np.ndarray]:
+        """The code points of all fragments."""
+        return [self.part(f) for f in range(len(self.item))]
 
 
 def _grams(codes: np.ndarray) -> np.ndarray:
@@ -92,36 +105,61 @@ def _fragments(whole: np.ndarray, fragment: int) -> list[tuple[int, int]]:
 
 def index_items(items: list[tuple], fragment: int = FRAGMENT, rate: float = ERROR_RATE) -> FragmentIndex:
     """Index (key, text) pairs. Items of fewer than ``Q`` folded characters are not searched."""
-    codes, item = [], []
-    for i, (_, text) in enumerate(items):
-        whole = folded((text or "").strip())[0]
-        for start, end in _fragments(whole, fragment):
-            part = whole[start:end]
-            if len(part) >= Q:
-                codes.append(part)
-                item.append(i)
-    length = np.array([len(c) for c in codes], np.int64)
+    wholes = [folded((text or "").strip())[0] for _, text in items]
+    parts = [(i, a, b) for i, whole in enumerate(wholes) for a, b in _fragments(whole, fragment) if b - a >= Q]
+    item, start, end = np.array(parts, np.int64).reshape(-1, 3).T
+    length = end - start
     edits = np.minimum((length * rate).astype(np.int64), np.maximum(0, (length - Q) // Q))
-    hashed = [_grams(c) for c in codes]
-    values = np.concatenate(hashed) if hashed else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(codes)), [len(h) for h in hashed])
-    offset = np.concatenate([np.arange(len(h)) for h in hashed]) if hashed else np.empty(0, np.int64)
+    hashed = [_grams(whole) for whole in wholes]
+    values = np.concatenate([np.empty(0, np.uint64), *hashed])
+    owner = np.repeat(np.arange(len(hashed)), [len(h) for h in hashed])
+    place = np.concatenate([np.empty(0, np.int64), *(np.arange(len(h)) for h in hashed)])
     order = np.argsort(values, kind="stable")
     grams, first = np.unique(values[order], return_index=True)
     maybe = np.zeros(1 << _FILTER_BITS, bool)
     maybe[_bucket(grams)] = True
+    bound = length - Q + 1 - Q * edits
+    least = np.full(len(items), np.iinfo(np.int64).max)
+    np.minimum.at(least, item, bound)
     return FragmentIndex(
-        [k for k, _ in items], codes, np.array(item, np.int64), edits, length - Q + 1 - Q * edits, grams,
-        np.append(first, len(values)), owner[order].astype(np.int64), offset[order].astype(np.int64), maybe,
+        [k for k, _ in items], wholes, item, start, end, edits, bound, grams,
+        np.append(first, len(values)), owner[order].astype(np.int32), place[order].astype(np.int32), maybe, least,
     )
 
 
+def _crowded(index: FragmentIndex, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """Places of the matches with enough others of their item around their diagonal.
+
+    The q-grams that bring a fragment to its bound lie on 2 (e + 1) neighbouring diagonals of its
+    item, so each of them sees all others within that distance.
+    """
+    reach = 2 * (index.edits.max() + 1)
+    line = item.astype(np.int64) << 40 | (diagonal + (1 << 38))
+    order = np.argsort(line)
+    line = line[order]
+    around = np.searchsorted(line, line + reach, "right") - np.searchsorted(line, line - reach)
+    return order[around >= index.least[item[order]]]
+
+
+def _in_fragments(index: FragmentIndex, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every (match, fragment) such that the match's q-gram lies in the fragment."""
+    key = index.item << 40 | index.start
+    longest = (index.end - index.start).max()
+    line = item.astype(np.int64) << 40
+    low = np.searchsorted(key, line | np.maximum(place + Q - longest, 0))
+    high = np.searchsorted(key, line | place, "right")
+    match = np.repeat(np.arange(len(item)), high - low)
+    fragment = np.repeat(low - np.append(0, np.cumsum(high - low)[:-1]), high - low) + np.arange(len(match))
+    inside = index.end[fragment] >= place[match] + Q
+    return match[inside], fragment[inside]
+
+
 def _candidates(index: FragmentIndex, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(fragment, first diagonal) of the bands that hold enough q-grams of the fragment."""
     none = np.empty(0, np.int64)
     found = _grams(codes)
     at = np.flatnonzero(index.maybe[_bucket(found)])
-    if not len(at) or not len(index.grams):
+    if not len(at) or not len(index.item):
         return none, none
     slot = np.minimum(np.searchsorted(index.grams, found[at]), len(index.grams) - 1)
     same = index.grams[slot] == found[at]
@@ -130,8 +168,15 @@ def _candidates(index: FragmentIndex, codes: np.ndarray) -> tuple[np.ndarray, np
         return none, none
     count = index.first[slot + 1] - index.first[slot]
     place = np.repeat(index.first[slot] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-    fragment, offset = index.fragment[place], index.offset[place]
-    diagonal = np.repeat(at, count) - offset
+    item, place = index.owner[place], index.place[place].astype(np.int64)
+    along = np.repeat(at, count) - place
+    kept = _crowded(index, item, along)
+    if not len(kept):
+        return none, none
+    item, place, along = item[kept], place[kept], along[kept]
+    match, fragment = _in_fragments(index, item, place)
+    offset = place[match] - index.start[fragment]
+    diagonal = along[match] + index.start[fragment]
     # A fragment with fewer hits than its bound in all cannot reach it in a band.
     enough = np.bincount(fragment, minlength=len(index.bound)) >= index.bound
     keep = enough[fragment]
@@ -140,13 +185,14 @@ def _candidates(index: FragmentIndex, codes: np.ndarray) -> tuple[np.ndarray, np
         return none, none
     step = index.edits[fragment] + 1
     band = diagonal // step
-    rows = np.concatenate(
-        [np.stack([fragment, b, offset], axis=1) for b in (band, band - 1)]
-    )
-    rows = np.unique(rows, axis=0)  # a q-gram of the fragment counts once per band
-    starts = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))
+    low, longest = band.min() - 1, int((index.end - index.start).max())
+    bands = int(band.max() - low) + 1
+    rows = np.concatenate([(fragment * bands + (b - low)) * longest + offset for b in (band, band - 1)])
+    rows.sort()
+    rows = rows[np.append(True, rows[1:] != rows[:-1])] // longest  # a q-gram of the fragment counts once per band
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     shared = np.diff(np.append(starts, len(rows)))
-    fragment, band = rows[starts, 0], rows[starts, 1]
+    fragment, band = rows[starts] // bands, rows[starts] % bands + low
     reached = shared >= index.bound[fragment]
     return fragment[reached], band[reached] * (index.edits[fragment[reached]] + 1)
 
@@ -180,13 +226,13 @@ def find_leaks(index: FragmentIndex, text: str | None) -> list[tuple]:
     fragment, diagonal = _candidates(index, codes)
     if not len(fragment):
         return []
-    length = np.array([len(index.codes[f]) for f in fragment])
+    length = index.end[fragment] - index.start[fragment]
     edits = index.edits[fragment]
     hits: dict[int, list[tuple[int, int, int, int]]] = {}
     for m, e in sorted(set(zip(length.tolist(), edits.tolist(), strict=True))):
         chosen = np.flatnonzero((length == m) & (edits == e))
         for part in np.split(chosen, range(_REGIONS, len(chosen), _REGIONS)):
-            pattern = np.array([index.codes[f] for f in fragment[part]])
+            pattern = np.array([index.part(f) for f in fragment[part]])
             begin = diagonal[part] - e
             span = begin[:, None] + np.arange(m + 4 * e + 2)
             inside = (span >= 0) & (span < len(codes))
