@@ -305,7 +305,8 @@ def jaccard_groups(
     spread = left.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
     mixed = left.join(spread.filter("low < high").select("sig", "sets"), "sig")
     mixed = mixed.join(sketches.select("node", "sketch"), "node")
-    pairs = _within_keys(mixed, percent).distinct()
+    # Two sets may share many keys, so their pair is made one row before anything is joined with it.
+    pairs = materialise(_within_keys(mixed, percent).distinct(), "pairs")
     pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(_verified(pairs, rows, percent, size))
 
