@@ -69,6 +69,15 @@ def _cluster(rows: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in two bytes each, or in eight where a long text has a larger one."""
+    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint64).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 << BITS else np.uint64)
+
+
 def fit_languages(
     labelled: DataFrame,
     text: str = "text",
@@ -86,11 +95,11 @@ def fit_languages(
 
     @F.pandas_udf("binary")
     def counts(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: term_frequencies(t)[0].astype(np.uint16).tobytes())
+        return texts.map(lambda t: packed(term_frequencies(t)[0]))
 
     rows = sample.select(F.col(key).alias("k"), F.col(lang).alias("l"), counts(text).alias("v"))
     got = sorted(rows.collect(), key=lambda r: (r["l"], str(r["k"]), bytes(r["v"])))
-    matrix = np.array([np.frombuffer(r["v"], np.uint16) for r in got], np.float32)
+    matrix = np.array([unpacked(r["v"]) for r in got], np.float32)
     matrix = matrix.reshape(len(got), 1 << BITS)
     used = matrix.sum(axis=1) > 0
     names = np.array([r["l"] for r in got], object)[used]

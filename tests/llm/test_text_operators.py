@@ -344,3 +344,10 @@ def test_batches_are_bounded_unless_the_session_says_so(spark):
         spark.conf.unset(BATCH_LIMIT)
         if before is not None:
             spark.conf.set(BATCH_LIMIT, before)
+
+
+def test_counts_of_very_long_texts_are_kept_whole():
+    for n in (1, 65_535, 70_001, 400_000):
+        counts = langid.term_frequencies("ab " * n)[0]
+        assert counts.max() >= n
+        assert langid.unpacked(langid.packed(counts)).tolist() == counts.tolist()
