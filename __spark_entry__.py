@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -15,14 +16,16 @@ import reviewtide as rt  # noqa: E402
 from reviewtide.functions.fixed_values import PRODUCT_LINK_CLASS, REVIEW_LINK_CLASS  # noqa: E402
 from reviewtide.functions.text import content_id  # noqa: E402
 from reviewtide.oracle import TERMS_PER_CLASS, TOPK, statements  # noqa: E402
+from reviewtide.plans.numbering import number_rows  # noqa: E402
 from reviewtide.plans.storage import materialise, new_dir  # noqa: E402
-from reviewtide.schemas import RAW_REVIEW  # noqa: E402
+from reviewtide.schemas import RAW_REVIEW, TRAINING_REVIEW  # noqa: E402
 from reviewtide.sources import tables  # noqa: E402
 from reviewtide.streaming.trend import SENTIMENT_TREND  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SHOP = "https://shop.example"
 DUMP_LINES = 100
+FILE_BYTES = 65_536
 
 
 def _dealt(frame: Callable[..., DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +45,12 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepared(spark, sf_dir).filter("is_train")
 
 
+def _everything(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every review, cleaned; those without a rating have no class, but get a prediction."""
+    reviews = rt.prepare_text(_dealt(tables.reviews_all, spark, sf_dir))
+    return rt.split_by_key(rt.with_sentiment(reviews), "review_id")
+
+
 def _all_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.prepare_text(_dealt(tables.reviews_unrated, spark, sf_dir))
 
@@ -110,15 +119,41 @@ def reduced_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as JSON lines, every seventh cut short: what cannot be read, told apart."""
     path = new_dir(spark, "cut-lines")
-    review = F.to_json(F.struct(F.col("review_id").alias("overall"), F.lit("é").alias("summary")))
+    review = F.to_json(F.struct(F.col("review_id").alias("overall"), "reviewText", "summary"), {"ignoreNullFields": "false"})
     line = F.when(F.expr("review_id % 7 = 0"), F.expr("left(_line, length(_line) - 3)")).otherwise(F.col("_line"))
     reviews = _dealt(tables.reviews_unrated, spark, sf_dir).withColumn("_line", review)
     reviews.select(line.alias("value")).write.text(path)
-    read = rt.read_reviews(spark, path).select(F.col("overall").cast("long").alias("overall"), F.lit(None).cast("string").alias("line"))
-    lost = rt.unreadable_lines(spark, path).select(F.lit(None).cast("long").alias("overall"), "line")
+    none = F.lit(None)
+    read = rt.read_reviews(spark, path).select(
+        F.col("overall").cast("long").alias("overall"), F.col("reviewText").alias("review_text"), "summary", none.cast("string").alias("line")
+    )
+    lost = rt.unreadable_lines(spark, path).select(
+        none.cast("long").alias("overall"), none.cast("string").alias("review_text"), none.cast("string").alias("summary"), "line"
+    )
     return read.unionByName(lost)
 
 
+def review_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids of all reviews, by date and then by number."""
+    reviews = _dealt(tables.reviews_unrated, spark, sf_dir).select("review_id", "review_date")
+    return number_rows(reviews, "review_date", "review_id", name="dense_id", first=1)
+
+
+def bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews in files of bounded length, read back with whether their file keeps to the bound or is one line."""
+    path = new_dir(spark, "bounded")
+    reviews = _dealt(tables.reviews_all, spark, sf_dir).select("overall", "reviewText", "summary")
+    rt.write_reviews(reviews, path, max_bytes=FILE_BYTES)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("at"), F.col("_metadata.file_size").alias("bytes")
+    )
+    files = lines.groupBy("at").agg(F.count(F.lit(1)).alias("lines"), F.max("bytes").alias("bytes"))
+    fits = (F.col("bytes") <= FILE_BYTES) | (F.col("lines") == 1)
+    review = F.from_json("value", TRAINING_REVIEW).alias("review")
+    read = lines.select("at", review).join(files.select("at", fits.alias("fits")), "at")
+    return read.select("review.overall", F.col("review.reviewText").alias("review_text"), "review.summary", "fits")
+
+
 def stored_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads into one results table, the first replayed: nothing lost, nothing twice."""
     path = new_dir(spark, "stored")
@@ -133,6 +168,23 @@ def stored_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in four batches, compacted after two and after all of them, one replayed after it was folded."""
+    path = new_dir(spark, "stored")
+    rated = rt.with_sentiment(_records(spark, sf_dir), "rating")
+    part = F.expr("conv(right(msg_id, 1), 16, 10) % 4")
+    for batch_id in (0, 1, None, 2, 0, 3, None):
+        if batch_id is None:
+            rt.compact_scored(spark, path)
+        else:
+            rt.append_scored(rated.filter(part == batch_id), path, run="load", batch_id=batch_id)
+    price = F.col("price").cast("double").alias("price")
+    return rt.read_scored(spark, path).select(
+        "msg_id", "asin", "name", "category", price, "review_date", "rating", "review_text",
+        "sentiment",
+    )
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message, encoded and decoded again, with id and types."""
     encoded = rt.encode_messages(_dealt(tables.messages, spark, sf_dir))
@@ -215,9 +267,8 @@ def nb_term_logprob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nb_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    model = rt.nb_fit(prepared.filter("is_train"))
-    return rt.nb_predict(prepared, model, keep=("sentiment", "is_train"))
+    model = rt.nb_fit(_training(spark, sf_dir))
+    return rt.nb_predict(_everything(spark, sf_dir), model, keep=("sentiment", "is_train"))
 
 
 def nb_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,8 +278,7 @@ def nb_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    return rt.score(rt.fit_pipeline(prepared.filter("is_train")), prepared)
+    return rt.score(rt.fit_pipeline(_training(spark, sf_dir)), _everything(spark, sf_dir))
 
 
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,22 +289,25 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with every estimator fitted on the training rows by ``Pipeline.fit``."""
-    prepared = _prepared(spark, sf_dir)
-    scored = rt.score(rt.fit_stages(prepared.filter("is_train")), prepared)
+    scored = rt.score(rt.fit_stages(_training(spark, sf_dir)), _everything(spark, sf_dir))
     return scored.select("review_id", "sentiment", "predicted_sentiment", "prediction")
 
 
 def reloaded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a model that was saved and loaded again."""
-    prepared = _prepared(spark, sf_dir)
     path = new_dir(spark, "model")
-    rt.save_model(rt.fit_pipeline(prepared.filter("is_train")), path)
-    scored = rt.score(rt.load_model(path), prepared)
+    rt.save_model(rt.fit_pipeline(_training(spark, sf_dir)), path)
+    scored = rt.score(rt.load_model(path), _everything(spark, sf_dir))
     return scored.select("review_id", "sentiment", "predicted_sentiment", "prediction")
 
 
+def _rated_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = _prepared(spark, sf_dir)
+    return rt.score(rt.fit_pipeline(prepared.filter("is_train")), prepared)
+
+
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.confusion(_model_predictions(spark, sf_dir), by=("is_train",))
+    return rt.confusion(_rated_predictions(spark, sf_dir), by=("is_train",))
 
 
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,7 +529,7 @@ def daily_rating_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicted = _model_predictions(spark, sf_dir)
+    predicted = _rated_predictions(spark, sf_dir)
     agreement = rt.sentiment_agreement(predicted, "overall", "predicted_sentiment")
     return agreement.select("asin", "n_reviews", "n_agree", *_r6("agreement"))
 
@@ -589,6 +642,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     json_roundtrip,
     reduced_dump,
     unreadable_lines,
+    review_ids,
+    bounded_files,
     message_roundtrip,
     tokens,
     tokens_no_stop,
@@ -611,6 +666,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     scored_reviews,
     stored_reviews,
     stored_twice,
+    stored_compacted,
     quality_rejects,
     quality_valid,
     quality_reasons,
@@ -648,11 +704,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _llm():
     """The queries of the llm subpackage and the pipeline, or None where they are not installed."""
-    try:
-        import corpus_pipeline
-        from reviewtide.llm import queries as llm_queries
-    except ImportError:
-        return None
+    for module in ("reviewtide.llm", "corpus_pipeline"):
+        spec = importlib.util.find_spec(module)
+        if spec is None or spec.origin is None:  # a folder without the package has no origin
+            return None
+    import corpus_pipeline
+    from reviewtide.llm import queries as llm_queries
+
     return llm_queries, corpus_pipeline
 
 

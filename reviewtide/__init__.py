@@ -69,7 +69,7 @@ from reviewtide.sources.messages import (
     with_msg_id,
 )
 from reviewtide.sources.reviews import read_pages, read_reviews, unreadable_lines, write_reviews
-from reviewtide.sources.store import append_once, append_rejects, append_scored, preview, read_scored
+from reviewtide.sources.store import append_once, append_rejects, append_scored, compact_scored, preview, read_scored
 from reviewtide.streaming.dedup import stream_dedup
 from reviewtide.streaming.score import scored_stream, stream_score
-from reviewtide.streaming.trend import read_trend, stream_trend, write_trend
+from reviewtide.streaming.trend import fold_trend, read_trend, stream_trend, write_trend

@@ -24,6 +24,7 @@ from reviewtide.functions.fixed_values import (
 from reviewtide.functions.text import ngrams, term_runs, tokens, without_stop_words
 from reviewtide.operators.prepare import has_class
 from reviewtide.plans.joins import lookup_join
+from reviewtide.plans.numbering import number_rows
 
 
 def with_tokens(df: DataFrame, text_col: str = CLEAN_TEXT) -> DataFrame:
@@ -145,7 +146,7 @@ def vocabulary(frequencies: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame
     ``frequencies`` should be a materialised table. A histogram of the totals finds the count
     at the cut: it has one row per distinct total, at most the square root of twice the number
     of terms in the corpus. Every term above the cut is kept as it streams by, and only the
-    terms that tie at the cut have to be ordered.
+    terms that tie at the cut are ordered, range by range, and numbered; the first are kept.
     """
     histogram = frequencies.groupBy("total").agg(F.count(F.lit(1)).alias("terms"))
     falling = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
@@ -160,7 +161,7 @@ def vocabulary(frequencies: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame
         return frequencies.limit(0)
     if cut["above"] + cut["terms"] <= size:
         return frequencies.filter(F.col("total") >= cut["total"])
-    ties = frequencies.filter(F.col("total") == cut["total"])
+    ties = number_rows(frequencies.filter(F.col("total") == cut["total"]), "term", name="_place")
     return frequencies.filter(F.col("total") > cut["total"]).unionByName(
-        ties.orderBy("term").limit(size - cut["above"])
+        ties.filter(F.col("_place") < size - cut["above"]).drop("_place")
     )

@@ -228,6 +228,11 @@ def statements() -> dict[str, str]:
     sql["json_roundtrip"] = f"""{_with(_REVIEWS)}
         SELECT overall, reviewText AS review_text, summary FROM all_reviews"""
     sql["reduced_dump"] = sql["json_roundtrip"]
+    sql["bounded_files"] = f"""{_with(_REVIEWS)}
+        SELECT overall, reviewText AS review_text, summary, TRUE AS fits FROM all_reviews"""
+    sql["review_ids"] = f"""{_with(_REVIEWS)}
+        SELECT review_id, review_date, row_number() OVER (ORDER BY review_date, review_id) AS dense_id
+        FROM all_reviews"""
     sql["message_roundtrip"] = f"""{_with(_REVIEWS, _MESSAGES)}
         SELECT {_MSG_ID} AS msg_id, asin, name, 'Electronics' AS category,
                CAST(price AS DOUBLE) AS price, review_date, rating, review_text FROM messages"""
@@ -260,7 +265,7 @@ def statements() -> dict[str, str]:
         SELECT sentiment, docs, round(log_prior, 6) AS log_prior FROM class_sums"""
     sql["nb_term_logprob"] = f"""{fit}
         SELECT sentiment, term, round(log_prob, 5) AS log_prob FROM log_probs"""
-    predictions = f"""WITH {_PREDICT_LABELLED}
+    predictions = f"""WITH {_PREDICT_ALL}
         SELECT review_id, sentiment, predicted_sentiment,
                CAST(label_index AS DOUBLE) AS prediction FROM predicted"""
     sql["nb_predictions"] = predictions
@@ -470,6 +475,7 @@ def statements() -> dict[str, str]:
     # A stream scores a message once, however often it is delivered.
     sql["stream_scored"] = f"SELECT DISTINCT * FROM ({scored})"
     sql["stored_twice"] = sql["stored_reviews"]
+    sql["stored_compacted"] = sql["stored_reviews"]
     # A message is its raw fields; equal ones are one message, and a cut line is none of them.
     wire = checked.replace("CASE WHEN cut THEN 'unreadable' END", "NULL")
     sql["stored_once"] = f"""{wire}, {_PREDICT_ALL}
@@ -481,10 +487,15 @@ def statements() -> dict[str, str]:
                  CASE WHEN doc_id % 41 = 20 AND doc_id % 37 <> 18 THEN 'one' END AS raw_rating
           FROM checked JOIN documents ON review_id = doc_id WHERE reasons <> '')
         SELECT asin, name, category, CAST(price AS DOUBLE) AS price, review_text, reasons FROM kinds"""
-    sql["unreadable_lines"] = """
-        SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS overall,
-               CASE WHEN doc_id % 7 = 0 THEN '{"overall":' || doc_id || ',"summary":"' END AS line
-        FROM documents"""
+    sql["unreadable_lines"] = f"""{_with(_REVIEWS)},
+        written AS (
+          SELECT *, CAST(to_json({{'overall': review_id, 'reviewText': reviewText, 'summary': summary}}) AS VARCHAR)
+                 AS line FROM all_reviews
+        )
+        SELECT review_id AS overall, reviewText AS review_text, summary, NULL AS line
+        FROM written WHERE review_id % 7 <> 0
+        UNION ALL
+        SELECT NULL, NULL, NULL, left(line, -3) FROM written WHERE review_id % 7 = 0"""
     sql["stream_dedup"] = f"""{_with(_REVIEWS, _MESSAGES)}
         SELECT DISTINCT {_MSG_ID} AS msg_id, asin, review_date, review_text FROM messages"""
     sql["stream_trend"] = sql["rating_trend"]

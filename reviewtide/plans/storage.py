@@ -76,3 +76,35 @@ def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame], D
         yield keep
     finally:
         remove_path(spark, base)
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a glob pattern."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath().toString() for status in found or []]
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there whole or not at all; one that exists is an error."""
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(to.getParent(), f".{uuid.uuid4().hex}")
+    files = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(draft, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if files.exists(to) or not files.rename(draft, to):
+        files.delete(draft, False)
+        raise FileExistsError(path)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +56,22 @@ def read_reviews(
     return df if partitions is None else df.repartition(partitions)
 
 
+def _file_numbers(lengths: np.ndarray, max_bytes: int, number: int, filled: int) -> tuple[np.ndarray, int, int]:
+    """File of each line when a file takes lines while they fit; file ``number`` holds ``filled`` bytes so far."""
+    ends = np.cumsum(lengths)
+    files = np.empty(len(lengths), np.int64)
+    at, before = 0, -filled
+    while at < len(lengths):
+        stop = int(np.searchsorted(ends, before + max_bytes, "right"))
+        if stop == at and ends[at] - lengths[at] == before:
+            stop = at + 1  # longer than the bound, so a file of its own
+        files[at:stop] = number
+        if stop < len(lengths):
+            number, before = number + 1, int(ends[stop] - lengths[stop])
+        at = stop
+    return files, number, int(ends[-1]) - before if len(lengths) else filled
+
+
 def write_reviews(
     df: DataFrame,
     path: str,
@@ -60,17 +81,29 @@ def write_reviews(
 ) -> None:
     """JSON lines with null keys kept, at most ``max_records`` lines in one file.
 
-    ``max_bytes`` derives the record limit from the mean line length of the data.
+    With ``max_bytes`` no file is longer either, however line lengths vary, unless it is one line
+    that is. Each task then fills one file after the other as its lines stream by; the files of
+    number n lie in the folder ``file=n``. ``read_reviews`` reads both forms.
     """
-    if max_bytes is not None:
-        line = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1
-        mean = df.agg(F.avg(line).alias("mean")).first()["mean"] or 1.0
-        by_size = max(1, int(max_bytes / mean))
-        max_records = by_size if max_records is None else min(max_records, by_size)
-    writer = df.write.mode(mode).option("ignoreNullFields", "false")
+    if max_bytes is None:
+        writer = df.write.mode(mode).option("ignoreNullFields", "false")
+        if max_records is not None:
+            writer = writer.option("maxRecordsPerFile", max_records)
+        writer.json(path)
+        return
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, filled = 0, 0
+        for batch in batches:
+            lengths = pc.binary_length(batch["value"]).to_numpy().astype(np.int64) + 1
+            files, last, filled = _file_numbers(lengths, max_bytes, last, filled)
+            yield pa.RecordBatch.from_arrays([batch["value"], pa.array(files)], names=["value", "file"])
+
+    lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    writer = lines.mapInArrow(number, "value string, file long").write.mode(mode).partitionBy("file")
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer.json(path)
+    writer.text(path)
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -8,15 +8,11 @@ from pyspark.sql import functions as F
 from reviewtide.plans.joins import BROADCAST_LIMIT, measured_bytes
 from reviewtide.plans.storage import path_exists, scratch
 from reviewtide.schemas import STORED_REVIEW
+from reviewtide.sources.batches import BATCH, batch_folder, fold, read_batches, settled
 
 #: A batch with more review dates than these is compared with the ids of all dates.
 PRUNED_DATES = 1000
-_BATCHES = "run string, batch_id string"
-
-
-def batch_folder(path: str, run: int | str, batch_id: int | str) -> str:
-    """The folder that one batch of one run owns. Batch numbers alone repeat in other runs."""
-    return f"{path}/run={run}/batch_id={batch_id}"
+_FIELDS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED_REVIEW.fields)
 
 
 def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
@@ -49,7 +45,7 @@ def not_yet_stored(batch: DataFrame, path: str, run: int | str, batch_id: int |
     spark = batch.sparkSession
     if not path_exists(spark, path):
         return unseen(batch, spark.createDataFrame([], "msg_id string"))
-    stored = spark.read.schema(f"msg_id string, review_date date, {_BATCHES}").parquet(path)
+    stored = read_batches(spark, path, "msg_id string, review_date date")
     dates = [r[0] for r in batch.select("review_date").distinct().limit(PRUNED_DATES + 1).collect()]
     if len(dates) <= PRUNED_DATES:
         wanted = F.col("review_date").isin([d for d in dates if d is not None])
@@ -73,22 +69,31 @@ def append_scored(df: DataFrame, path: str, run: int | str, batch_id: int | str
     ``run`` names who appends: a stream's query id, or any name that a batch job gives one load.
     Each batch of a run owns a folder and overwrites it, so replaying a batch after a failure
     adds no rows, and no other run is touched. The rebalance step gathers a date's rows into few files, and
-    adaptive execution splits a hot date over several writers by its size.
+    adaptive execution splits a hot date over several writers by its size. A batch that
+    ``compact_scored`` has folded is stored for good: repeating it changes nothing.
     """
+    if settled(df.sparkSession, path, run, batch_id):
+        return
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_REVIEW.fields]
-    (
-        df.select(*columns)
-        .hint("rebalance", "review_date")
-        .write.mode("overwrite")
-        .partitionBy("review_date")
-        .parquet(batch_folder(path, run, batch_id))
-    )
+    _write_dated(df.select(*columns), batch_folder(path, run, batch_id))
+
+
+def _write_dated(rows: DataFrame, folder: str) -> None:
+    rows.hint("rebalance", "review_date").write.mode("overwrite").partitionBy("review_date").parquet(folder)
+
+
+def compact_scored(spark: SparkSession, path: str) -> None:
+    """Rewrite the batches since the last call into a table with few files per date.
+
+    Readers see the same rows before, meanwhile and after; see ``batches.fold`` for what is deleted when.
+    Call it between loads or batches, as often as the folders become many.
+    """
+    fold(spark, path, _FIELDS, _write_dated)
 
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
     """The whole results table; filters on ``review_date`` prune its folders."""
-    stored = spark.read.schema(STORED_REVIEW).parquet(path)
-    return stored.select(*[f.name for f in STORED_REVIEW.fields])
+    return read_batches(spark, path, _FIELDS).select(*[f.name for f in STORED_REVIEW.fields])
 
 
 def append_rejects(rejected: DataFrame, path: str, run: int | str, batch_id: int | str = 0, once: bool = True) -> None:
@@ -99,7 +104,7 @@ def append_rejects(rejected: DataFrame, path: str, run: int | str, batch_id: int
     """
     spark = rejected.sparkSession
     if once and path_exists(spark, path):
-        seen = spark.read.schema(f"msg_id string, {_BATCHES}").json(path)
+        seen = spark.read.schema(f"msg_id string, {BATCH}").json(path)
         rejected = unseen(rejected, other_batches(seen, run, batch_id).select("msg_id"))
     rejected.write.mode("overwrite").json(batch_folder(path, run, batch_id))
 

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewtide.operators.trends import rating_trend
-from reviewtide.sources.store import batch_folder
+from reviewtide.sources.batches import batch_folder, fold, read_batches, settled
 from reviewtide.streaming.runs import start_run
 
+#: Batches between two folds of a trend's changes.
+FOLD_EVERY = 20
 _KEYS = "asin string, period_start timestamp, n_reviews bigint, "
 RATING_TREND = _KEYS + "avg_rating double"
 SENTIMENT_TREND = (
@@ -35,25 +37,43 @@ def stream_trend(
     return trend(df.withWatermark(ts, delay), period, ts)
 
 
-def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write every change of the trend to ``path``, one folder per run and batch, then stop."""
+def write_trend(trend: DataFrame, path: str, checkpoint: str, fold_every: int | None = FOLD_EVERY) -> StreamingQuery:
+    """Write every change of the trend to ``path``, one folder per run and batch, then stop.
+
+    After ``fold_every`` batches their changes are folded into a table of the newest state of each
+    period (None: never), so a period that no longer changes is read about once, and the number of files
+    does not grow with that of the batches. Streams into one folder must then follow each other.
+    """
+    spark = trend.sparkSession
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trend.schema.fields)
 
     def write(batch: DataFrame, run: str, batch_id: int) -> None:
+        if settled(spark, path, run, batch_id):
+            return
         dated = batch.withColumn("written_at", F.current_timestamp())
         dated.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            fold_trend(spark, path, schema)
 
     writer = trend.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     return start_run(writer.trigger(availableNow=True), write)
 
 
+def _newest(changes: DataFrame) -> DataFrame:
+    """The change of each (asin, period) that was written last."""
+    keys = ("asin", "period_start")
+    order = (F.col("written_at"), F.col("batch_id").cast("bigint").alias("at"))
+    values = [c for c in changes.columns if c not in (*keys, "written_at")]
+    newest = changes.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("newest"))
+    return newest.select(*keys, "newest.written_at", *[F.col(f"newest.{c}") for c in values])
+
+
+def fold_trend(spark: SparkSession, path: str, schema: str = RATING_TREND) -> None:
+    """Fold the batches since the last call into a table with one row per changed period."""
+    fold(spark, path, f"{schema}, written_at timestamp", lambda rows, to: rows.write.parquet(to), _newest)
+
+
 def read_trend(spark: SparkSession, path: str, schema: str = RATING_TREND) -> DataFrame:
     """The newest state of every (asin, period): that written last, by whichever run."""
-    order = ("written_at", "batch_id")
-    fields = f"{schema}, written_at timestamp, run string, batch_id bigint"
-    changes = spark.read.schema(fields).parquet(path)
-    keys = ("asin", "period_start")
-    values = [c for c in changes.columns if c not in (*keys, *order, "run")]
-    newest = F.max(F.struct(*order, *values)).alias("newest")
-    return (
-        changes.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.{c}") for c in values])
-    )
+    changes = read_batches(spark, path, f"{schema}, written_at timestamp")
+    return _newest(changes).drop("written_at", "run", "batch_id")
