@@ -39,6 +39,8 @@ CLASS_LIMITS = (4, 64)
 CLASS_BITS = 22
 #: Bits of a set's parity sketch.
 SKETCH_BITS = 1024
+#: Keys of no more sets than these list the pairs whose sizes fit; their sketches follow per distinct pair.
+FEW_SETS = 8
 #: Sets of one key whose sketches are compared in one task; more are dealt over several.
 KEY_SETS = 1024
 #: Pairs of sketches in memory at once.
@@ -179,6 +181,23 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     return materialise(both.filter(100 * shared >= percent * (sizes - shared)).select("a", "b").distinct(), "links")
 
 
+def _of_small_keys(mixed: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of nodes of one small key in different components whose sizes allow a link.
+
+    Most keys have two or three sets, and the same two meet in many keys. A key's few sets are
+    one row here, and no sketch is sent before a pair is one row.
+    """
+    few = mixed.groupBy("sig").agg(F.collect_list(F.struct("node", "n", "core", "component")).alias("sets"))
+
+    def partners(x: Column) -> Column:
+        def allowed(y: Column) -> Column:
+            return (x.node < y.node) & (x.component != y.component) & _fit(x.n, x.core, y.n, y.core, percent)
+
+        return F.transform(F.filter("sets", allowed), lambda y: F.struct(x.node.alias("a"), y.node.alias("b")))
+
+    return few.select(F.inline(F.flatten(F.transform("sets", partners)))).distinct()
+
+
 def _within_keys(mixed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of nodes of one key in different components that may be similar.
 
@@ -252,9 +271,12 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 def _fits(n_a: str, core_a: str, n_b: str, core_b: str, percent: int) -> Column:
     """Sizes that similar sets may have, and an index key that the smaller set needs."""
-    a, b = F.col(n_a), F.col(n_b)
+    return _fit(F.col(n_a), F.col(core_a), F.col(n_b), F.col(core_b), percent)
+
+
+def _fit(a: Column, core_a: Column, b: Column, core_b: Column, percent: int) -> Column:
     close = 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    return close & (F.col(core_a) | (a > b)) & (F.col(core_b) | (b > a))
+    return close & (core_a | (a > b)) & (core_b | (b > a))
 
 
 def jaccard_groups(
@@ -269,8 +291,8 @@ def jaccard_groups(
 
     Equal sets are one node. Within each index key every set is compared with the smallest node
     first; what that joins needs no further comparison, and only sets that are still in
-    different components are then compared by their parity sketches, block by block within the
-    key. So a group of n near copies costs about n comparisons, no link between components is
+    different components are then compared by their parity sketches: keys of few sets list their pairs,
+    the others compare block by block within the key. So a group of n near copies costs about n comparisons, no link between components is
     lost, and only pairs whose sketches allow a link become rows.
     """
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t"))
@@ -303,10 +325,11 @@ def jaccard_groups(
     left = shared.select("sig", "node", "n", "core").join(known, "node", "left")
     left = left.withColumn("component", F.coalesce("component", "node"))
     spread = left.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
-    mixed = left.join(spread.filter("low < high").select("sig", "sets"), "sig")
-    mixed = mixed.join(sketches.select("node", "sketch"), "node")
+    mixed = materialise(left.join(spread.filter("low < high").select("sig", "sets"), "sig"), "mixed")
+    few = _plausible(_of_small_keys(mixed.filter(F.col("sets") <= FEW_SETS), percent), sketches, percent)
+    many = mixed.filter(F.col("sets") > FEW_SETS).join(sketches.select("node", "sketch"), "node")
     # Two sets may share many keys, so their pair is made one row before anything is joined with it.
-    pairs = materialise(_within_keys(mixed, percent).distinct(), "pairs")
+    pairs = materialise(_within_keys(many, percent).unionByName(few).distinct(), "pairs")
     pairs = materialise(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(_verified(pairs, rows, percent, size))
 

@@ -178,3 +178,14 @@ def test_exact_comparison_in_any_blocks(spark, block_rows):
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_graph.near_vectors(empty).count() == 0
+
+
+@pytest.mark.parametrize(("few", "many"), [(1, 3), (4, 3), (1 << 20, 1024)])
+def test_keys_listed_or_compared_in_blocks_give_the_same_groups(spark, monkeypatch, few, many):
+    rows = varied_documents(n=120)
+    want, links = brute_groups([r[:2] for r in rows], 80, 5)
+    assert links > 20
+    monkeypatch.setattr(ngram_join, "FEW_SETS", few)
+    monkeypatch.setattr(ngram_join, "KEY_SETS", many)
+    got = ngram_join.jaccard_groups(documents(spark, rows), percent=80, size=5)
+    assert _by_id(got, "n_shingles", "component_id") == want
