@@ -247,9 +247,8 @@ def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _counts_with_length(spark, sf_dir)
-    idf = materialise(rt.idf_weights(counts), "idf")
-    return rt.tfidf_terms(counts, idf).select("review_id", "term", *_r6("value"))
+    weights = rt.tfidf(_all_prepared(spark, sf_dir))
+    return weights.select("review_id", "term", *_r6("value"))
 
 
 # Classifier.

@@ -27,6 +27,7 @@ from reviewtide.operators.features import (
     idf_weights,
     remove_stop_words,
     term_counts,
+    tfidf,
     tfidf_terms,
     vocabulary,
     with_ngrams,

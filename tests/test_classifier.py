@@ -118,6 +118,23 @@ def test_tfidf_by_hand(spark):
     )
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_tfidf_in_two_passes(spark, monkeypatch, limit):
+    """Equal to the stored form, hot terms and rows without a term or an id included."""
+    monkeypatch.setattr("reviewtide.operators.features.HOT_KEYS", 2)
+    rows = [(i, "red fox " * (i % 5) + f"blue bird {i % 3} owl") for i in range(40)]
+    rows += [(40, ""), (40, "red fox"), (None, "red fox")]
+    df = rt.prepare_text(spark.createDataFrame(rows, "review_id int, reviewText string"))
+    counts = rt.term_counts(df, with_length=True).cache()
+    expected = rt.tfidf_terms(counts, rt.idf_weights(counts)).collect()
+    got = rt.tfidf(df, limit=limit)
+    order = lambda rows: sorted((str(r.review_id), str(r.term), round(r.value, 9)) for r in rows)
+    assert order(got.collect()) == order(expected)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("inline(") == 1
+    assert rt.tfidf(df.limit(0), limit=limit).count() == 0
+
+
 def test_evaluation_equals_the_evaluators(prepared, model):
     index = {s: float(i) for i, s in enumerate(model.stages[0].labels)}
     scored = rt.score(model, prepared).withColumn(
