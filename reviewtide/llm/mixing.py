@@ -13,6 +13,8 @@ SHARE = 1.5
 MOST = 2.0
 TOLERANCE = 1e-9
 MAX_ROUNDS = 60
+#: Rounds after those, which only halve the bracket; a double has no more to halve.
+MAX_HALVINGS = 120
 OFFSETS = 32  # starting points of the rounding that are tried per source
 DIGIT = 6  # bits of a size handled by one level of running sums
 
@@ -77,7 +79,8 @@ def _balanced(cells: DataFrame, targets: DataFrame, most: float) -> DataFrame:
     sum(rate x size) = target the one nearest to 1 in Kullback-Leibler distance is
     rate = min(most, exp(dual x size / mean size)), where dual solves a convex problem in one variable per
     source. Newton steps on the dual, kept inside a bracket that each round narrows; a round is
-    one aggregation over (source, size) cells, and only the largest gap comes to the driver.
+    one aggregation over (source, size) cells, and only the largest gap comes to the driver. Should Newton
+    not meet the targets in ``MAX_ROUNDS``, the bracket is halved until they are met; else it is an error.
     """
     mean = F.greatest(F.col("words") / F.greatest(F.col("docs"), F.lit(1)), F.lit(1.0))
     state = targets.select(
@@ -90,7 +93,7 @@ def _balanced(cells: DataFrame, targets: DataFrame, most: float) -> DataFrame:
     )
     state = materialise(state, "dual")
     open_cells = cells.filter("size > 0")
-    for _ in range(MAX_ROUNDS):
+    for step_no in range(MAX_ROUNDS + MAX_HALVINGS):
         x = F.col("size") / F.col("mean")
         rate = F.least(F.lit(most), F.exp(F.col("dual") * x))
         mass = F.col("n") * F.col("size") * rate
@@ -104,7 +107,7 @@ def _balanced(cells: DataFrame, targets: DataFrame, most: float) -> DataFrame:
         middle = F.when(F.col("high") >= 1e9, 2 * F.col("low") + 1).when(
             F.col("low") <= -1e9, 2 * F.col("high") - 1
         ).otherwise((F.col("low") + F.col("high")) / 2)
-        inside = (F.col("slope") > 0) & (step > F.col("low")) & (step < F.col("high"))
+        inside = F.lit(step_no < MAX_ROUNDS) & (F.col("slope") > 0) & (step > F.col("low")) & (step < F.col("high"))
         gap = F.abs(error) / F.greatest(F.col("target"), F.lit(1.0))
         moved = state.join(sums, "key", "left").withColumns({"low": low, "high": high})
         moved = moved.withColumn("gap", F.when(F.col("got").isNull(), 0.0).otherwise(gap))
@@ -112,6 +115,8 @@ def _balanced(cells: DataFrame, targets: DataFrame, most: float) -> DataFrame:
         state = materialise(moved.withColumn("dual", dual).drop("got", "slope"), "dual")
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
             break
+    else:
+        raise RuntimeError("the duals of the mix do not meet their targets")
     return state.select("key", "mean", "dual", "full")
 
 
