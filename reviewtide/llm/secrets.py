@@ -8,15 +8,21 @@ import math
 import re
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.llm.common import table
+from reviewtide.operators.features import vocabulary
+from reviewtide.plans.storage import materialise
 
 #: Kinds in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "guess")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
+#: Words of the corpus that are ranked for guessing, the most frequent ones; at most 32 letters each, so
+#: the table that goes to all tasks has a bounded size.
+RANKED_WORDS = 50_000
 #: A value found by its context is a secret from this guess cost (log10) on.
 MIN_COST = 9.0
 #: Values are searched whole in windows of this length; costs of the windows add up.
@@ -29,13 +35,18 @@ _ASSIGN = re.compile(
 # Runs are taken whole, so a shortest length in the pattern drops the same runs as a later test.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (MIN_ACCESS - 4))
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
-#: A keyword, also at the end of a name, with a value assigned, or the Authorization or Bearer form. The
-#: scheme of a header is never its value.
+#: A keyword, also at the end of a name but not of a plain word (dbSecret, not compass), with a value
+#: assigned, or the Authorization or Bearer form. The scheme of a header is never its value.
 _CONTEXT = re.compile(
+    r"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))"
     r"(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|authorization|"
     r"credentials?|bearer|pin)[\"']?\x20*[:=]\x20*[\"']?(?:(?:bearer|basic|digest|negotiate|token)\x20+)?+|"
-    r"(?<![a-z])bearer\x20+)[\"']?([^\s\"'<>,;]+)"
+    r"(?<![A-Za-z])bearer\x20+)[\"']?([^\s\"'<>,;]+)"
 )
+#: The same contexts for Spark, whose patterns know no ``a`` flag, and a word that stands alone.
+_CONTEXT_SQL = _CONTEXT.pattern.replace("(?ai:", "(?i:")
+_ASSIGN_SQL = _ASSIGN.pattern.replace("(?ai:", "(?i:")
+_WORD_SQL = r"(?<![\p{L}\p{N}_])\p{L}{2,%d}(?![\p{L}\p{N}_])" % MAX_PART
 _SCHEMES = ("bearer", "basic", "digest", "negotiate")
 
 #: Frequent passwords and words in them, most frequent first.
@@ -83,12 +94,17 @@ def _tables() -> tuple[dict[str, float], dict[str, set[str]]]:
     return words, near
 
 
-def _word_cost(part: str) -> float | None:
+def _word_cost(part: str, ranked: dict[str, float]) -> float | None:
+    """Cost of a span as one word: by its rank in the fixed list or, if it is less, in the corpus."""
     words, _ = _tables()
+
+    def of(word: str) -> float | None:
+        return min((t[word] for t in (words, ranked) if word in t), default=None)
+
     lower = part.lower()
-    cost = words.get(lower)
+    cost = of(lower)
     if cost is None:
-        cost = words.get(lower.translate(_LEET))
+        cost = of(lower.translate(_LEET))
         if cost is None:
             return None
         cost += math.log10(4)
@@ -106,16 +122,16 @@ def _space(part: str) -> float:
     return math.log10(size)
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranked: dict[str, float] = {}) -> float:
     """log10 of the guesses that an attacker needs: the cheapest segmentation of ``value``.
 
-    Spans are common words (also in capitals or with digits for letters), dates, a character or
-    block repeated, keyboard walks, and brute force over the alphabet of the value. Each further
+    Spans are common words and the ``ranked`` words of a corpus with their costs (also in capitals
+    or with digits for letters), dates, a character or block repeated, keyboard walks, and brute force over the alphabet of the value. Each further
     span costs the choice of where it begins. Values beyond ``WINDOW`` characters are the sum
     of their windows; the empty value costs 0.
     """
     if len(value) > WINDOW:
-        return sum(guess_cost(value[i : i + WINDOW]) for i in range(0, len(value), WINDOW))
+        return sum(guess_cost(value[i : i + WINDOW], ranked) for i in range(0, len(value), WINDOW))
     n, each = len(value), _space(value) if value else 0.0
     lower, (_, near) = value.lower(), _tables()
     dates = {}
@@ -140,14 +156,14 @@ def guess_cost(value: str) -> float:
         for size in range(3, length + 1):
             best[end] = min(best[end], best[end - size] + math.log10(len(near) * 4 * size) + split)
         for size in range(2, min(end, MAX_PART) + 1):
-            cost = _word_cost(value[end - size : end])
+            cost = _word_cost(value[end - size : end], ranked)
             if cost is not None:
                 best[end] = min(best[end], best[end - size] + cost + split)
         for block in range(1, min(end // 2, MAX_PART) + 1):
             unit, count = value[end - block : end], 1
             while value[max(0, end - (count + 1) * block) : end - count * block] == unit:
                 count += 1
-                base = min(block * each, _word_cost(unit) or math.inf) if block > 1 else each
+                base = min(block * each, _word_cost(unit, ranked) or math.inf) if block > 1 else each
                 best[end] = min(best[end], best[end - count * block] + base + math.log10(count) + split)
     return best[n]
 
@@ -160,58 +176,97 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def guessed_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Values in credential contexts that no base span touches and that are dear to guess, by their cost alone."""
+def _context_values(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of values in credential contexts that no base span touches."""
     found = []
     for m in _CONTEXT.finditer(text):
-        start, end = m.span(1)
+        start = m.start(1)
         value = m[1].rstrip(".)]}")
         end = start + len(value)
-        if value.lower() in _SCHEMES or any(s < end and start < e for _, s, e in base):
-            continue
-        if guess_cost(value) >= MIN_COST:
-            found.append(("guess", start, end))
+        if value.lower() not in _SCHEMES and not any(s < end and start < e for _, s, e in base):
+            found.append((start, end))
     return found
 
 
+def guessed_spans(
+    text: str, base: list[tuple[str, int, int]], ranked: dict[str, float] = {}
+) -> list[tuple[str, int, int]]:
+    """Values in credential contexts that no base span touches and that are dear to guess, by their cost alone."""
+    values = _context_values(text, base)
+    return [("guess", a, b) for a, b in values if guess_cost(text[a:b], ranked) >= MIN_COST]
+
+
 def _listed(spans: list[tuple[str, int, int]]) -> str:
     ordered = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in ordered)
 
 
-def scan(text: str | None) -> tuple[int, int, int, int, str, str]:
-    base = base_spans(text or "")
-    more = guessed_spans(text, base) if text else []
+def scan(text: str | None, ranked: dict[str, float] = {}) -> tuple[int, int, int, int, str, str, float | None]:
+    """Counts by kind, digest of the base spans, all spans, and the dearest value's cost.
+
+    The cost is that of any value in a context or of an assigned value of the fixed patterns.
+    """
+    text = text or ""
+    base = base_spans(text)
+    costs = {(a, b): guess_cost(text[a:b], ranked) for a, b in _context_values(text, base)}
+    more = [("guess", *span) for span, cost in costs.items() if cost >= MIN_COST]
+    assigned = [guess_cost(m[2], ranked) for m in _ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
     n = {k: sum(s[0] == k for s in base + more) for k in KINDS}
     digest = hashlib.sha256(_listed(base).encode()).hexdigest()
-    return (*(n[k] for k in KINDS), digest, _listed(base + more))
+    dearest = max([*costs.values(), *assigned], default=None)
+    return (*(n[k] for k in KINDS), digest, _listed(base + more), dearest)
 
 
-def secret_scan(text: str = "text") -> Column:
-    """Counts by kind, digest of the base spans and all spans of a whole text, without a shuffle.
+def word_ranks(docs: DataFrame, text: str = "text", size: int = RANKED_WORDS) -> Broadcast:
+    """log10 costs of the ``size`` most frequent words of all whole texts, for ``secret_scan``.
 
-    Null and empty texts have none. Positions are code points, ends exclusive.
+    Words are runs of 2 to 32 letters that stand alone, in lower case; equally frequent ones rank in
+    word order. What stands in a credential context is not counted, so a secret that is copied
+    often does not become a cheap word. Null and empty texts and empty tables have no words.
+    """
+    plain = F.col(text)
+    for pattern in (_ASSIGN_SQL, _CONTEXT_SQL):
+        plain = F.regexp_replace(plain, pattern, " ")
+    words = F.explode(F.regexp_extract_all(F.lower(plain), F.lit(_WORD_SQL), 0))
+    counts = docs.select(words.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    counts = materialise(counts, "words")
+    # At most ``size`` rows of at most 32 letters.
+    chosen = vocabulary(counts, size).collect()
+    chosen.sort(key=lambda r: (-r["total"], r["term"]))
+    ranks = {r["term"]: math.log10(i + 1) for i, r in enumerate(chosen, 1)}
+    return docs.sparkSession.sparkContext.broadcast(ranks)
+
+
+def secret_scan(text: str = "text", ranks: Broadcast | None = None) -> Column:
+    """Counts by kind, digest of the base spans, all spans and the dearest value's cost of a whole text.
+
+    Without a shuffle. Null and empty texts have no spans and a null cost. Positions are code points,
+    ends exclusive. ``ranks`` are the word ranks of a corpus; without them only the fixed words are cheap.
     """
-    names = ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")
+    names = ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans", "max_cost")
+    types = {"base_sha256": "string", "spans": "string", "max_cost": "double"}
 
-    @F.pandas_udf(", ".join(f"{n} {'long' if n[1] == '_' else 'string'}" for n in names))
+    @F.pandas_udf(", ".join(f"{n} {types.get(n, 'long')}" for n in names))
     def apply(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([scan(t) for t in texts], columns=names)
+        ranked = ranks.value if ranks else {}
+        return pd.DataFrame([scan(t, ranked) for t in texts], columns=names).astype({"max_cost": "float64"})
 
     return apply(F.col(text))
 
 
 def op7_secret_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document, values judged by the word ranks of all documents; null texts have none."""
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", secret_scan().alias("s"))
+    found = docs.select("doc_id", secret_scan(ranks=word_ranks(docs)).alias("s"))
     return found.select("doc_id", "s.*")
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with an assigned secret, access key or guessed value go.
 
-    A bare run of hex digits is no proof (long numbers are such runs), so it alone keeps a
-    document. Null and empty texts stay; all columns stay as they are.
+    Words are ranked over the documents of the stage. A bare run of hex digits is no proof (long
+    numbers are such runs), so it alone keeps a document. Null and empty texts stay; all columns
+    stay as they are.
     """
-    found = secret_scan()
+    found = secret_scan(ranks=word_ranks(docs))
     return docs.filter(found["n_assign"] + found["n_access"] + found["n_guess"] == 0)

@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -249,6 +251,67 @@ def test_cheap_values_and_schemes_are_no_secrets(text):
     assert secrets.guessed_spans(text, []) == []
 
 
+def _cheapest(value: str, ranked: dict[str, float]) -> float:
+    """All segmentations into spans one after the other, each span at its own least cost."""
+    each = secrets._space(value)
+    near = secrets._tables()[1]
+
+    def spans(part: str) -> list[float]:
+        costs, n, lower = [], len(part), part.lower()
+        if n >= 2 and (word := secrets._word_cost(part, ranked)) is not None:
+            costs.append(word)
+        # The pattern's alternatives are tried in order at a place, so only the first counts.
+        if (found := secrets._DATE.match(value, value_at)) and found.end() == value_at + n:
+            costs.append(math.log10(365 * 100) if n > 4 else 2.0)
+        walks = all(b in near.get(a, ()) or abs(ord(a) - ord(b)) == 1 for a, b in zip(lower, lower[1:]))
+        if n >= 3 and walks:
+            costs.append(math.log10(len(near) * 4 * n))
+        for size in range(1, n // 2 + 1):
+            if n % size == 0 and part == part[:size] * (n // size):
+                unit = size * each
+                if size > 1 and (word := secrets._word_cost(part[:size], ranked)):
+                    unit = min(unit, word)
+                costs.append(unit + math.log10(n // size))
+        return costs
+
+    best = len(value) * each
+    for cuts in itertools.product((False, True), repeat=len(value) - 1):
+        edges = [0, *[i + 1 for i, cut in enumerate(cuts) if cut], len(value)]
+        total = 0.0
+        for value_at, end in itertools.pairwise(edges):
+            named = [c + math.log10(2) for c in spans(value[value_at:end])]
+            total += min([*named, (end - value_at) * each])
+        best = min(best, total)
+    return best
+
+
+def test_guess_cost_equals_all_segmentations():
+    rng = random.Random(7)
+    parts = ["pass", "love", "qwe", "123", "aaa", "1999", "0704", "abab", "x", "K", "9", "#", "Fox", "f0x", "zebra"]
+    ranked = {"fox": 1.5, "zebra": 2.5, "ab": 1.0}
+    values = ["".join(rng.choices(parts, k=3))[:10] for _ in range(60)]
+    values += ["".join(rng.choices("ab1q#wK", k=rng.randrange(1, 9))) for _ in range(60)]
+    for value in values:
+        assert secrets.guess_cost(value, ranked) == pytest.approx(_cheapest(value, ranked)), value
+
+
+def test_words_of_the_corpus_are_cheap_and_copied_secrets_are_not(spark):
+    phrases = ["compass: northwesterly winds", "pin: photograph", "bypass: Philadelphia"]
+    prose = ["a photograph of northwesterly Philadelphia", "", None, "une étoile filante", "word " * 50_000]
+    planted = "secret: vqzxjkwpfh"
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*phrases, *prose, *[planted] * 300])]
+    docs = documents(spark, rows, clashing=True)
+    ranks = secrets.word_ranks(docs)
+    assert "vqzxjkwpfh" not in ranks.value and "étoile" in ranks.value and ranks.value["word"] == math.log10(2)
+    out = {r["doc_id"]: r["s"] for r in docs.select("doc_id", secrets.secret_scan(ranks=ranks).alias("s")).collect()}
+    assert [out[i]["n_guess"] for i in range(len(rows))] == [0] * 8 + [1] * 300
+    assert out[1]["max_cost"] < secrets.MIN_COST <= out[8]["max_cost"] and out[3]["max_cost"] is None
+    assert len(secrets.word_ranks(docs, size=2).value) == 2
+    assert secrets.word_ranks(docs.limit(0)).value == {}
+    kept = secrets.drop_secrets(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(8))
+
+
 def test_secrets_of_odd_rows(spark):
     docs = documents(spark, odd_documents(), clashing=True)
     out = docs.select("doc_id", secrets.secret_scan().alias("s")).collect()
