@@ -26,7 +26,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", with_library(take_mix)),
 ]
 
-#: The classifier, the index and the guess costs are beyond SQL; tests hold a brute-force version.
+#: The classifier, the index and the guess costs are beyond SQL; a test compares each stage with brute force.
 ORACLE_SQL: str | None = None
 
 
