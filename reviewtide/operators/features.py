@@ -23,11 +23,10 @@ from reviewtide.functions.fixed_values import (
 )
 from reviewtide.functions.text import ngrams, term_runs, tokens, without_stop_words
 from reviewtide.operators.prepare import has_class
-from reviewtide.plans.joins import BROADCAST_LIMIT, HOT_KEYS, lookup_join, measured_bytes
+from reviewtide.plans.joins import lookup_join
 from reviewtide.plans.numbering import number_rows
-from reviewtide.plans.storage import materialise
 
-#: Parts that each of the most frequent terms is dealt over when terms are shuffled.
+#: Parts that the entries without a term are dealt over when terms are shuffled.
 SALTS = 64
 
 
@@ -116,42 +115,21 @@ def tfidf_terms(counts: DataFrame, idf: DataFrame, key: str = "review_id") -> Da
     )
 
 
-def tfidf(
-    df: DataFrame,
-    key: str = "review_id",
-    text_col: str = CLEAN_TEXT,
-    n: int = NGRAM_SIZE,
-    limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
-    """(key, term, value) as ``tfidf_terms`` gives it, from two passes over the text.
+def tfidf(df: DataFrame, key: str = "review_id", text_col: str = CLEAN_TEXT, n: int = NGRAM_SIZE) -> DataFrame:
+    """(key, term, value) as ``tfidf_terms`` gives it, from one pass over the text and one shuffle.
 
-    The first pass counts documents per term, the only table that is written; the second counts
-    each row's terms again and meets their weights in the same stage, so the exploded terms are never
-    stored. Weights above ``limit`` bytes are not broadcast: terms are shuffled to them then, and the
-    most frequent ones, whose frequencies are known by then, are dealt over ``SALTS`` parts each.
+    A row's terms are counted inside the row and then dealt by term. There a window counts the
+    documents of each term beside its rows, so no table of weights is written, shuffled and joined.
+    A row has a term once, so a term's rows are at most as many as the documents; the window keeps
+    them on disk where they do not fit. The length entries, which share a null term, are dealt over ``SALTS`` parts.
     """
     counts = term_counts(df, key, text_col, n, with_length=True)
-    weights = idf_weights(counts, df.count()).select("term", "doc_freq", "idf")
-    weights = materialise(weights, "idf")
-    if measured_bytes(weights) <= limit:
-        weighted = counts.join(F.broadcast(weights), "term", "left")
-    else:
-        weighted = _salted(counts, weights, key)
-    value = F.coalesce(F.col("n") * F.col("idf"), F.col("n").cast("double"))
-    return weighted.select(key, "term", value.alias("value"))
-
-
-def _salted(counts: DataFrame, weights: DataFrame, key: str) -> DataFrame:
-    """``counts`` left-joined to ``weights`` by term; frequent terms and length entries are spread."""
-    hot = weights.orderBy(F.desc("doc_freq"), "term").limit(HOT_KEYS)
-    hot = F.broadcast(hot.select("term", F.lit(SALTS).alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1))
-    salts = F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt")
-    lookup = weights.join(hot, "term", "left").select("term", "idf", salts)
-    lone = F.when(F.col("term").isNull(), F.lit(SALTS)).otherwise(parts)
-    salt = F.pmod(F.xxhash64(key), lone).cast("int").alias("_salt")
-    dealt = counts.join(hot, "term", "left").select(key, "term", "n", salt)
-    return dealt.join(lookup.hint("merge"), ["term", "_salt"], "left")
+    salt = F.when(F.col("term").isNull(), F.pmod(F.xxhash64(key), F.lit(SALTS))).otherwise(F.lit(0))
+    doc_freq = F.count(F.lit(1)).over(Window.partitionBy("term", "_salt"))
+    met = counts.withColumn("_salt", salt).withColumn("_doc_freq", doc_freq)
+    weighted = F.col("n") * idf_of(F.col("_doc_freq"), df.count())
+    value = F.when(F.col("term").isNotNull(), weighted).otherwise(F.col("n").cast("double"))
+    return met.select(key, "term", value.alias("value"))
 
 
 def class_term_stats(
