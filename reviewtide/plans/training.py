@@ -41,6 +41,7 @@ from reviewtide.functions.fixed_values import (
 from reviewtide.functions.text import clean_text
 from reviewtide.operators.bayes import count_terms
 from reviewtide.operators.prepare import has_class
+from reviewtide.plans.storage import materialise
 
 def _assembler(use_length: bool) -> VectorAssembler:
     parts = [TFIDF, LENGTH] if use_length else [TFIDF]
@@ -137,11 +138,18 @@ def fit_stages(df: DataFrame, vocab_size: int = VOCABULARY_SIZE, ngram: int = NG
     """``Pipeline.fit`` on the rows that have a class, for comparison and small data.
 
     The vocabulary is the exact one, ties at its end in term order; every other stage is fitted.
+    The stages up to the counts need no fit then: their result is kept, and each estimator reads
+    it instead of the text.
     """
     terms = count_terms(df, vocab_size, ngram).terms.select("term").toPandas()["term"]
     stages = build_pipeline(vocab_size=vocab_size, ngram=ngram, **settings).getStages()
     fixed = [_counter(sorted(terms)) if isinstance(s, CountVectorizer) else s for s in stages]
-    return Pipeline(stages=fixed).fit(df.filter(has_class()))
+    indexer, *counting, idf, assembler, bayes = fixed
+    counted = PipelineModel(stages=counting).transform(df.filter(has_class()))
+    # The column's metadata would name all terms in every file.
+    counted = counted.select(SENTIMENT, LENGTH, F.col(COUNTS).alias(COUNTS, metadata={}))
+    fitted = Pipeline(stages=[indexer, idf, assembler, bayes]).fit(materialise(counted, "counts"))
+    return PipelineModel(stages=[fitted.stages[0], *counting, *fitted.stages[1:]])
 
 
 def class_names(model: PipelineModel) -> list[str]:

@@ -1,6 +1,9 @@
 """Plans whose cost must not outgrow the input."""
 
+from pyspark.ml.feature import IDFModel
+
 import reviewtide as rt
+from reviewtide.plans import storage
 from reviewtide.streaming.dedup import _one_per_task
 
 
@@ -18,3 +21,12 @@ def test_tfidf_deals_the_terms_once_and_joins_nothing(spark):
     expected = rt.tfidf_terms(counts, rt.idf_weights(counts))
     rows = [sorted((r.review_id, r.term or "", round(r.value, 9)) for r in x.collect()) for x in (weights, expected)]
     assert rows[0] == rows[1] and len(rows[0]) == 9
+
+
+def test_fit_stages_reads_the_text_for_counts_only(prepared, monkeypatch):
+    from reviewtide.plans import training
+
+    kept = []
+    monkeypatch.setattr(training, "materialise", lambda df, label: kept.append(label) or storage.materialise(df, label))
+    model = rt.fit_stages(prepared.filter("is_train"), vocab_size=500)
+    assert kept == ["counts"] and len(model.stages) == 8 and isinstance(model.stages[5], IDFModel)
