@@ -69,7 +69,7 @@ def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame], D
 
     def keep(df: DataFrame) -> DataFrame:
         path = f"{base}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:
@@ -85,6 +85,12 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
 def read_file(spark: SparkSession, path: str) -> str:
     """A small file's text."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,8 +19,8 @@ def encode_messages(df: DataFrame) -> DataFrame:
 
 
 def send_messages(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write the encoded rows as message files."""
-    encode_messages(df).write.mode(mode).text(path)
+    """Write the encoded rows as compressed message files."""
+    encode_messages(df).write.mode(mode).option("compression", "gzip").text(path)
 
 
 def read_messages(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.plans.joins import BROADCAST_LIMIT, measured_bytes
-from reviewtide.plans.storage import path_exists, scratch
+from reviewtide.plans.storage import materialise, path_exists, scratch
 from reviewtide.schemas import STORED_REVIEW
 from reviewtide.sources.batches import BATCH, batch_folder, fold, read_batches, settled
 
@@ -18,16 +18,32 @@ _FIELDS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED_REVI
 def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """The rows of ``batch`` whose ``msg_id`` is not in ``stored``, one of each id; rows without an id stay.
 
-    ``batch`` should be a materialised table, ``stored`` a scan of (msg_id). The ids of a batch
-    of bounded size go to the stored ids, which are then not shuffled whatever their number;
-    the few that are found go back to the batch. Larger batches meet the ids in a shuffle.
+    ``batch`` should be a materialised table, ``stored`` a scan of (msg_id). What is new is decided
+    on ids alone. The ids of a batch of bounded size go to the stored ids, which are then not
+    shuffled whatever their number; then the ids that are stored, or those that are not if they
+    are fewer, go back to the batch. Larger sets of ids meet in a shuffle. Only rows whose id the batch
+    has more than once are shuffled to keep one of each.
     """
-    ids = batch.select("msg_id").filter("msg_id IS NOT NULL").distinct()
-    if measured_bytes(ids) <= BROADCAST_LIMIT:
-        ids = F.broadcast(ids)
-    found = stored.join(ids, "msg_id", "left_semi").distinct()
-    named = batch.filter("msg_id IS NOT NULL").join(found, "msg_id", "left_anti")
-    return named.dropDuplicates(["msg_id"]).select(*batch.columns).unionByName(batch.filter("msg_id IS NULL"))
+    ids = batch.filter("msg_id IS NOT NULL").groupBy("msg_id").agg(F.count(F.lit(1)).alias("_copies"))
+    ids = materialise(ids, "ids")
+    found = materialise(stored.join(_small(ids.select("msg_id")), "msg_id", "left_semi").distinct(), "found")
+    fresh = materialise(ids.join(_small(found), "msg_id", "left_anti"), "fresh")
+    if measured_bytes(found) <= measured_bytes(fresh.select("msg_id")):
+        named = batch.filter("msg_id IS NOT NULL").join(_small(found), "msg_id", "left_anti")
+    else:
+        named = batch.join(_small(fresh.select("msg_id")), "msg_id", "left_semi")
+    nameless = batch.filter("msg_id IS NULL")
+    several = fresh.filter("_copies > 1").select("msg_id")
+    if several.isEmpty():
+        return named.select(*batch.columns).unionByName(nameless)
+    copies = named.join(_small(several), "msg_id", "left_semi").dropDuplicates(["msg_id"])
+    single = named.join(_small(several), "msg_id", "left_anti")
+    return single.select(*batch.columns).unionByName(copies.select(*batch.columns)).unionByName(nameless)
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids``, to be broadcast in joins if their size allows it."""
+    return F.broadcast(ids) if measured_bytes(ids) <= BROADCAST_LIMIT else ids
 
 
 def other_batches(stored: DataFrame, run: int | str, batch_id: int | str) -> DataFrame:
@@ -79,7 +95,7 @@ def append_scored(df: DataFrame, path: str, run: int | str, batch_id: int | str
 
 
 def _write_dated(rows: DataFrame, folder: str) -> None:
-    rows.hint("rebalance", "review_date").write.mode("overwrite").partitionBy("review_date").parquet(folder)
+    rows.hint("rebalance", "review_date").write.mode("overwrite").option("compression", "zstd").partitionBy("review_date").parquet(folder)
 
 
 def compact_scored(spark: SparkSession, path: str) -> None:
@@ -96,17 +112,24 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
     return read_batches(spark, path, _FIELDS).select(*[f.name for f in STORED_REVIEW.fields])
 
 
+def not_yet_rejected(rejected: DataFrame, path: str, run: int | str, batch_id: int | str) -> DataFrame:
+    """The rows, read from a materialised table, that no other batch has written to the rejects."""
+    spark = rejected.sparkSession
+    if not path_exists(spark, path):
+        return rejected
+    seen = spark.read.schema(f"msg_id string, {BATCH}").json(path)
+    return unseen(rejected, other_batches(seen, run, batch_id).select("msg_id"))
+
+
 def append_rejects(rejected: DataFrame, path: str, run: int | str, batch_id: int | str = 0, once: bool = True) -> None:
-    """Append one batch of rejected rows as JSON lines, in a folder of its own like ``append_scored``.
+    """Append one batch of rejected rows as compressed JSON lines, in a folder of its own like ``append_scored``.
 
     With ``once`` a message that another batch has rejected is left out; ``rejected`` should then
     be a materialised table.
     """
-    spark = rejected.sparkSession
-    if once and path_exists(spark, path):
-        seen = spark.read.schema(f"msg_id string, {BATCH}").json(path)
-        rejected = unseen(rejected, other_batches(seen, run, batch_id).select("msg_id"))
-    rejected.write.mode("overwrite").json(batch_folder(path, run, batch_id))
+    if once:
+        rejected = not_yet_rejected(rejected, path, run, batch_id)
+    rejected.write.mode("overwrite").option("compression", "gzip").json(batch_folder(path, run, batch_id))
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

@@ -1,9 +1,11 @@
 """Plans whose cost must not outgrow the input."""
 
 from pyspark.ml.feature import IDFModel
+from pyspark.sql import functions as F
 
 import reviewtide as rt
 from reviewtide.plans import storage
+from reviewtide.sources.store import unseen
 from reviewtide.streaming.dedup import _one_per_task
 
 
@@ -30,3 +32,33 @@ def test_fit_stages_reads_the_text_for_counts_only(prepared, monkeypatch):
     monkeypatch.setattr(training, "materialise", lambda df, label: kept.append(label) or storage.materialise(df, label))
     model = rt.fit_stages(prepared.filter("is_train"), vocab_size=500)
     assert kept == ["counts"] and len(model.stages) == 8 and isinstance(model.stages[5], IDFModel)
+
+
+def test_only_repeated_ids_are_shuffled_with_their_rows(spark, tmp_path):
+    rows = [(f"m{i}", f"text {i}") for i in range(50)] + [(None, "none")] * 2
+    again = [("m3", "text 3")] * 4
+    stored = spark.createDataFrame([("m1",), ("m1",), ("x",)], "msg_id string")
+    for given in (rows, rows + again):
+        spark.createDataFrame(given, "msg_id string, review_text string").write.mode("overwrite").parquet(f"{tmp_path}/{len(given)}")
+        new = unseen(spark.read.parquet(f"{tmp_path}/{len(given)}"), stored)
+        got = sorted((r.msg_id or "", r.review_text) for r in new.collect())
+        assert got == sorted((m or "", t) for m, t in rows if m != "m1")
+        assert ("hashpartitioning" in executed(new)) == (given is not rows)
+    # Most of the batch is stored: the few new ids are looked up instead.
+    most = spark.createDataFrame([(f"m{i}",) for i in range(48)], "msg_id string")
+    new = unseen(spark.read.parquet(f"{tmp_path}/52"), most)
+    assert sorted(r.review_text for r in new.collect()) == ["none", "none", "text 48", "text 49"]
+
+
+def test_copies_are_dropped_within_a_task_unless_they_are_later(spark):
+    rows = [("a", 1), ("a", 1), ("b", 5), ("a", 3), ("b", 4), (None, 2), (None, 2), ("c", None), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("at"), "s").coalesce(1)
+    got = [(r.k, r.s) for r in df.mapInArrow(_one_per_task("k", "at"), df.schema).collect()]
+    assert got == [("a", 1), ("b", 5), ("a", 3), (None, 2), ("c", None), ("c", None)]
+
+
+def test_stream_dedup_shuffles_a_message_once(spark, tmp_path):
+    spark.createDataFrame([("m",)], "msg_id string").write.json(f"{tmp_path}/in")
+    stream = spark.readStream.schema("msg_id string, at timestamp").json(f"{tmp_path}/in")
+    plan = rt.stream_dedup(stream, "1 day", ts="at")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("DeduplicateWithinWatermark") == 1
