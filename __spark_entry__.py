@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
+import math
 import os
 import sys
 from collections.abc import Callable
@@ -17,7 +18,7 @@ from reviewtide.functions.fixed_values import PRODUCT_LINK_CLASS, REVIEW_LINK_CL
 from reviewtide.functions.text import content_id  # noqa: E402
 from reviewtide.oracle import TERMS_PER_CLASS, TOPK, statements  # noqa: E402
 from reviewtide.plans.numbering import number_rows  # noqa: E402
-from reviewtide.plans.storage import materialise, new_dir  # noqa: E402
+from reviewtide.plans.storage import file_bytes, list_paths, materialise, new_dir  # noqa: E402
 from reviewtide.schemas import RAW_REVIEW, TRAINING_REVIEW  # noqa: E402
 from reviewtide.sources import tables  # noqa: E402
 from reviewtide.streaming.trend import SENTIMENT_TREND  # noqa: E402
@@ -26,13 +27,19 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 SHOP = "https://shop.example"
 DUMP_LINES = 100
 FILE_BYTES = 65_536
+#: Bytes of the table in one of the partitions that it is dealt over.
+DEALT_BYTES = 8 * 1024 * 1024
 
 
 def _dealt(frame: Callable[..., DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A frame over the documents, with a partition per core of a local session; a cluster's
-    tables come in many files, which are left as they are."""
+    """A frame over the documents, with at least a partition per core of a local session, and more
+    as the table grows. A table of many files, as a cluster's are, is left as it is."""
     context = spark.sparkContext
-    return frame(spark, sf_dir, partitions=context.defaultParallelism if context.master.startswith("local") else None)
+    cores, path = context.defaultParallelism, f"{sf_dir}/documents.parquet"
+    if not context.master.startswith("local") or len(list_paths(spark, f"{path}/*.parquet")) >= cores:
+        return frame(spark, sf_dir)
+    rounds = max(1, math.ceil(file_bytes(spark, path) / DEALT_BYTES / cores))
+    return frame(spark, sf_dir, partitions=cores * rounds)
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:

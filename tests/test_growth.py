@@ -1,5 +1,7 @@
 """Plans whose cost must not outgrow the input."""
 
+import __spark_entry__ as registered
+import pytest
 from pyspark.ml.feature import IDFModel
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def test_tfidf_deals_the_terms_once_and_joins_nothing(spark):
     assert rows[0] == rows[1] and len(rows[0]) == 9
 
 
+@pytest.mark.parametrize("files, dealt", [(1, True), (9, False)])
+def test_documents_are_dealt_by_their_size(spark, tmp_path, monkeypatch, files, dealt):
+    rows = [(i, f"text {i}", "en", "s", 6) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(registered, "DEALT_BYTES", 100)
+    found = registered._all_prepared(spark, str(tmp_path))
+    size = storage.file_bytes(spark, f"{tmp_path}/documents.parquet")
+    assert ("Exchange" in executed(found)) == dealt
+    assert not dealt or found.rdd.getNumPartitions() >= size // 100 > spark.sparkContext.defaultParallelism
+    assert found.count() == 90
+
+
 def test_fit_stages_reads_the_text_for_counts_only(prepared, monkeypatch):
     from reviewtide.plans import training
 
