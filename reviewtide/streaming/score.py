@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from reviewtide.sources.messages import (
     read_messages,
     with_msg_id,
 )
-from reviewtide.sources.store import append_rejects, append_scored, not_yet_stored
+from reviewtide.sources.store import append_rejects, append_scored, not_yet_rejected, not_yet_stored
 from reviewtide.streaming.dedup import stream_dedup
 from reviewtide.streaming.runs import start_run
 
@@ -36,6 +37,14 @@ def scored_stream(messages: DataFrame, model: PipelineModel) -> DataFrame:
     return score_messages(model, message_records(messages))
 
 
+def _known(batch: DataFrame, rules: dict[str, Column]) -> bool:
+    """Whether the rules need nothing that only a scored row has."""
+    try:
+        return bool(batch.select(*[violated.alias(name) for name, violated in rules.items()]).columns)
+    except AnalysisException:
+        return False
+
+
 def stream_score(
     spark: SparkSession,
     src: str | DataFrame,
@@ -71,13 +80,22 @@ def stream_score(
         with scratch(spark, "batch") as keep:
             if once:
                 batch = not_yet_stored(keep(batch), sink, run, batch_id)
-            scored = score_messages(model, batch)
             if rules is None:
-                append_scored(scored, sink, run, batch_id)
+                append_scored(score_messages(model, batch), sink, run, batch_id)
                 return
-            valid, rejected = check_quality(keep(scored), rules)
+            if not once:
+                batch = keep(batch)
+            if _known(batch, rules):  # then each row is scored once, and only if it will be written
+                valid, rejected = check_quality(batch, rules)
+                if once:
+                    rejected = not_yet_rejected(rejected, rejects, run, batch_id)
+                valid, rejected = score_messages(model, valid), score_messages(model, rejected)
+            else:
+                valid, rejected = check_quality(keep(score_messages(model, batch)), rules)
+                if once:
+                    rejected = not_yet_rejected(rejected, rejects, run, batch_id)
             append_scored(valid, sink, run, batch_id)
-            append_rejects(rejected, rejects, run, batch_id, once)
+            append_rejects(rejected, rejects, run, batch_id, once=False)
 
     writer = records.writeStream.option("checkpointLocation", checkpoint)
     return start_run(writer.trigger(availableNow=True), write)

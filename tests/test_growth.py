@@ -77,3 +77,28 @@ def test_stream_dedup_shuffles_a_message_once(spark, tmp_path):
     stream = spark.readStream.schema("msg_id string, at timestamp").json(f"{tmp_path}/in")
     plan = rt.stream_dedup(stream, "1 day", ts="at")._jdf.queryExecution().analyzed().toString()
     assert plan.count("DeduplicateWithinWatermark") == 1
+
+
+def test_each_message_is_scored_once_and_only_if_it_is_written(spark, model, tmp_path, monkeypatch):
+    from reviewtide.streaming import score as module
+
+    scored, given = module.score_messages, []
+    monkeypatch.setattr(module, "score_messages", lambda m, df: given.append(df.count()) or scored(m, df))
+    schema = "asin string, name string, price int, timestamp string, rating string, review_content string"
+    rows = [(f"B{i}", "n", 10, "2022-11-23 00:00:00", "5" if i % 3 else "bad", f"good thing {i}") for i in range(6)]
+    rt.send_messages(spark.createDataFrame(rows * 2, schema), f"{tmp_path}/queue")
+
+    def read(name, out, rules):
+        rt.stream_score(
+            spark, f"{tmp_path}/queue", model, f"{tmp_path}/{out}", f"{tmp_path}/{name}", rules, f"{tmp_path}/{out}-rejects"
+        ).awaitTermination()
+        counts = rt.read_scored(spark, f"{tmp_path}/{out}").count(), spark.read.json(f"{tmp_path}/{out}-rejects").count()
+        # The stream may end with batches without rows.
+        return counts, [n for n in (given.pop(0) for _ in range(len(given))) if n]
+
+    rules = rt.stored_review_rules(["asin", "rating"])
+    assert read("one", "sink", rules) == ((4, 2), [4, 2])
+    assert read("two", "sink", rules) == ((4, 2), [])
+    # A rule on the class itself needs every row scored first.
+    by_class = {"wrong": F.col("sentiment").isNull() | F.col("rating").isNull()}
+    assert read("three", "other", by_class) == ((4, 2), [6])
