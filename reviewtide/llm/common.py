@@ -255,19 +255,23 @@ def rows_of(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return docs.filter(maybe_in(keys, key)(F.col(key))).join(keys, key, "left_semi")
 
 
+def row_slot(key: Column) -> Column:
+    """Place of a key in a set of 2^``ROW_BITS`` slots."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << ROW_BITS))
+
+
 def maybe_in(rows: DataFrame, key: str) -> Callable[[Column], Column]:
     """A test whether a key may be among ``rows``; never false for one that is.
 
     It keeps the texts of other documents out of a shuffle. The set it uses is of fixed size.
     """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << ROW_BITS))
-    shared = rows.sparkSession.sparkContext.broadcast(bit_set(rows, slot(F.col(key)), ROW_BITS))
+    shared = rows.sparkSession.sparkContext.broadcast(bit_set(rows, row_slot(F.col(key)), ROW_BITS))
 
     @F.pandas_udf("boolean")
     def known(slots: pd.Series) -> pd.Series:
         return pd.Series(in_bit_set(shared.value, slots.to_numpy(np.int64)))
 
-    return lambda column: known(slot(column))
+    return lambda column: known(row_slot(column))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -25,8 +25,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import BASE, bit_set, components, in_bit_set, mix, rows_of, scan_texts, span_hashes, table
-from reviewtide.plans.storage import materialise
+from reviewtide.llm.common import (
+    BASE,
+    ROW_BITS,
+    bit_set,
+    components,
+    in_bit_set,
+    maybe_in,
+    mix,
+    row_slot,
+    rows_of,
+    scan_texts,
+    span_hashes,
+    table,
+)
+from reviewtide.plans.storage import materialise, scratch
 
 SHINGLE = 3
 PERCENT = 90
@@ -155,9 +168,9 @@ def _profiles(docs: DataFrame, percent: int, size: int) -> DataFrame:
     return scan_texts(docs, emit, fields)
 
 
-def _token_classes(reps: DataFrame, limits: tuple[int, int]) -> np.ndarray:
+def _token_classes(sets: DataFrame, limits: tuple[int, int]) -> np.ndarray:
     """Class of each slot: how many sets have one of its tokens in their first tokens by hash."""
-    counts = reps.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+    counts = sets.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
     often = materialise(counts.filter(F.col("c") > limits[0]), "often")
     slot = F.col("t").bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
     every = np.arange(1 << CLASS_BITS)
@@ -172,13 +185,42 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = rows_of(docs, materialise(wanted, "wanted"), "doc")
     sets = scan_texts(texts, lambda doc, data: ([shingles(data, size).view(np.int64)],), "tokens array<long>")
-    sets = materialise(sets, "sets")
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("ta", "tb")).cast("long")
-    sizes = F.size("ta") + F.size("tb")
-    return materialise(both.filter(100 * shared >= percent * (sizes - shared)).select("a", "b").distinct(), "links")
+    with scratch(docs.sparkSession, "sets") as keep:
+        sets = keep(sets)
+        left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
+        right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
+        both = pairs.join(left, "a").join(right, "b")
+        shared = F.size(F.array_intersect("ta", "tb")).cast("long")
+        sizes = F.size("ta") + F.size("tb")
+        return materialise(both.filter(100 * shared >= percent * (sizes - shared)).select("a", "b").distinct(), "links")
+
+
+def _shared_keys(rows: DataFrame, nodes: DataFrame, classes: np.ndarray, percent: int, size: int) -> DataFrame:
+    """(sig, node, core, n, low) of the index keys that several of ``nodes`` (node, n) have; low is the key's smallest node.
+
+    Most keys have one set and are counted only, so nothing but the key itself is shuffled for
+    them. Rows that are no node are left out by a set of fixed size first, then by the join.
+    """
+    spark = rows.sparkSession
+    known = spark.sparkContext.broadcast((classes, bit_set(nodes, row_slot(F.col("node")), ROW_BITS)))
+
+    def index_keys(doc, data: np.ndarray) -> tuple:
+        table_of, slots = known.value
+        if not in_bit_set(slots, np.array([doc["slot"]]))[0]:
+            return np.empty(0, np.uint64), np.empty(0, bool)
+        tokens = shingles(data, size)
+        found = signatures(tokens, table_of, percent)
+        return found, np.isin(found, signatures(tokens, table_of, percent, smaller=True))
+
+    slotted = rows.select(F.struct(F.col("doc").alias("node"), row_slot(F.col("doc")).alias("slot")).alias("doc"), "t")
+    with scratch(spark, "index") as keep:
+        index = keep(scan_texts(slotted, index_keys, "sig long, core boolean").select("sig", "doc.node", "core"))
+        often = keep(index.groupBy("sig").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("sig"))
+        several = keep(index.join(often, "sig")).join(nodes, "node")
+        several = keep(several.select("sig", "node", "core", "n"))
+        lowest = F.min(F.struct("node", "n", "core")).alias("low")
+        centres = several.groupBy("sig").agg(lowest, F.max("node").alias("_last")).filter("_last > low.node")
+        return materialise(several.join(centres.select("sig", "low"), "sig"), "shared")
 
 
 def _of_small_keys(mixed: DataFrame, percent: int) -> DataFrame:
@@ -296,27 +338,23 @@ def jaccard_groups(
     lost, and only pairs whose sketches allow a link become rows.
     """
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("t"))
-    base = materialise(_profiles(rows, percent, size).withColumnRenamed("doc", "node"), "profiles")
-    rows = rows.filter("doc IS NOT NULL")
-    filled = base.filter("n > 0 AND node IS NOT NULL")
-    classes = materialise(filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("n").alias("n")), "classes")
-    reps = base.join(classes.select("node", "digest"), ["node", "digest"], "left_semi")
-    table_of = docs.sparkSession.sparkContext.broadcast(_token_classes(reps, CLASS_LIMITS))
-
-    def index_keys(doc, data: np.ndarray) -> tuple:
-        tokens = shingles(data, size)
-        found = signatures(tokens, table_of.value, percent)
-        return found, np.isin(found, signatures(tokens, table_of.value, percent, smaller=True))
-
-    keyed = scan_texts(rows, index_keys, "sig long, core boolean").withColumnRenamed("doc", "node")
-    nodes = classes.select("node", "n")
-    index = materialise(keyed.join(nodes, "node"), "index")
-    lowest = F.min(F.struct("node", "n", "core")).alias("low")
-    centres = index.groupBy("sig").agg(lowest, F.max("node").alias("_last")).filter("_last > low.node")
-    centres = materialise(centres.select("sig", "low"), "centres")
-    shared = materialise(index.join(centres, "sig"), "shared")
+    with scratch(docs.sparkSession, "prefixes") as keep:
+        # The first tokens are most of a profile and only counted, so they go when the classes are known.
+        profiles = keep(_profiles(rows, percent, size).withColumnRenamed("doc", "node"))
+        rows = rows.filter("doc IS NOT NULL")
+        base = materialise(profiles.select("node", "n", "digest", "sketch"), "profiles")
+        filled = base.filter("n > 0 AND node IS NOT NULL")
+        classes = filled.groupBy("digest").agg(F.min("node").alias("node"), F.min("n").alias("n"))
+        classes = materialise(classes, "classes")
+        nodes = classes.select("node", "n")
+        # Which sets are counted decides speed only, so a copy that the filter lets pass does no harm.
+        counted = profiles.filter("n > 0 AND node IS NOT NULL").filter(maybe_in(nodes, "node")(F.col("node")))
+        token_classes = _token_classes(counted, CLASS_LIMITS)
+
+    shared = _shared_keys(rows, nodes, token_classes, percent, size)
     first = shared.filter("node <> low.node").filter(_fits("n", "core", "low.n", "low.core", percent))
     first = first.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
+    reps = base.join(classes.select("node", "digest"), ["node", "digest"], "left_semi")
     sketches = materialise(reps.select("node", "n", "sketch"), "sketches")
     first = materialise(_plausible(first, sketches, percent), "pairs")
     links = _verified(first, rows, percent, size)

@@ -15,6 +15,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Spark's own switch; without it shuffle files stay until the driver happens to collect its garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -36,6 +38,17 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/reviewtide/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes in this block go as each ends: what is written is read instead."""
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a table scan.
 
@@ -43,7 +56,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     a cached or checkpointed plan does after an executor is lost.
     """
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,7 +83,8 @@ def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame], D
 
     def keep(df: DataFrame) -> DataFrame:
         path = f"{base}/{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
+        with _shuffles_removed(spark):
+            df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:

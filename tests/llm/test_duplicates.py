@@ -6,6 +6,7 @@ from llm.cases import brute_groups, brute_repeats, documents, odd_documents, var
 
 from reviewtide.llm import ngram_join, substrings, vector_graph
 from reviewtide.llm.common import components, share_library
+from reviewtide.plans import storage
 
 
 @pytest.fixture(autouse=True)
@@ -189,3 +190,16 @@ def test_keys_listed_or_compared_in_blocks_give_the_same_groups(spark, monkeypat
     monkeypatch.setattr(ngram_join, "KEY_SETS", many)
     got = ngram_join.jaccard_groups(documents(spark, rows), percent=80, size=5)
     assert _by_id(got, "n_shingles", "component_id") == want
+
+
+def test_groups_keep_no_table_of_all_keys_prefixes_or_sets(spark, tmp_path, monkeypatch):
+    """What grows with the words of all texts, not with the sets or the keys that they share, is gone when it was used."""
+    monkeypatch.setattr(storage, "shared_dir", lambda spark: str(tmp_path))
+    rows = varied_documents(n=60) + [(1000 + i, " ".join(f"only{i}x{j}" for j in range(200)), "en", "s", 1) for i in range(30)]
+    want, _ = brute_groups([r[:2] for r in rows], 80, 5)
+    got = ngram_join.jaccard_groups(documents(spark, rows), percent=80, size=5)
+    assert _by_id(got, "n_shingles", "component_id") == want
+    tables = [spark.read.parquet(str(p)) for p in (tmp_path / "reviewtide").iterdir() if list(p.glob("*.parquet"))]
+    assert tables and not any({"prefix", "tokens"} & set(t.columns) for t in tables)
+    keyed = [t for t in tables if "sig" in t.columns and "node" in t.columns]
+    assert keyed and all(t.filter("node >= 1000").isEmpty() for t in keyed)

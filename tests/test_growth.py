@@ -1,5 +1,7 @@
 """Plans whose cost must not outgrow the input."""
 
+import time
+
 import __spark_entry__ as registered
 import pytest
 from pyspark.ml.feature import IDFModel
@@ -102,3 +104,23 @@ def test_each_message_is_scored_once_and_only_if_it_is_written(spark, model, tmp
     # A rule on the class itself needs every row scored first.
     by_class = {"wrong": F.col("sentiment").isNull() | F.col("rating").isNull()}
     assert read("three", "other", by_class) == ((4, 2), [6])
+
+
+@pytest.mark.parametrize("kind", ["materialise", "scratch"])
+def test_a_stored_table_leaves_no_shuffle_files(spark, kind):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "count")
+    with storage.scratch(spark, "kept") as keep:
+        stored = keep(frame) if kind == "scratch" else storage.materialise(frame, "stored")
+        until = time.monotonic() + 10
+        while files() - before and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not files() - before
+        assert stored.count() == frame.count() == 7
+    assert spark.conf.get(storage.CLEAN_SHUFFLES) == "false"
